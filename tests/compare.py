@@ -1,0 +1,30 @@
+"""Running an oracle and comparing bags of rows."""
+
+from __future__ import annotations
+
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+from pyspark.sql import DataFrame
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for path in Path(sf_dir).glob("*.parquet"):
+        connection.execute(f"create view {path.stem} as from '{path}'")
+    return connection
+
+
+def bag(columns: list[str], rows) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(row[i] for i in order) for row in rows)
+
+
+def spark_bag(df: DataFrame) -> Counter:
+    return bag(df.columns, df.collect())
+
+
+def duck_bag(connection: duckdb.DuckDBPyConnection, sql: str) -> Counter:
+    result = connection.execute(sql)
+    return bag([column[0] for column in result.description], result.fetchall())

@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 _SPAN = 2**32
 
 
-def draw(seed: int, field: str, row: Column) -> Column:
-    """A uniform integer in [0, 2**32)."""
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(field), row.cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+def digest(seed: int, field: str, row: Column) -> Column:
+    """128 random-looking bits as text, the source of four draws."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(field), row.cast("string")))
+
+
+def draw(bits: Column, nth: int = 0) -> Column:
+    """The nth (0..3) uniform integer in [0, 2**32) of a digest."""
+    return F.conv(F.substring(bits, 8 * nth + 1, 8), 16, 10).cast("bigint")
 
 
 def below(u: Column, n: int) -> Column:

@@ -156,8 +156,11 @@ def read_dimensions(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     }
 
 
-def read_star(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    fact = files.read_fact(spark, lake.warehouse("fact_transactions"))
+def read_star(
+    spark: SparkSession, lake: Lake, first: date | None = None, last: date | None = None
+) -> dict[str, DataFrame]:
+    """The written tables; the fact between two days, if given."""
+    fact = files.read_fact(spark, lake.warehouse("fact_transactions"), first, last)
     return {**read_dimensions(spark, lake), "fact_transactions": fact}
 
 
@@ -204,10 +207,14 @@ def staging_to_warehouse(
 
 
 def regulatory_reports(
-    spark: SparkSession, lake: Lake, threshold: int = CTR_THRESHOLD
+    spark: SparkSession,
+    lake: Lake,
+    threshold: int = CTR_THRESHOLD,
+    first: date | None = None,
+    last: date | None = None,
 ) -> dict[str, int]:
-    """Write both reports as CSV; returns their row counts."""
-    star = read_star(spark, lake)
+    """Write both reports as CSV, of all days or a part; returns their row counts."""
+    star = read_star(spark, lake, first, last)
     fact, branch, day = (star[n] for n in ("fact_transactions", "dim_branch", "dim_date"))
     hits, groups = Observation("ctr"), Observation("summary")
     ctr = ctr_report(fact, star["dim_customer"], branch, day, threshold)

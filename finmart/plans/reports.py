@@ -70,9 +70,13 @@ def monthly_summary_report(
     map side; the texts of calendar and branch join the few sums, which are then
     summed again. Counts and decimal sums do not mind the regrouping.
     """
-    # One product type per key even if an account table has a key twice.
-    products = dim_account.groupBy("account_key").agg(
-        F.min("product_type").alias("product_type")
+    # One product type per key even if an account table has a key twice. Spread out
+    # again, the result is shuffled for the join like any table, and only a join of two
+    # such shuffles has its skewed partitions split.
+    products = (
+        dim_account.groupBy("account_key")
+        .agg(F.min("product_type").alias("product_type"))
+        .hint("rebalance")
     )
     daily = (
         fact.select("date_key", "branch_key", "account_key", "txn_type", "amount")

@@ -7,9 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from finmart.operators.quality import valid_transactions
-from finmart.plans.jobs import Period, read_star, write_star
-from finmart.sources.lake import Lake, write_parquet
-from finmart.sources.scratch import scratch_path
+from finmart.plans.jobs import Period, write_star
+from finmart.sources.lake import Lake
+from finmart.sources.scratch import materialize, scratch_path
 
 PERIOD = Period(end=date(2026, 6, 30), days=90)
 THRESHOLD = 100_000  # amounts in these tables reach about 105,000
@@ -84,19 +84,9 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(VIEWS[name], **{t: table(spark, sf_dir, t) for t in used})
 
 
-_written: dict[tuple[str, str, str], Lake] = {}
-
-
-def _once(spark: SparkSession, sf_dir: str, zone: str) -> tuple[Lake, bool]:
-    """The lake that holds a zone made from `sf_dir`, and whether it is still empty."""
-    key = (spark.sparkContext.applicationId, sf_dir, zone)
-    if key in _written:
-        return _written[key], False
-    return Lake(scratch_path(spark, zone)), True
-
-
-def _done(spark: SparkSession, sf_dir: str, zone: str, lake: Lake) -> None:
-    _written[spark.sparkContext.applicationId, sf_dir, zone] = lake
+# Per application and folder: the written feed, and the written warehouse.
+_feeds: dict[tuple[str, str], DataFrame] = {}
+_warehouses: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,13 +94,11 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A feed lies in files before the gate sees it; the view is how it gets there.
     """
-    lake, missing = _once(spark, sf_dir, "raw")
-    path = lake.raw("transactions")
-    feed = view(spark, sf_dir, "raw_txns")
-    if missing:
-        write_parquet(feed.hint("rebalance"), path)
-        _done(spark, sf_dir, "raw", lake)
-    return spark.read.schema(feed.schema).parquet(path)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _feeds:
+        feed = view(spark, sf_dir, "raw_txns").hint("rebalance")
+        _feeds[key] = materialize(feed, "raw-transactions")
+    return _feeds[key]
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -118,16 +106,15 @@ def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     Reports start from the written warehouse, as they do in the jobs.
     """
-    lake, missing = _once(spark, sf_dir, "warehouse")
-    if missing:
-        write_star(
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _warehouses:
+        _warehouses[key] = write_star(
             spark,
-            lake,
+            Lake(scratch_path(spark, "warehouse")),
             view(spark, sf_dir, "raw_branches"),
             view(spark, sf_dir, "raw_accounts"),
             [view(spark, sf_dir, name) for name in ("snap1", "snap2")],
             valid_transactions(transactions(spark, sf_dir)),
             PERIOD,
         )
-        _done(spark, sf_dir, "warehouse", lake)
-    return read_star(spark, lake)
+    return _warehouses[key]

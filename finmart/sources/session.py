@@ -33,6 +33,26 @@ def object_store_options(
     return options
 
 
+_MB = 2**20
+
+
+def options_for(input_bytes: int) -> dict[str, str]:
+    """Split, shuffle and file sizes for feeds of about `input_bytes`.
+
+    A shuffle has as many blocks as map tasks times reduce tasks, so both numbers
+    stop growing at some point and the tasks grow instead; sorts spill. Adaptive
+    execution merges what turns out small.
+    """
+    tasks = min(max(input_bytes // (128 * _MB), 200), 32_768)
+    split = max(input_bytes // 32_768, 128 * _MB)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(tasks),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * _MB),
+    }
+
+
 def get_spark_session(
     app_name: str,
     options: Mapping[str, str] | None = None,

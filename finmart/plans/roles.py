@@ -75,8 +75,18 @@ from {lineitem} join {orders} on l_orderkey = o_orderkey
 TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
 
 
+# Per application: the tables, whose files are listed once, the written feeds, and
+# the written warehouses.
+_tables: dict[tuple[str, str, str], DataFrame] = {}
+_feeds: dict[tuple[str, str], DataFrame] = {}
+_warehouses: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _tables[key]
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,11 +94,6 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(VIEWS[name], **{t: table(spark, sf_dir, t) for t in used})
 
 
-# Per application and folder: the written feed, and the written warehouse.
-_feeds: dict[tuple[str, str], DataFrame] = {}
-_warehouses: dict[tuple[str, str], dict[str, DataFrame]] = {}
-
-
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw transaction feed, written on first use and then read.
 

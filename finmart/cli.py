@@ -10,7 +10,7 @@ from finmart.plans import jobs
 from finmart.plans.reports import CTR_THRESHOLD
 from finmart.sources.lake import Lake
 from finmart.sources.seed import SEED
-from finmart.sources.session import get_spark_session, options_for
+from finmart.sources.session import get_spark_session, object_store_options, options_for
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -18,6 +18,7 @@ def _parser() -> argparse.ArgumentParser:
     shared.add_argument("--lake", required=True, help="base path of the zones")
     shared.add_argument("--master", help="Spark master; left to spark-submit by default")
     shared.add_argument("--input-gb", type=int, help="size of the feeds, to size the tasks")
+    shared.add_argument("--s3-endpoint", help="S3-compatible store; keys go in --option")
     shared.add_argument(
         "--option", action="append", default=[], metavar="KEY=VALUE", help="Spark setting"
     )
@@ -27,6 +28,11 @@ def _parser() -> argparse.ArgumentParser:
     period.add_argument("--end-date", type=date.fromisoformat, default=default.end)
     period.add_argument("--window-days", type=int, default=default.days)
 
+    snapshots = argparse.ArgumentParser(add_help=False)
+    snapshots.add_argument(
+        "--snapshot-feeds", nargs="+", default=jobs.SNAPSHOT_FEEDS, metavar="FEED"
+    )
+
     parser = argparse.ArgumentParser(prog="finmart")
     commands = parser.add_subparsers(dest="job", required=True)
 
@@ -36,11 +42,15 @@ def _parser() -> argparse.ArgumentParser:
     seed.add_argument("--transactions", type=int, default=60_000)
     seed.add_argument("--seed", type=int, default=SEED)
 
-    stage = commands.add_parser("stage", parents=[shared], help="gate the raw feeds")
+    stage = commands.add_parser(
+        "stage", parents=[shared, snapshots], help="gate the raw feeds"
+    )
     stage.add_argument("--lenient", action="store_true", help="only the null and sign rules")
     stage.add_argument("--corrupt-column", help="reject lines that do not fit the schema")
 
-    load = commands.add_parser("load", parents=[shared, period], help="build the star schema")
+    load = commands.add_parser(
+        "load", parents=[shared, snapshots, period], help="build the star schema"
+    )
     load.add_argument("--jdbc-url")
     load.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
 
@@ -58,6 +68,8 @@ def _pairs(settings: Sequence[str]) -> dict[str, str]:
 def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     options = options_for(args.input_gb * 2**30) if args.input_gb else {}
+    if args.s3_endpoint:
+        options |= object_store_options(args.s3_endpoint)
     spark = get_spark_session(
         f"finmart-{args.job}", {**options, **_pairs(args.option)}, args.master
     )
@@ -76,13 +88,18 @@ def main(argv: Sequence[str] | None = None) -> None:
         result = lake.raw("")
     elif args.job == "stage":
         result = jobs.raw_to_staging(
-            spark, lake, strict=not args.lenient, corrupt_column=args.corrupt_column
+            spark,
+            lake,
+            args.snapshot_feeds,
+            strict=not args.lenient,
+            corrupt_column=args.corrupt_column,
         )
     elif args.job == "load":
         result = jobs.staging_to_warehouse(
             spark,
             lake,
-            period=jobs.Period(args.end_date, args.window_days),
+            args.snapshot_feeds,
+            jobs.Period(args.end_date, args.window_days),
             jdbc_url=args.jdbc_url,
             jdbc_properties=_pairs(args.jdbc_property),
         )

@@ -18,7 +18,7 @@ from finmart.operators import quality
 from finmart.operators.dims import build_dim_account, build_dim_branch, build_dim_date
 from finmart.operators.fact import build_fact_transactions
 from finmart.operators.scd2 import scd2_replay
-from finmart.plans.reports import CTR_THRESHOLD, ctr_report, monthly_summary_report
+from finmart.plans.reports import CTR_THRESHOLD, ctr_hits, monthly_summary_report
 from finmart.sources import lake as files
 from finmart.sources import seed
 from finmart.sources.jdbc import load_star
@@ -217,7 +217,7 @@ def regulatory_reports(
     star = read_star(spark, lake, first, last)
     fact, branch, day = (star[n] for n in ("fact_transactions", "dim_branch", "dim_date"))
     hits, groups = Observation("ctr"), Observation("summary")
-    ctr = ctr_report(fact, star["dim_customer"], branch, day, threshold)
+    ctr = ctr_hits(fact, star["dim_customer"], branch, day, threshold)
     laid_out = files.month_files(ctr, "report_month", ["date", "txn_id"])
     files.write_partitioned_csv(
         laid_out.observe(hits, F.count("*").alias("rows")), lake.report("ctr"), "report_month"

@@ -110,19 +110,19 @@ def fact_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Reports and analytics.
 
 
-def ctr_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _for_ctr(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
     star = roles.warehouse(spark, sf_dir)
-    return reports.ctr_report(
-        star["fact_transactions"],
-        star["dim_customer"],
-        star["dim_branch"],
-        star["dim_date"],
-        roles.THRESHOLD,
+    return tuple(
+        star[name] for name in ("fact_transactions", "dim_customer", "dim_branch", "dim_date")
     )
 
 
+def ctr_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.ctr_report(*_for_ctr(spark, sf_dir), roles.THRESHOLD)
+
+
 def ctr_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.report_months(ctr_report(spark, sf_dir))
+    return reports.report_months(reports.ctr_hits(*_for_ctr(spark, sf_dir), roles.THRESHOLD))
 
 
 def monthly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,15 +207,15 @@ def _read_ctr(spark: SparkSession, path: str) -> DataFrame:
 
 def ctr_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ctr")
-    files.write_partitioned_csv(ctr_report(spark, sf_dir), path, "report_month")
+    hits = reports.ctr_hits(*_for_ctr(spark, sf_dir), roles.THRESHOLD)
+    files.write_partitioned_csv(hits, path, "report_month")
     return _read_ctr(spark, path)
 
 
 def ctr_month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ctr")
-    laid_out = files.month_files(
-        ctr_report(spark, sf_dir), "report_month", ["date", "txn_id"]
-    )
+    hits = reports.ctr_hits(*_for_ctr(spark, sf_dir), roles.THRESHOLD)
+    laid_out = files.month_files(hits, "report_month", ["date", "txn_id"])
     files.write_partitioned_csv(laid_out, path, "report_month")
     return _read_ctr(spark, path)
 

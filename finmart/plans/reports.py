@@ -10,14 +10,14 @@ from finmart.functions.dates import report_month
 CTR_THRESHOLD = 2_000_000
 
 
-def ctr_report(
+def ctr_hits(
     fact: DataFrame,
     dim_customer: DataFrame,
     dim_branch: DataFrame,
     dim_date: DataFrame,
     threshold: int = CTR_THRESHOLD,
 ) -> DataFrame:
-    """Cash transactions of at least `threshold`, one row each, by date and id.
+    """Cash transactions of at least `threshold`, one row each, in no order.
 
     The filter sits on bare fact columns, so it reaches the scan, and only the hits
     meet the dimensions. Customer attributes are those of the fact's version, which
@@ -52,10 +52,20 @@ def ctr_report(
             "amount",
             "fee",
         )
-        .orderBy("date", "txn_id")
     )
 
 
+def ctr_report(
+    fact: DataFrame,
+    dim_customer: DataFrame,
+    dim_branch: DataFrame,
+    dim_date: DataFrame,
+    threshold: int = CTR_THRESHOLD,
+) -> DataFrame:
+    """The hits by date and id."""
+    return ctr_hits(fact, dim_customer, dim_branch, dim_date, threshold).orderBy("date", "txn_id")
+
+
 def report_months(report: DataFrame) -> DataFrame:
     """The months that occur in a report."""
     return report.select("report_month").distinct().orderBy("report_month")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from finmart.operators import dims, keys
 from finmart.schemas import DIM_ACCOUNT, DIM_BRANCH, DIM_DATE, RAW_ACCOUNTS, RAW_BRANCHES
+from finmart.sources.scratch import materialize
+from plans import exchanges, plan_of
 from rows import account, branch, frame
 
 
@@ -83,3 +85,14 @@ def test_keys_that_do_not_fit(spark):
     df = spark.createDataFrame([(1,), (2,)], "v int")
     with pytest.raises(OverflowError):
         keys.dense_keys(df, ["v"], "k", start=2**31 - 2)
+
+
+def test_numbering_never_gathers_all_rows_in_one_task(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(
+        keys, "materialize", lambda df, label: seen.append(plan_of(df)) or materialize(df, label)
+    )
+    dims.build_dim_account(frame(spark, RAW_ACCOUNTS, account(opened_date="2020-01-15")))
+    (plan,) = seen
+    assert "Window" not in plan and "SinglePartition" not in plan
+    assert exchanges(plan) == ["rangepartitioning"]

@@ -1,0 +1,93 @@
+"""Known totals of the tables, independent of the oracle."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import TESTDATA
+from finmart.plans import registry, roles
+
+EXPECTED = {
+    "sf0.001": {
+        "rejects": {
+            "null_required_field": 198,
+            "negative_amount": 59,
+            "duplicate_txn_id": 1325,
+        },
+        "totals": (6000, 4418, 1582),
+        "amount": Decimal("233036458.51"),
+        "fee": Decimal("49.07"),
+        "key_sums": (333057, 440645, 24197),
+        "before_first_version": 38,
+        "history": (150, 8),
+        "classes": {"absent": 3, "changed": 8, "new": 3, "unchanged": 136},
+        "ctr": (131, Decimal("13419509.63")),
+        "groups": (438, 60, 15),
+        "top": ("CUST000070", 59, Decimal("3200909.43")),
+        "weekend": (881, Decimal("45948652.35")),
+    },
+    "sf0.01": {
+        "rejects": {
+            "null_required_field": 1903,
+            "negative_amount": 616,
+            "duplicate_txn_id": 13490,
+        },
+        "totals": (60000, 43991, 16009),
+        "amount": Decimal("2334444049.40"),
+        "fee": Decimal("500.47"),
+        "key_sums": (33104750, 44004255, 573957),
+        "before_first_version": 565,
+        "history": (1500, 75),
+        "classes": {"absent": 30, "changed": 75, "new": 30, "unchanged": 1365},
+        "ctr": (1421, Decimal("145682323.84")),
+        "groups": (1125, 150, 15),
+        "top": ("CUST000605", 71, Decimal("3818702.65")),
+        "weekend": (8406, Decimal("447160967.05")),
+    },
+}
+
+
+@pytest.mark.parametrize("scale", EXPECTED)
+def test_totals(spark, scale):
+    sf_dir = str(TESTDATA / scale)
+    if not (TESTDATA / scale).is_dir():
+        pytest.skip(f"no test tables in {sf_dir}")
+    expected = EXPECTED[scale]
+
+    def run(name):
+        return registry.QUERIES[name](spark, sf_dir)
+
+    assert dict(run("reject_counts").collect()) == expected["rejects"]
+    assert tuple(run("dq_totals").first()) == expected["totals"]
+    fact = roles.warehouse(spark, sf_dir)["fact_transactions"]
+    sums = fact.agg(
+        F.count("*"),
+        F.countDistinct("txn_id"),
+        F.sum("amount"),
+        F.sum("fee"),
+        *[F.sum(f"{name}_key") for name in ("customer", "account", "branch")],
+        F.count_if(F.col("customer_key").isNull()),
+    ).first()
+    valid = expected["totals"][1]
+    assert sums[:4] == (valid, valid, expected["amount"], expected["fee"])
+    assert sums[4:7] == expected["key_sums"]
+    assert sums[7] == expected["before_first_version"]
+
+    history = run("scd2_merged").agg(
+        F.count_if("is_current"), F.count_if(~F.col("is_current")), F.max("customer_key")
+    )
+    current, closed, top_key = history.first()
+    assert (current, closed) == expected["history"] and top_key == current + closed
+    assert dict(run("scd2_change_classes").collect()) == expected["classes"]
+
+    ctr = run("ctr_report").agg(F.count("*"), F.sum("amount")).first()
+    assert tuple(ctr) == expected["ctr"]
+    groups = ("monthly_summary", "cash_by_branch_month", "product_mix_by_region")
+    assert tuple(run(name).count() for name in groups) == expected["groups"]
+    top = run("top_customers").first()
+    assert (top.customer_id, top.txn_count, top.total_amount) == expected["top"]
+    weekend = run("weekend_cash").where("is_weekend").first()
+    assert tuple(weekend[1:]) == expected["weekend"]

@@ -134,6 +134,28 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "SortMergeJoin" not in plan
 
 
+def test_months_need_no_customer_or_branch(spark, sf_dir):
+    from finmart.plans import registry
+
+    plan = plan_of(registry.ctr_months(spark, sf_dir))
+    assert plan.count("BroadcastHashJoin") == 1
+    assert "customer_key" not in plan and "branch_key" not in plan
+
+
+def test_analytics_sum_before_they_join(spark, sf_dir):
+    """The partial sums sit right on the scan, below every join to a text."""
+    from finmart.plans import registry
+
+    for name in ("cash_by_branch_month", "top_customers", "weekend_cash"):
+        plan = plan_of(registry.QUERIES[name](spark, sf_dir))
+        lines = plan.splitlines()
+        fact_scan = next(
+            i for i, line in enumerate(lines) if "FileScan" in line and "amount#" in line
+        )
+        below_joins = [line for line in lines[:fact_scan] if "Join" in line or "partial_" in line]
+        assert "partial_sum(amount" in below_joins[-1], name
+
+
 def test_summary_splits_a_hot_account(spark, star):
     i = F.col("id")
     fact = spark.range(0, 60_000, 1, 8).select(

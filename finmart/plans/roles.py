@@ -123,3 +123,10 @@ def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             PERIOD,
         )
     return _warehouses[key]
+
+
+def forget(spark: SparkSession, sf_dir: str) -> None:
+    """Have the feed and the warehouse of `sf_dir` written again on their next use."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    _feeds.pop(key, None)
+    _warehouses.pop(key, None)

@@ -64,7 +64,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": {name: round(seconds, 3) for name, seconds in times.items()},
-                "sf": Path(SF_DIR).name.removeprefix("sf"),
+                "sf": float(Path(SF_DIR).name.removeprefix("sf")),
             }
         )
     )

@@ -8,7 +8,7 @@ from datetime import date
 
 from finmart.plans import jobs
 from finmart.plans.reports import CTR_THRESHOLD
-from finmart.sources.lake import Lake
+from finmart.sources.lake import Lake, write_csv
 from finmart.sources.seed import SEED
 from finmart.sources.session import get_spark_session, object_store_options, options_for
 
@@ -58,6 +58,10 @@ def _parser() -> argparse.ArgumentParser:
     report.add_argument("--threshold", type=int, default=CTR_THRESHOLD)
     report.add_argument("--first-day", type=date.fromisoformat)
     report.add_argument("--last-day", type=date.fromisoformat)
+
+    query = commands.add_parser("sql", parents=[shared], help="query the star schema")
+    query.add_argument("text", help="a SELECT over the five tables")
+    query.add_argument("--output", help="write the result there as CSV instead of showing it")
     return parser
 
 
@@ -107,4 +111,13 @@ def main(argv: Sequence[str] | None = None) -> None:
         result = jobs.regulatory_reports(
             spark, lake, args.threshold, args.first_day, args.last_day
         )
+    elif args.job == "sql":
+        jobs.register_star(spark, lake)
+        rows = spark.sql(args.text)
+        if args.output:
+            write_csv(rows, args.output)
+            result = args.output
+        else:
+            rows.show(truncate=False)  # the first rows
+            result = "done"
     print(f"[{args.job}] {result}")

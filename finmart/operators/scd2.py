@@ -30,17 +30,18 @@ def _differs(left: str, right: str) -> Column:
     )
 
 
-def check_snapshot(incoming: DataFrame) -> None:
-    """Raise ValueError unless every row has an id and a date and no id repeats.
-
-    Ids repeat per snapshot_date, so the union of several snapshots passes as well.
-    """
+def check_snapshot(incoming: DataFrame, once_per: Sequence[str] = ("customer_id",)) -> None:
+    """Raise ValueError unless every row has an id and a date and none repeats."""
     found = (
-        incoming.groupBy("customer_id", "snapshot_date")
-        .agg(F.count("*").alias("n"))
+        incoming.groupBy(*once_per)
         .agg(
+            F.count("*").alias("n"),
             F.count_if(F.col("customer_id").isNull()).alias("nameless"),
             F.count_if(F.col("snapshot_date").isNull()).alias("undated"),
+        )
+        .agg(
+            F.sum("nameless").alias("nameless"),
+            F.sum("undated").alias("undated"),
             F.count_if(F.col("n") > 1).alias("repeated"),
         )
         .first()
@@ -159,7 +160,7 @@ def scd2_replay(snapshots: Sequence[DataFrame]) -> DataFrame:
     history = reduce(
         DataFrame.unionByName, [snapshot.select(*_SNAPSHOT) for snapshot in snapshots]
     )
-    check_snapshot(history)
+    check_snapshot(history, once_per=("customer_id", "snapshot_date"))
 
     by_customer = Window.partitionBy("customer_id").orderBy("snapshot_date")
     before = {f"_was_{name}": F.lag(name).over(by_customer) for name in TRACKED}

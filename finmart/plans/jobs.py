@@ -36,7 +36,7 @@ DIMENSIONS = {
 
 @dataclass(frozen=True)
 class Period:
-    """The days the feeds cover; the second snapshot falls into their middle."""
+    """The days the feeds cover, and the day of the second snapshot."""
 
     end: date = date(2026, 6, 30)
     days: int = 90
@@ -47,7 +47,7 @@ class Period:
 
     @property
     def second_snapshot(self) -> date:
-        return self.start + timedelta(days=self.days // 2)
+        return self.start + timedelta(days=45)
 
 
 def seed_raw(
@@ -164,6 +164,14 @@ def read_star(
     return {**read_dimensions(spark, lake), "fact_transactions": fact}
 
 
+def register_star(spark: SparkSession, lake: Lake) -> list[str]:
+    """Make the written tables known to SQL under their names; returns the names."""
+    star = read_star(spark, lake)
+    for name, df in star.items():
+        df.createOrReplaceTempView(name)
+    return list(star)
+
+
 def staging_to_warehouse(
     spark: SparkSession,
     lake: Lake,

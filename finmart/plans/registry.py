@@ -185,8 +185,7 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of the stored fact between two days, without reading the rest."""
-    path = scratch_path(spark, "fact")
-    files.write_fact(roles.warehouse(spark, sf_dir)["fact_transactions"], path)
+    path = roles.warehouse_lake(spark, sf_dir).warehouse("fact_transactions")
     return files.read_fact(spark, path, date(2026, 5, 20), date(2026, 6, 10))
 
 

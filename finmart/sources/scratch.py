@@ -15,10 +15,10 @@ _local_roots: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="finmart-"))

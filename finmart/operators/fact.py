@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finmart.functions.dates import date_key
+from finmart.operators.dims import look_up
 from finmart.schemas import FACT_TRANSACTIONS
 
-# Stands in for the missing end of an open version in comparisons; never stored.
-_FAR_FUTURE = date(9999, 12, 31)
-
 
 def build_fact_transactions(
     valid: DataFrame, dim_customer: DataFrame, dim_account: DataFrame, dim_branch: DataFrame
@@ -27,25 +23,18 @@ def build_fact_transactions(
     threshold the join sorts, and adaptive execution splits a hot customer.
     """
     versions = dim_customer.select(
-        F.col("customer_id").alias("_version_of"),
-        "customer_key",
-        "effective_from",
-        F.coalesce("effective_to", F.lit(_FAR_FUTURE)).alias("_until"),
+        F.col("customer_id").alias("_of"), "customer_key", "effective_from", "effective_to"
     )
     day = F.col("_day")
-    in_effect = (
-        (F.col("customer_id") == F.col("_version_of"))
-        & (day >= F.col("effective_from"))
-        & (day < F.col("_until"))
-    )
-    return (
-        valid.withColumn("_day", F.to_date("txn_date"))
-        .join(versions, in_effect, "left")
-        .join(dim_account.select("account_key", "account_id"), "account_id", "left")
-        .join(dim_branch.select("branch_key", "branch_code"), "branch_code", "left")
-        .withColumn("date_key", date_key(day))
-        .select(*FACT_TRANSACTIONS)
-    )
+    started = F.col("effective_from") <= day
+    not_ended = F.col("effective_to").isNull() | (day < F.col("effective_to"))
+    in_effect = (F.col("customer_id") == F.col("_of")) & started & not_ended
+
+    dated = valid.withColumn("_day", F.to_date("txn_date"))
+    keyed = dated.join(versions, in_effect, "left")
+    keyed = look_up(keyed, dim_account, "account_id", "account_key")
+    keyed = look_up(keyed, dim_branch, "branch_code", "branch_key")
+    return keyed.withColumn("date_key", date_key(day)).select(*FACT_TRANSACTIONS)
 
 
 def unresolved_keys(fact: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from finmart.operators.dims import look_up
+
 
 def _sums(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("_n"), F.sum("amount").alias("_total"))
@@ -25,11 +27,11 @@ def _amount() -> Column:
 
 def cash_by_branch_month(fact: DataFrame, dim_date: DataFrame, dim_branch: DataFrame) -> DataFrame:
     """Monthly cash and non-cash volume per branch."""
+    sums = _sums(fact, "date_key", "branch_key", "is_cash")
+    told = look_up(sums, dim_date, "date_key", "year", "month", how="inner")
+    told = look_up(told, dim_branch, "branch_key", "branch_name", how="inner")
     return (
-        _sums(fact, "date_key", "branch_key", "is_cash")
-        .join(dim_date.select("date_key", "year", "month"), "date_key")
-        .join(dim_branch.select("branch_key", "branch_name"), "branch_key")
-        .groupBy("year", "month", "branch_name", "is_cash")
+        told.groupBy("year", "month", "branch_name", "is_cash")
         .agg(_count().alias("txn_count"), _amount().alias("total_amount"))
         .orderBy("year", "month", "branch_name", "is_cash")
     )
@@ -41,13 +43,11 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, n: int = 10) -> Data
     What was booked on a closed version does not count: the fact points at it, and
     only current versions are joined.
     """
-    current = dim_customer.where("is_current").select(
-        "customer_key", "customer_id", "name", "segment", "province"
-    )
+    who = ("customer_id", "name", "segment", "province")
+    current = dim_customer.where("is_current")
     return (
-        _sums(fact, "customer_key")
-        .join(current, "customer_key")
-        .groupBy("customer_id", "name", "segment", "province")
+        look_up(_sums(fact, "customer_key"), current, "customer_key", *who, how="inner")
+        .groupBy(*who)
         .agg(_count().alias("txn_count"), _amount().alias("total_amount"))
         .orderBy(F.desc("total_amount"), "customer_id")
         .limit(n)
@@ -58,12 +58,11 @@ def product_mix_by_region(
     fact: DataFrame, dim_branch: DataFrame, dim_account: DataFrame
 ) -> DataFrame:
     """Count and mean amount per region and product type."""
-    booked = fact.select("branch_key", "account_key", "amount").join(
-        dim_account.select("account_key", "product_type"), "account_key"
-    )
+    booked = fact.select("branch_key", "account_key", "amount")
+    booked = look_up(booked, dim_account, "account_key", "product_type", how="inner")
+    sums = _sums(booked, "branch_key", "product_type")
     return (
-        _sums(booked, "branch_key", "product_type")
-        .join(dim_branch.select("branch_key", "region"), "branch_key")
+        look_up(sums, dim_branch, "branch_key", "region", how="inner")
         .groupBy("region", "product_type")
         .agg(_count().alias("txn_count"), _amount().alias("_amount"))
         .select(
@@ -78,9 +77,9 @@ def product_mix_by_region(
 
 def weekend_cash(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Cash count and amount on weekdays and weekends."""
+    sums = _sums(fact.where("is_cash"), "date_key")
     return (
-        _sums(fact.where("is_cash"), "date_key")
-        .join(dim_date.select("date_key", "is_weekend"), "date_key")
+        look_up(sums, dim_date, "date_key", "is_weekend", how="inner")
         .groupBy("is_weekend")
         .agg(_count().alias("cash_txn_count"), _amount().alias("cash_total_amount"))
         .orderBy("is_weekend")

@@ -190,18 +190,7 @@ def fact_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _read_ctr(spark: SparkSession, path: str) -> DataFrame:
-    contract = {
-        "txn_id": "string",
-        "date": "date",
-        "report_month": "string",
-        **dict.fromkeys(("customer_id", "name", "segment"), "string"),
-        **dict.fromkeys(("branch_code", "branch_name", "province"), "string"),
-        **dict.fromkeys(("channel", "txn_type"), "string"),
-        "is_cash": "boolean",
-        "amount": schemas.MONEY,
-        "fee": schemas.MONEY,
-    }
-    return files.read_partitioned_csv(spark, path, contract, "report_month")
+    return files.read_partitioned_csv(spark, path, schemas.CTR_REPORT, "report_month")
 
 
 def ctr_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

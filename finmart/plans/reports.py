@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finmart.functions.dates import report_month
+from finmart.operators.dims import look_up
+from finmart.schemas import CTR_REPORT
 
 CTR_THRESHOLD = 2_000_000
 
@@ -24,35 +26,10 @@ def ctr_hits(
     was in effect on the day, not today's.
     """
     hits = fact.where(F.col("is_cash") & (F.col("amount") >= F.lit(threshold)))
-    return (
-        hits.join(dim_date.select("date_key", "date"), "date_key", "left")
-        .join(
-            dim_customer.select("customer_key", "customer_id", "name", "segment"),
-            "customer_key",
-            "left",
-        )
-        .join(
-            dim_branch.select("branch_key", "branch_code", "branch_name", "province"),
-            "branch_key",
-            "left",
-        )
-        .select(
-            "txn_id",
-            "date",
-            report_month(F.col("date")).alias("report_month"),
-            "customer_id",
-            "name",
-            "segment",
-            "branch_code",
-            "branch_name",
-            "province",
-            "channel",
-            "txn_type",
-            "is_cash",
-            "amount",
-            "fee",
-        )
-    )
+    told = look_up(hits, dim_date, "date_key", "date")
+    told = look_up(told, dim_customer, "customer_key", "customer_id", "name", "segment")
+    told = look_up(told, dim_branch, "branch_key", "branch_code", "branch_name", "province")
+    return told.withColumn("report_month", report_month(F.col("date"))).select(*CTR_REPORT)
 
 
 def ctr_report(
@@ -88,22 +65,17 @@ def monthly_summary_report(
         .agg(F.min("product_type").alias("product_type"))
         .hint("rebalance")
     )
+    booked = fact.select("date_key", "branch_key", "account_key", "txn_type", "amount")
     daily = (
-        fact.select("date_key", "branch_key", "account_key", "txn_type", "amount")
-        .join(products, "account_key", "left")
+        look_up(booked, products, "account_key", "product_type")
         .groupBy("date_key", "branch_key", "product_type", "txn_type")
         .agg(F.count("*").alias("n"), F.sum("amount").alias("total"))
     )
+    told = look_up(daily, dim_date, "date_key", "date")
+    told = look_up(told, dim_branch, "branch_key", "branch_name", "province")
     return (
-        daily.join(dim_date.select("date_key", "date"), "date_key", "left")
-        .join(dim_branch.select("branch_key", "branch_name", "province"), "branch_key", "left")
-        .groupBy(
-            report_month(F.col("date")).alias("report_month"),
-            "branch_name",
-            "province",
-            "product_type",
-            "txn_type",
-        )
+        told.withColumn("report_month", report_month(F.col("date")))
+        .groupBy("report_month", "branch_name", "province", "product_type", "txn_type")
         .agg(
             F.sum("n").alias("txn_count"),
             F.sum("total").cast("decimal(25,2)").alias("total_amount"),

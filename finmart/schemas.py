@@ -82,6 +82,24 @@ FACT_TRANSACTIONS = {
     "fee": MONEY,
 }
 
+# One row of the threshold report.
+CTR_REPORT = {
+    "txn_id": "string",
+    "date": "date",
+    "report_month": "string",
+    "customer_id": "string",
+    "name": "string",
+    "segment": "string",
+    "branch_code": "string",
+    "branch_name": "string",
+    "province": "string",
+    "channel": "string",
+    "txn_type": "string",
+    "is_cash": "boolean",
+    "amount": MONEY,
+    "fee": MONEY,
+}
+
 # A change in any of these opens a new customer version.
 TRACKED = ("name", "segment", "province", "kyc_level")
 

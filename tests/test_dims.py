@@ -45,7 +45,8 @@ def test_accounts_get_a_key_and_a_date(spark):
 
 
 def numbered(df, **options) -> list[tuple]:
-    return sorted((row["k"], row["v"]) for row in keys.dense_keys(df, ["v"], "k", **options).collect())
+    rows = keys.dense_keys(df, ["v"], "k", **options).collect()
+    return sorted((row["k"], row["v"]) for row in rows)
 
 
 @pytest.mark.parametrize("partitions", [1, 3, 17])

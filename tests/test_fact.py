@@ -43,7 +43,13 @@ def test_keys_are_resolved(spark, dims):
 
 @pytest.mark.parametrize(
     ("day", "key"),
-    [("2026-03-31", None), ("2026-04-01", 1), ("2026-05-16", 1), ("2026-05-17", 2), ("2030-01-01", 2)],
+    [
+        ("2026-03-31", None),
+        ("2026-04-01", 1),
+        ("2026-05-16", 1),
+        ("2026-05-17", 2),
+        ("2030-01-01", 2),
+    ],
 )
 def test_the_version_in_effect_on_the_day(spark, dims, day, key):
     rows = build(spark, dims, txn(txn_date=day)).collect()
@@ -78,11 +84,15 @@ def test_small_dimensions_are_broadcast(spark, sf_dir):
 def test_a_hot_customer_is_split_when_no_dimension_is_broadcast(spark, dims):
     """Half of the rows belong to one customer and one account."""
     i = F.col("id")
+
+    def hot_or_not(prefix):
+        return F.when(i % 2 == 0, f"{prefix}1").otherwise(F.concat(F.lit(prefix), i.cast("string")))
+
     rows = spark.range(0, 60_000, 1, 8).select(
         F.concat(F.lit("T"), i.cast("string")).alias("txn_id"),
         F.lit("2026-04-05").alias("txn_date"),
-        F.when(i % 2 == 0, "A1").otherwise(F.concat(F.lit("A"), i.cast("string"))).alias("account_id"),
-        F.when(i % 2 == 0, "C1").otherwise(F.concat(F.lit("C"), i.cast("string"))).alias("customer_id"),
+        hot_or_not("A").alias("account_id"),
+        hot_or_not("C").alias("customer_id"),
         F.lit("B1").alias("branch_code"),
         F.lit("atm").alias("channel"),
         F.lit("deposit").alias("txn_type"),

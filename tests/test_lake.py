@@ -61,7 +61,9 @@ def test_corrupt_lines_are_kept_on_request(spark, tmp_path):
 
 def test_gate_is_one_table_with_two_sides(spark, tmp_path):
     raw = frame(
-        spark, schemas.RAW_TRANSACTIONS, txn(), txn(), txn(txn_id="T2", amount=-1.5), txn(txn_id="T3")
+        spark,
+        schemas.RAW_TRANSACTIONS,
+        *[txn(), txn(), txn(txn_id="T2", amount=-1.5), txn(txn_id="T3")],
     )
     files.write_gate(quality.tag_transactions(raw), str(tmp_path / "gate"))
     assert {p.name for p in (tmp_path / "gate").glob("verdict=*")} == {

@@ -129,7 +129,10 @@ def hot_feed(spark, n: int, partitions: int):
         F.lit("atm").alias("channel"),
         F.lit("deposit").alias("txn_type"),
         F.lit(True).alias("is_cash"),
-        F.when(i % 3 == 1, 5.0).when(i % 99 == 8, -1.0).otherwise(i.cast("double") + 1).alias("amount"),
+        F.when(i % 3 == 1, 5.0)
+        .when(i % 99 == 8, -1.0)
+        .otherwise(i.cast("double") + 1)
+        .alias("amount"),
         F.lit(0.0).alias("fee"),
     )
 
@@ -180,10 +183,8 @@ def test_no_task_of_the_ranking_holds_a_hot_id(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "16")
         try:
             tagged = quality.tag_transactions(hot_feed(spark, 64_000, 64))
-            sizes = [
-                row.n
-                for row in tagged.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
-            ]
+            per_task = tagged.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
+            sizes = [row.n for row in per_task.collect()]
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert sum(sizes) == 64_000

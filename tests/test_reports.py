@@ -26,7 +26,9 @@ def star(spark):
             spark, schemas.DIM_ACCOUNT, account(), account(account_key=2, product_type="current")
         ),
         "branch": frame(
-            spark, schemas.DIM_BRANCH, branch(), branch(branch_key=2, branch_code="B2", region="North")
+            spark,
+            schemas.DIM_BRANCH,
+            *[branch(), branch(branch_key=2, branch_code="B2", region="North")],
         ),
         "date": build_dim_date(spark, "2026-04-01", "2026-04-10"),
     }

@@ -90,7 +90,8 @@ def test_absent_customer_stays_open(spark):
 
 def test_null_and_empty_text_are_the_same(spark):
     first = snapshot(spark, customer(kyc_level=None))
-    assert merged(spark, first, snapshot(spark, customer(kyc_level="", snapshot_date=MAY))).count() == 1
+    second = snapshot(spark, customer(kyc_level="", snapshot_date=MAY))
+    assert merged(spark, first, second).count() == 1
 
 
 def test_closed_versions_are_carried_over(spark):

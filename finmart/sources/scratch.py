@@ -21,7 +21,9 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="finmart-"))
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="finmart-")
+    return _local_roots[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -41,7 +41,8 @@ def options_for(input_bytes: int) -> dict[str, str]:
 
     A shuffle has as many blocks as map tasks times reduce tasks, so both numbers
     stop growing at some point and the tasks grow instead; sorts spill. Adaptive
-    execution merges what turns out small.
+    execution merges what turns out small. Against terabytes, sending a somewhat larger
+    dimension to every executor is cheaper than shuffling the feed.
     """
     tasks = min(max(input_bytes // (128 * _MB), 200), 32_768)
     split = max(input_bytes // 32_768, 128 * _MB)
@@ -50,6 +51,7 @@ def options_for(input_bytes: int) -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(tasks),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * _MB),
+        "spark.sql.autoBroadcastJoinThreshold": str((64 if input_bytes >= 2**40 else 10) * _MB),
     }
 
 
@@ -60,8 +62,9 @@ def get_spark_session(
 ) -> SparkSession:
     """Start or join a session with the settings the operators rely on.
 
-    Dates are computed in UTC. Adaptive execution sizes the shuffle partitions,
-    splits the skewed ones of joins, and picks broadcasts by measured size.
+    Dates are computed in UTC. Adaptive execution sizes the shuffle partitions, splits
+    the skewed ones of joins, and picks the kind of join by measured size: broadcast a
+    small side, hash a side that is small per partition, sort otherwise.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
@@ -69,6 +72,7 @@ def get_spark_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * _MB),
         **(options or {}),
     }
     builder = SparkSession.builder.appName(app_name)

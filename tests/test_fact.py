@@ -81,7 +81,10 @@ def test_small_dimensions_are_broadcast(spark, sf_dir):
     assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
 
 
-def test_a_hot_customer_is_split_when_no_dimension_is_broadcast(spark, dims):
+@pytest.mark.parametrize(
+    ("hash_limit", "join"), [("0", "SortMergeJoin"), ("64MB", "ShuffledHashJoin")]
+)
+def test_a_hot_customer_is_split_when_no_dimension_is_broadcast(spark, dims, hash_limit, join):
     """Half of the rows belong to one customer and one account."""
     i = F.col("id")
 
@@ -107,6 +110,7 @@ def test_a_hot_customer_is_split_when_no_dimension_is_broadcast(spark, dims):
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
+        spark__sql__adaptive__maxShuffledHashJoinLocalMapThreshold=hash_limit,
     ):
         spark.conf.set("spark.sql.shuffle.partitions", "16")
         try:
@@ -115,4 +119,4 @@ def test_a_hot_customer_is_split_when_no_dimension_is_broadcast(spark, dims):
             assert df.count() == 60_000
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert plan.count("SortMergeJoin(skew=true)") >= 2
+    assert plan.count(f"{join}(skew=true)") >= 2

@@ -66,6 +66,7 @@ def test_the_reports_are_there(spark, lake, run):
     ctr = files.read_csv(spark, lake.report("ctr"), {"txn_id": "string"})
     assert ctr.count() == hits
     assert len(list(Path(lake.report("ctr")).glob("report_month=2026-0*/*.csv"))) == 3
+    assert len(list(Path(lake.report("monthly_summary")).glob("*.csv"))) == 1
     summary = files.read_csv(
         spark,
         lake.report("monthly_summary"),

@@ -244,3 +244,6 @@ def test_task_sizes_follow_the_input():
     assert sizes(2**40) == (128 * 2**20, 8192)
     split, tasks = sizes(100 * 2**40)
     assert tasks == 32_768 and split == 3200 * 2**20
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    assert session.options_for(10**9)[broadcast] == str(10 * 2**20)
+    assert session.options_for(2**40)[broadcast] == str(64 * 2**20)

@@ -161,25 +161,24 @@ def clean_transactions(raw: DataFrame, **options) -> tuple[DataFrame, DataFrame]
     return valid_transactions(raw, **options), rejected_transactions(raw, **options)
 
 
-def _ids_by_reason(raw: DataFrame, strict: bool, corrupt_column: str | None) -> DataFrame:
+def _ids_by_reason(raw: DataFrame, strict: bool) -> DataFrame:
     """Row counts per reason, or per txn_id where no row rule is broken.
 
     Counting needs no ranking: of n copies of an id, one is valid and n - 1 are
-    duplicates. Only ids and counts are shuffled, after map-side aggregation.
+    duplicates. Only ids and counts are shuffled, after map-side aggregation. Corrupt
+    lines show only where all columns are read: count those in the tagged rows.
     """
-    reason = row_reason(strict, corrupt_column).alias("reason")
+    reason = row_reason(strict).alias("reason")
     ruled = raw.select(reason, "txn_id")
     return ruled.groupBy(
         "reason", F.when(F.col("reason").isNull(), F.col("txn_id")).alias("id")
     ).agg(F.count("*").alias("n"))
 
 
-def reject_counts(
-    raw: DataFrame, strict: bool = True, corrupt_column: str | None = None
-) -> DataFrame:
+def reject_counts(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Rejected rows per reason; reasons that do not occur are left out."""
     return (
-        _ids_by_reason(raw, strict, corrupt_column)
+        _ids_by_reason(raw, strict)
         .withColumn(
             "n", F.when(F.col("reason").isNull(), F.col("n") - 1).otherwise(F.col("n"))
         )
@@ -189,11 +188,9 @@ def reject_counts(
     )
 
 
-def gate_totals(
-    raw: DataFrame, strict: bool = True, corrupt_column: str | None = None
-) -> DataFrame:
+def gate_totals(raw: DataFrame, strict: bool = True) -> DataFrame:
     """One row: total, valid and rejected."""
-    sums = _ids_by_reason(raw, strict, corrupt_column).agg(
+    sums = _ids_by_reason(raw, strict).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
         F.count_if(F.col("reason").isNull()).alias("valid"),
     )

@@ -37,7 +37,8 @@ def read_csv(
     """A CSV feed with header under its declared schema.
 
     Empty cells and cells of the wrong type are NULL. With `corrupt_column` the text
-    of lines that do not fit the schema is kept in that column.
+    of lines that do not fit the schema is kept in that column. Spark checks the cells
+    a query reads; the gate ranks by all columns and so reads them all.
     """
     reader = spark.read.option("header", True)
     if corrupt_column:

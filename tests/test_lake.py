@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from compare import spark_bag
 from finmart import schemas
 from finmart.operators import quality
-from finmart.sources import jdbc, session
+from finmart.sources import jdbc, scratch, session
 from finmart.sources import lake as files
 from finmart.sources.lake import Lake
 from finmart.sources.scratch import materialize, scratch_path, scratch_root
@@ -57,6 +58,11 @@ def test_corrupt_lines_are_kept_on_request(spark, tmp_path):
     feed = files.read_csv(spark, str(tmp_path / "feed.csv"), schemas.RAW_TRANSACTIONS, "_line")
     tagged = quality.tag_transactions(feed, corrupt_column="_line").collect()
     assert {row.txn_id: row.reject_reason for row in tagged} == {"T1": "malformed_row", "T2": None}
+    # Also for those who look at other columns than the one with the bad cell.
+    valid = quality.valid_transactions(feed, corrupt_column="_line")
+    assert [row.txn_id for row in valid.select("txn_id").collect()] == ["T2"]
+    reasons = quality.tag_transactions(feed, corrupt_column="_line").groupBy("reject_reason")
+    assert dict(reasons.count().collect()) == {"malformed_row": 1, None: 1}
 
 
 def test_gate_is_one_table_with_two_sides(spark, tmp_path):
@@ -170,6 +176,36 @@ def test_scratch_is_where_the_session_says(spark):
     assert any(Path(root, "finmart").glob("five-*"))
 
 
+class NoSetting:
+    def get(self, key, default=None):
+        return default
+
+
+@pytest.mark.parametrize(
+    ("master", "checkpoint_dir", "root"),
+    [("yarn", "hdfs://shared/dir/", "hdfs://shared/dir"), ("yarn", None, None)],
+)
+def test_scratch_without_the_setting(master, checkpoint_dir, root):
+    context = SimpleNamespace(
+        master=master, applicationId="app", getCheckpointDir=lambda: checkpoint_dir
+    )
+    session_like = SimpleNamespace(conf=NoSetting(), sparkContext=context)
+    if root:
+        assert scratch_root(session_like) == root
+    else:
+        with pytest.raises(RuntimeError, match="all executors share"):
+            scratch_root(session_like)
+
+
+def test_scratch_of_a_local_master_is_one_folder(tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch.tempfile, "mkdtemp", lambda prefix: f"{tmp_path}/{prefix}")
+    context = SimpleNamespace(
+        master="local[2]", applicationId=str(tmp_path), getCheckpointDir=lambda: None
+    )
+    session_like = SimpleNamespace(conf=NoSetting(), sparkContext=context)
+    assert scratch_root(session_like) == scratch_root(session_like) == f"{tmp_path}/finmart-"
+
+
 class Recorder:
     """Stands in for a frame and its writer and keeps what it was told."""
 

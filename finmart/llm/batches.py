@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 
 
 def text_or_empty(name: str) -> Column:
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+    return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
+
+
+def key_of(*names: str) -> Column:
+    """The columns as one text that is never null, to join and count rows by."""
+    parts = (F.coalesce(F.concat(F.lit("="), F.col(f"`{n}`").cast("string")), F.lit("-")) for n in names)
+    return F.concat_ws(":", *parts)
 
 
 def bounded(

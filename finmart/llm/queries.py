@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finmart.llm import chats, packing, pieces, quality, recipes, records, secrets, simhash
+from finmart.llm import chats, lines, packing, pieces, quality, recipes, records, secrets, simhash
 from finmart.llm.oracle import ORACLE_SQL
 from finmart.sources.scratch import scratch_path
 
@@ -31,6 +31,12 @@ def piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def similar_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.mark_lines(_documents(spark, sf_dir)).withColumn(
+        "removed", F.array_join(F.col("removed").cast("array<string>"), ",")
+    )
+
+
 def token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "records")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -113,6 +119,7 @@ def chats_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_piece_codec": piece_codec,
+    "op3_similar_lines": similar_lines,
     "op4_token_records": token_records,
     "op5_secret_scan": secret_scan,
     "op6_packing": packed,

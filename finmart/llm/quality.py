@@ -46,6 +46,7 @@ _SIGN = np.isin(np.arange(256), list(b"#*$%&|<>"))
 _BLANKS = " \t\n\v\f\r"
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+_RESULTS = [*COUNTS, "base_failed", "kept", "score"]
 
 
 class Words:
@@ -166,14 +167,14 @@ def _keys(batch: pa.RecordBatch) -> np.ndarray:
 def fit(
     docs: DataFrame,
     labels: DataFrame,
-    trusted_limit: int = 20_000,
     id_col: str = "doc_id",
     text_col: str = "text",
     quality_col: str = "quality",
+    trusted_limit: int = 20_000,
 ) -> tuple[np.ndarray, int | None]:
     """Log ratio of each bucket, and the threshold in the same unit."""
     trusted, rejected = _labelled(labels, id_col, quality_col, trusted_limit)
-    source = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text"))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BUCKETS), np.int64)
@@ -256,22 +257,15 @@ def _base_failed(n_words: np.ndarray, n_repeat_words: np.ndarray) -> np.ndarray:
     return (n_words < 50) | (100 * n_repeat_words > 50 * n_words)
 
 
-def quality_rules(
-    docs: DataFrame,
-    labels: DataFrame,
-    trusted_limit: int = 20_000,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    quality_col: str = "quality",
-    carry: tuple[str, ...] = (),
-) -> DataFrame:
-    """(id, counts, base_failed, kept, score) of every document, and the columns to
-    `carry`; `score` is the mean log ratio."""
-    ratios, threshold = fit(docs, labels, trusted_limit, id_col, text_col, quality_col)
+def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
+    """The columns of `docs` as c0, c1, ..., and the counts and verdicts of each row."""
+    place = {name: k for k, name in enumerate(docs.columns)}
+    id_at, text_at = place[id_col], place[text_col]
+    ratios, threshold = fit(docs, labels, id_col=id_col, text_col=text_col, **options)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, "_text"):
-            texts = batch.column("_text")
+        for batch in bounded(batches, f"c{text_at}"):
+            texts = batch.column(text_at).fill_null("")
             words = Words(texts)
             counts = count(texts, words)
             failed = _base_failed(counts["n_words"], counts["n_repeat_words"])
@@ -282,37 +276,48 @@ def quality_rules(
             score = sums / np.maximum(n, 1) / _GRID
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[:-1],
+                    *batch.columns,
                     *(pa.array(counts[name]) for name in COUNTS),
                     *map(pa.array, (failed, kept, score)),
                 ],
-                [f"c{k}" for k in range(len(carried))] + results,
+                [*(f"c{k}" for k in range(len(place))), *_RESULTS],
             )
 
-    carried = [docs.schema[id_col], *(docs.schema[name] for name in carry)]
-    results = [*COUNTS, "base_failed", "kept", "score"]
-    schema = [f"c{k} {field.dataType.simpleString()}" for k, field in enumerate(carried)]
+    fields = docs.schema.fields
+    schema = [f"c{k} {field.dataType.simpleString()}" for k, field in enumerate(fields)]
     schema += [f"{name} bigint" for name in COUNTS]
     schema += ["base_failed boolean", "kept boolean", "score double"]
-    columns = [F.col(f"`{field.name}`") for field in carried]
-    judged = docs.select(*columns, text_or_empty(text_col).alias("_text")).mapInArrow(
-        judge, ", ".join(schema)
+    return docs.toDF(*(f"c{k}" for k in range(len(fields)))).mapInArrow(judge, ", ".join(schema))
+
+
+def quality_rules(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    quality_col: str = "quality",
+    trusted_limit: int = 20_000,
+) -> DataFrame:
+    """(id, counts, base_failed, kept, score) of every document; `score` is the mean log
+    ratio of its n-grams."""
+    columns = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string"))
+    judged = _judged(
+        columns, labels, id_col, text_col, quality_col=quality_col, trusted_limit=trusted_limit
     )
-    names = [F.col(f"c{k}").alias(field.name) for k, field in enumerate(carried)]
-    return judged.select(*names, *results)
+    return judged.select(F.col("c0").alias(id_col), *_RESULTS)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    quality_col: str = "quality",
+    trusted_limit: int = 20_000,
+) -> DataFrame:
     """The rows of `docs` that are kept, with their columns."""
-    marks = [f"c{k}" for k in range(len(docs.columns))]
-    renamed = docs.select(*(F.col(f"`{c}`").alias(m) for c, m in zip(docs.columns, marks)))
-    place = dict(zip(docs.columns, marks))
-    id_col, text_col = options.pop("id_col", "doc_id"), options.pop("text_col", "text")
-    with_ids = renamed.withColumn("doc_id", F.col(place[id_col])).withColumn("text", F.col(place[text_col]))
-    judged = quality_rules(
-        with_ids,
-        labels.withColumnRenamed(id_col, "doc_id"),
-        carry=tuple(marks),
-        **options,
+    judged = _judged(
+        docs, labels, id_col, text_col, quality_col=quality_col, trusted_limit=trusted_limit
     )
-    return judged.where("kept").select(*(F.col(m).alias(c) for c, m in zip(docs.columns, marks)))
+    names = (F.col(f"c{k}").alias(name) for k, name in enumerate(docs.columns))
+    return judged.where("kept").select(*names)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finmart.llm import chats, lines, packing, pieces, quality, recipes, records, secrets, simhash
+from finmart.llm import chats, lines, packing, pieces, quality, recipes, records, repeats, secrets, simhash
 from finmart.llm.oracle import ORACLE_SQL
 from finmart.sources.scratch import scratch_path
 
@@ -20,6 +20,19 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda total, span: total + span["stop"] - span["start"]
+    )
+    return repeats.drop_repeats(_documents(spark, sf_dir), length=200).select(
+        "doc_id",
+        "n_bytes",
+        n.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     encoded = pieces.encode_pieces(_documents(spark, sf_dir), model)
@@ -118,6 +131,7 @@ def chats_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeats": repeated_bytes,
     "op2_piece_codec": piece_codec,
     "op3_similar_lines": similar_lines,
     "op4_token_records": token_records,

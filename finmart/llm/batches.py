@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,14 @@ def key_of(*names: str) -> Column:
     return F.concat_ws(":", *parts)
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that `docs` does not have."""
+    taken = {column.lower() for column in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def bounded(
     batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:

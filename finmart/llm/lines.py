@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finmart.llm.batches import key_of, text_or_empty
+from finmart.llm.batches import fresh, key_of, text_or_empty
 from finmart.sources.scratch import materialize
 
 BUCKETS = 1 << 20
@@ -225,14 +225,17 @@ def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` without the removed lines; ids must be unique here. Null texts stay null."""
-    marked = mark_lines(docs, id_col, text_col).select(key_of(id_col).alias("_doc"), "removed")
+    doc, gone = fresh(docs, "line_doc"), fresh(docs, "line_gone")
+    marked = mark_lines(docs, id_col, text_col).select(
+        key_of(id_col).alias(doc), F.col("removed").alias(gone)
+    )
     kept = F.expr(
-        f"array_join(filter(transform(split(`{text_col}`, '\\n'), (line, i) -> "
-        "if(array_contains(removed, i), null, line)), line -> line is not null), '\\n')"
+        f"array_join(filter(transform(split(`{text_col}`, '\n'), (line, i) -> "
+        f"if(array_contains({gone}, i), null, line)), line -> line is not null), '\n')"
     )
     return (
-        docs.withColumn("_doc", key_of(id_col))
-        .join(marked, "_doc")
+        docs.withColumn(doc, key_of(id_col))
+        .join(marked, doc)
         .withColumn(text_col, kept)
         .select(*(f"`{name}`" for name in docs.columns))
     )

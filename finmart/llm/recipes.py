@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finmart.llm.batches import key_of, text_or_empty
+from finmart.llm.batches import fresh, key_of, text_or_empty
 from finmart.sources.scratch import materialize
 
 CHUNK_LEAST, CHUNK_MOST = 1024, 16384
@@ -145,13 +145,14 @@ def drop_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of `docs` that stay, with their columns. Rows are found again by their id
-    and text digest, so long texts are not moved to be compared; equal rows with an equal
-    id are told apart by a number."""
-    key = F.concat_ws("/", key_of(id_col), F.sha2(text_or_empty(text_col), 256))
+    and text digest, so long texts are not moved to be compared; of equal rows with an
+    equal id one is left."""
+    name = fresh(docs, "copy_key")
     stays = (
         find_copies(docs, id_col, text_col)
         .where("kept")
-        .select(F.concat_ws("/", key_of(id_col), "text_sha256").alias("_key"))
+        .select(F.concat_ws("/", key_of(id_col), "text_sha256").alias(name))
     )
-    found = docs.withColumn("_key", key).join(stays, "_key", "left_semi")
-    return found.dropDuplicates(["_key"]).select(*(f"`{name}`" for name in docs.columns))
+    key = F.concat_ws("/", key_of(id_col), F.sha2(text_or_empty(text_col), 256))
+    found = docs.withColumn(name, key).join(stays, name, "left_semi")
+    return found.dropDuplicates([name]).select(*(f"`{column}`" for column in docs.columns))

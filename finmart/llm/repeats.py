@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finmart.llm.batches import bounded, ranges, text_or_empty
+from finmart.llm.batches import bounded, key_of, ranges, text_or_empty
 from finmart.llm.suffixes import sort_strings
 from finmart.sources.scratch import materialize
 
@@ -109,62 +109,70 @@ class Runs:
         return _grams(window)[::_GRAM].view(np.int64)
 
 
+# A document is known by hashes of its id and its text, which any job finds again; rows
+# that are equal in both share all results.
+_DOC = ["by_id", "by_text"]
+_LEAD, _N = 1 << 10, 1 << 10  # a run as one number: place, bytes before the anchor, strings
+
+
 def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """(hash, row, place, lead, n): a row for each run; `place` is where it starts, the
-    anchor is `lead` bytes on, and it has `n` strings."""
+    """(hash, document, run): a row for each run."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, "text", 2 << 20):
-            rows = batch.column(0).to_numpy()
-            runs = Runs([x.encode() for x in batch.column(1).to_pylist()], length)
+            runs = Runs([x.encode() for x in batch.column(2).to_pylist()], length)
+            place = runs.first - runs.base[runs.owner]
+            lead = runs.anchor - runs.first
+            owner = pa.array(runs.owner)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(runs.hashes()),
-                    pa.array(rows[runs.owner]),
-                    pa.array(runs.first - runs.base[runs.owner]),
-                    pa.array((runs.anchor - runs.first).astype(np.int32)),
-                    pa.array(runs.n.astype(np.int32)),
+                    batch.column(0).take(owner),
+                    batch.column(1).take(owner),
+                    pa.array((place * _LEAD + lead) * _N + runs.n),
                 ],
-                ["hash", "row", "place", "lead", "n"],
+                ["hash", *_DOC, "run"],
             )
 
-    return docs.select("row", "text").mapInArrow(
-        find, "hash bigint, row bigint, place bigint, lead int, n int"
+    return docs.select(*_DOC, "text").mapInArrow(
+        find, "hash bigint, by_id bigint, by_text bigint, run bigint"
     )
 
 
-_RUN = "hash bigint, row bigint, place bigint, lead int, n int, copies int, run binary"
-
-
 def _cut_runs(texts: DataFrame, length: int) -> DataFrame:
-    """The text of each run in (row, text, copies, runs). Of equal runs of a batch the
+    """The text of each run in (document, text, copies, runs). Of equal runs of a batch the
     first has the text, and it counts as repeated; the others are known to repeat."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, "text"):
             out: list[list] = []
             seen: dict[tuple[bytes, int], list] = {}
-            for row, text, copies, runs in zip(*(c.to_pylist() for c in batch.columns)):
+            for by_id, by_text, text, copies, runs in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = text.encode()
-                for run in runs:
-                    place, lead, n = run["place"], run["lead"], run["n"]
+                for hashed, run in ((run["hash"], run["run"]) for run in runs):
+                    place, lead, n = run // (_LEAD * _N), run // _N % _LEAD, run % _N
                     piece = raw[place : place + n - 1 + length]
                     known = seen.get((piece, lead))
                     if known is None:
-                        entry = [run["hash"], row, place, lead, n, copies, piece]
+                        entry = [hashed, by_id, by_text, place, lead, n, copies, piece]
                         seen[piece, lead] = entry
                     else:
-                        known[5] = 2
-                        entry = [row * 31 + place, row, place, lead, n, 2, None]
+                        known[6] = 2
+                        # Nothing is compared with it; its hash only spreads it.
+                        entry = [by_text ^ place, by_id, by_text, place, lead, n, 2, None]
                     out.append(entry)
-            columns = zip(*out) if out else [[]] * 7
+            columns = zip(*out) if out else [[]] * 8
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), k) for c, k in zip(columns, kinds)], names
             )
 
-    names = ["hash", "row", "place", "lead", "n", "copies", "run"]
-    kinds = [pa.int64()] * 3 + [pa.int32()] * 3 + [pa.binary()]
-    return texts.mapInArrow(cut, _RUN)
+    names = ["hash", *_DOC, "place", "lead", "n", "copies", "text"]
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.binary()]
+    return texts.mapInArrow(
+        cut,
+        "hash bigint, by_id bigint, by_text bigint, place bigint, lead int, n int, "
+        "copies int, text binary",
+    )
 
 
 def _repeated_starts(
@@ -206,14 +214,15 @@ def _repeated_starts(
 
 
 def _sort_runs(runs: DataFrame, length: int) -> DataFrame:
-    """(row, start, stop): stretches of string starts that repeat, by document."""
+    """(document, start, stop): stretches of bytes that repeat."""
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _blocks(batches):
-            hashes, row, place, lead, n, copies = (
-                table.column(k).to_numpy().astype(np.int64) for k in range(6)
+            hashes, place, lead, n, copies = (
+                table.column(name).to_numpy().astype(np.int64)
+                for name in ("hash", "place", "lead", "n", "copies")
             )
-            texts = table.column(6)
+            texts = table.column("text")
             known = texts.is_null().to_numpy(zero_copy_only=False)
             at = np.flatnonzero(~known)
             found, string = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -231,15 +240,16 @@ def _sort_runs(runs: DataFrame, length: int) -> DataFrame:
             firsts = np.flatnonzero(new)
             start = (place[found] + string)[firsts]
             stop = start + np.diff(np.append(firsts, len(found))) - 1 + length
+            owner = pa.array(found[firsts])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row[found[firsts]]), pa.array(start), pa.array(stop)],
-                ["row", "start", "stop"],
+                [*(table.column(name).take(owner) for name in _DOC), pa.array(start), pa.array(stop)],
+                [*_DOC, "start", "stop"],
             )
 
     return (
         runs.repartition("hash")
         .sortWithinPartitions("hash")
-        .mapInArrow(sort, "row bigint, start bigint, stop bigint")
+        .mapInArrow(sort, "by_id bigint, by_text bigint, start bigint, stop bigint")
     )
 
 
@@ -247,7 +257,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Rows in blocks that end where a hash ends."""
     held: list[pa.RecordBatch] = []
     size = 0
-    for batch in bounded(batches, "run"):
+    for batch in bounded(batches, "text"):
         held.append(batch)
         size += batch.nbytes
         if size < _BLOCK:
@@ -271,37 +281,49 @@ def _one(table: pa.Table) -> pa.RecordBatch:
 def find_repeats(
     docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, row, text, copies, spans): a row for each row of `docs`; `copies` counts equal texts,
-    `spans` are the (start, stop) in bytes that repeat, which may overlap; of texts with copies
-    all of them, and no spans are listed."""
-    if length < _GRAM or length > 1000:
+    """(id, text, copies, spans): a row for each row of `docs`; `copies` is 2 if another
+    text is equal, else 1; `spans` are the (start, stop) in bytes that repeat, which may
+    overlap. Of a text with copies all repeats, and the spans may be null."""
+    if not _GRAM <= length <= 1000:
         raise ValueError(f"length must be from {_GRAM} to 1000")
     source = docs.select(
         F.col(f"`{id_col}`").alias("id"),
-        F.monotonically_increasing_id().alias("row"),
+        F.xxhash64(key_of(id_col)).alias("by_id"),
+        F.xxhash64(text_or_empty(text_col)).alias("by_text"),
         text_or_empty(text_col).alias("text"),
     )
-    digests = materialize(source.select("row", F.sha2("text", 256).alias("sha")), "digests")
-    first = digests.groupBy("sha").agg(F.min("row").alias("first"), F.count("*").alias("copies"))
+    digests = materialize(source.select(*_DOC, F.sha2("text", 256).alias("sha")), "digests")
+    first = digests.groupBy("sha").agg(
+        F.min(F.struct(*_DOC)).alias("first"), F.count("*").alias("copies")
+    )
     # The first of equal texts goes on with their number; the others are known.
-    standing = digests.join(first, "sha").select(
-        "row", (F.col("row") == F.col("first")).alias("stands"), F.least("copies", F.lit(2)).cast("int").alias("copies")
+    standing = (
+        digests.join(first, "sha")
+        .select(
+            *_DOC,
+            (F.struct(*_DOC) == F.col("first")).alias("stands"),
+            F.least("copies", F.lit(2)).cast("int").alias("copies"),
+        )
+        .dropDuplicates(_DOC)
     )
-    texts = source.join(standing, "row")
+    texts = source.join(standing, _DOC)
 
     anchors = materialize(_find_anchors(source, length), "anchors")
     shared = anchors.groupBy("hash").agg(F.count("*").alias("uses")).where("uses > 1").select("hash")
-    runs = anchors.join(shared, "hash", "left_semi").groupBy("row").agg(
-        F.collect_list(F.struct("place", "lead", "n", "hash")).alias("runs")
-    )
-    cut = _cut_runs(
-        texts.where("stands").join(runs, "row").select("row", "text", "copies", "runs"), length
+    runs = (
+        anchors.join(shared, "hash", "left_semi")
+        .groupBy(*_DOC)
+        .agg(F.collect_set(F.struct("run", "hash")).alias("runs"))
     )
-    spans = _sort_runs(cut, length).groupBy("row").agg(
-        F.collect_list(F.struct("start", "stop")).alias("spans")
+    standing_texts = texts.where("stands").join(runs, _DOC)
+    cut = _cut_runs(standing_texts.select(*_DOC, "text", "copies", "runs"), length)
+    spans = (
+        _sort_runs(cut, length)
+        .groupBy(*_DOC)
+        .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     )
-    return texts.join(materialize(spans, "spans"), "row", "left").select(
-        "id", "row", "text", "copies", "spans"
+    return texts.join(materialize(spans, "spans"), _DOC, "left").select(
+        "id", "text", "copies", "spans"
     )
 
 

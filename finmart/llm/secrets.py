@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finmart.llm.batches import bounded, text_or_empty
+from finmart.llm.batches import bounded, fresh, text_or_empty
 
 KINDS = ("assign", "access", "hex", "pem", "der", "ssh", "jwt")
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
@@ -200,14 +200,15 @@ def _mapped(
 ) -> DataFrame:
     """All columns of `docs` and `name`, made from the text; in its place if it exists."""
     places = [field for field in docs.schema.fields if field.name != name]
+    scanned = fresh(docs, "scanned")
     source = docs.select(
-        *(F.col(f"`{field.name}`") for field in places), text_or_empty(text_col).alias("_scanned")
+        *(F.col(f"`{field.name}`") for field in places), text_or_empty(text_col).alias(scanned)
     )
     out_type = _arrow_type(kind)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, "_scanned"):
-            values = [work(text) for text in batch.column("_scanned").to_pylist()]
+        for batch in bounded(batches, scanned):
+            values = [work(text) for text in batch.column(scanned).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(values, out_type)],
                 [*(field.name for field in places), name],
@@ -237,12 +238,10 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", name: str = "spans") -
 
 def mask_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """`docs` with every secret in the text replaced by a sign."""
-    hidden = _mapped(
-        docs, text_col, "_masked", "string", lambda text: mask(text, find_secrets(text))
-    )
-    return hidden.withColumn(
-        text_col, F.when(F.col(text_col).isNotNull(), F.col("_masked"))
-    ).drop("_masked")
+    name = fresh(docs, "masked")
+    hidden = _mapped(docs, text_col, name, "string", lambda text: mask(text, find_secrets(text)))
+    masked = F.when(F.col(f"`{text_col}`").isNotNull(), F.col(name))
+    return hidden.withColumn(text_col, masked).drop(name)
 
 
 def span_text(spans: Column) -> Column:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finmart.llm.batches import bounded, key_of, text_or_empty
+from finmart.llm.batches import bounded, fresh, key_of, text_or_empty
 from finmart.sources.scratch import materialize
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -338,10 +338,11 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of `docs` that stay, with their columns: of each component the one with its
     smallest id; of several with that id, or of ids that are all null, any one."""
+    name = fresh(docs, "near_key")
     stays = (
         near_duplicates(docs, shingle, radius, id_col, text_col)
         .where(F.col(id_col).eqNullSafe(F.col("component_id")))
-        .select(key_of(id_col).alias("_key"))
+        .select(key_of(id_col).alias(name))
     )
-    found = docs.withColumn("_key", key_of(id_col)).join(stays, "_key", "left_semi")
-    return found.dropDuplicates(["_key"]).select(*(f"`{name}`" for name in docs.columns))
+    found = docs.withColumn(name, key_of(id_col)).join(stays, name, "left_semi")
+    return found.dropDuplicates([name]).select(*(f"`{column}`" for column in docs.columns))

@@ -1,0 +1,91 @@
+"""Plain versions of the operators, over all rows and without any of their tricks."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter, defaultdict
+
+import xxhash
+
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def repeated(texts: list[bytes], length: int) -> list[list[tuple[int, int]]]:
+    """Maximal stretches of bytes under strings that start twice or more."""
+    uses = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for text in texts:
+        spans: list[list[int]] = []
+        for i in range(len(text) - length + 1):
+            if uses[text[i : i + length]] > 1:
+                if spans and i <= spans[-1][1]:
+                    spans[-1][1] = i + length
+                else:
+                    spans.append([i, i + length])
+        out.append([tuple(span) for span in spans])
+    return out
+
+
+def removed_lines(docs: list[tuple[int | None, str]]) -> list[list[int]]:
+    """Lines with an earlier similar one, for documents in the order of their ids."""
+    seen: list[frozenset] = []
+    out = []
+    for _, text in docs:
+        gone = []
+        for k, line in enumerate((text or "").split("\n")):
+            words = frozenset(_WORD.findall(line))
+            if words and any(5 * len(words & other) >= 4 * len(words | other) for other in seen):
+                gone.append(k)
+            if words:
+                seen.append(words)
+        out.append(gone)
+    return out
+
+
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    words = _WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0
+    parts = [" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(part.encode(), 42) for part in parts]
+    return sum(
+        1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes)
+    )
+
+
+def components(values: list[int], radius: int) -> list[int]:
+    """For each value the first place of its component."""
+    label = list(range(len(values)))
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(values):
+            for j, b in enumerate(values):
+                if label[j] < label[i] and (a ^ b).bit_count() <= radius:
+                    label[i] = label[j]
+                    changed = True
+    return label
+
+
+def counts(text: str | None) -> tuple[int, int, int, int, int]:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    text = text or ""
+    words = _WORD.findall(text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    uses = Counter(windows)
+    covered = {i + k for i, window in enumerate(windows) if uses[window] > 1 for k in range(3)}
+    lines = [line for line in text.split("\n") if _WORD.search(line)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)),
+        len(covered),
+    )
+
+
+def copies(rows: list[tuple[int | None, str | None]]) -> dict[str, list]:
+    groups = defaultdict(list)
+    for key, text in rows:
+        groups[text or ""].append(key)
+    return groups

@@ -1,30 +1,32 @@
 """Quality rules: counts of every text, and a likelihood ratio of hashed n-grams.
 
 The base rules reject short texts and texts that mostly repeat themselves. The verdict on
-the others compares two multinomials over hashed words and word pairs: one of trusted
+the others compares two multinomials over hashed n-grams of `_GRAM` bytes: one of trusted
 documents, one of the whole corpus. A document's score is the mean log ratio of its
-n-grams; it stays if the score reaches a threshold that holds for every document.
+n-grams; it stays if the score reaches a threshold that holds for every document. N-grams
+of bytes are few enough to be known from few trusted documents, also in words never seen.
 
 - The corpus counts cover every document; what tasks send on are sums for each bucket, of
   which there are a fixed number.
 - The trusted documents are at most `trusted_limit` labelled rows (those with the smallest
   hash of their id), and so are the rejected ones that help to place the threshold.
-- The threshold parts the scores of the two labelled samples with the least weighted
-  errors, wrongly rejecting a trusted document weighing most, in the middle of the widest
-  such gap. Log ratios are whole multiples of 2^-20, so sums and verdicts do not depend on
+- Half of the labelled rows, by the hash of their id, make the trusted multinomial. The
+  others, unseen by it, place the threshold: where it parts their scores with the least
+  weighted errors, wrongly rejecting a trusted document weighing most, in the middle of
+  the widest such gap. Log ratios are whole multiples of 2^-20, so sums and verdicts do not depend on
   the order of rows.
 
 Defined results: a null or empty text has no words and fails the base rules; a row with a
 null id counts for the corpus and gets a verdict, but is never a labelled one; labels
 without an id or a quality are ignored, and of contradicting labels the lowest counts.
-Without trusted or without rejected rows there is no threshold, and the base rules decide.
+Without trusted or without rejected rows in both halves there is no threshold, and the
+base rules decide; the score of a text shorter than an n-gram is 0.
 Repeated rows each count. `quality_rules` keeps all other columns out; `keep_good`
 keeps them all.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,10 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finmart.llm.batches import bounded, text_or_empty
+from finmart.llm.batches import bounded, ranges, text_or_empty
 from finmart.llm.tiles import tile
 
 BUCKETS = 1 << 16
+_GRAM = 4  # bytes
 _GRID = 1 << 20  # log ratios are whole numbers of 1 / _GRID
 _BINS = 1 << 10  # bins of the labelled scores for each unit
 _WEIGHT = 20  # a trusted document rejected counts as so many others kept
@@ -89,18 +92,32 @@ class Words:
             marked[again + k] = True
         return marked
 
-    def buckets(self) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket and text of every word and of every pair of words in a text."""
-        hashes = np.fromiter(
-            (zlib.crc32(x.encode()) for x in self.distinct), np.uint64, len(self.distinct)
-        )
-        hashes = hashes[self.number] if len(hashes) else np.zeros(0, np.uint64)
-        joined = np.flatnonzero(self.owner[:-1] == self.owner[1:])
-        pairs = hashes[joined] * np.uint64(0x9E3779B97F4A7C15) + hashes[joined + 1] + np.uint64(1)
-        both = np.concatenate([hashes, pairs]) * np.uint64(0xD6E8FEB86659FD93)
-        return (both >> np.uint64(48)).astype(np.int64), np.concatenate(
-            [self.owner, self.owner[joined]]
-        )
+
+class Grams:
+    """The bucket of every n-gram of a batch of texts; none crosses two texts."""
+
+    def __init__(self, texts: pa.Array):
+        raw = [text.encode() for text in texts.to_pylist()]
+        data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        self.n = np.maximum(sizes - _GRAM + 1, 0)
+        hashed = np.zeros(max(len(data) - _GRAM + 1, 0), np.uint64)
+        for k in range(_GRAM):
+            hashed = hashed << np.uint64(8) | data[k : k + len(hashed)]
+        # The upper bits of a product with an odd number.
+        bucket = (hashed * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+        starts = np.cumsum(sizes) - sizes
+        self.bucket = bucket[ranges(starts, self.n)].astype(np.int64)
+
+    def per_text(self, ratios: np.ndarray) -> np.ndarray:
+        """Sum of the log ratios of each text."""
+        sums = np.concatenate([[0], np.cumsum(ratios[self.bucket])])
+        ends = np.cumsum(self.n)
+        return sums[ends] - sums[ends - self.n]
+
+    def tally(self, chosen: np.ndarray) -> np.ndarray:
+        """Number of n-grams of the chosen texts in each bucket."""
+        return np.bincount(self.bucket[np.repeat(chosen, self.n)], minlength=BUCKETS)
 
 
 def _cuts(data: np.ndarray) -> np.ndarray:
@@ -130,27 +147,19 @@ def count(texts: pa.Array, words: Words) -> dict[str, np.ndarray]:
     }
 
 
-def _sums(words: Words, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of the log ratios and number of the n-grams of each text."""
-    bucket, owner = words.buckets()
-    n = np.bincount(owner, minlength=words.n_texts)
-    order = np.argsort(owner, kind="stable")
-    sums = np.concatenate([[0], np.cumsum(ratios[bucket[order]])])
-    ends = np.cumsum(n)
-    return sums[ends] - sums[ends - n], n
-
-
 def _labelled(labels: DataFrame, id_col: str, quality_col: str, limit: int):
-    """Sorted ids of trusted and of rejected rows, `limit` of each at most."""
+    """Of the trusted and of the rejected rows, `limit` of each at most: the sorted ids of
+    either half."""
     rated = (
         labels.where(F.col(id_col).isNotNull() & F.col(quality_col).isin(0, 1))
         .groupBy(F.col(id_col).cast("long").alias("id"))
         .agg(F.min(quality_col).alias("quality"))
+        .withColumn("hash", F.xxhash64("id"))
     )
-    order = [F.xxhash64("id"), F.col("id")]
     for quality in (1, 0):
-        rows = rated.where(F.col("quality") == quality).orderBy(*order).limit(limit).collect()
-        yield np.array(sorted(row.id for row in rows), np.int64)
+        found = rated.where(F.col("quality") == quality).orderBy("hash", "id").limit(limit)
+        rows = [(row.id, row.hash % 2) for row in found.collect()]
+        yield [np.array(sorted(i for i, half in rows if half == k), np.int64) for k in (0, 1)]
 
 
 def _is_in(ids: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -174,15 +183,16 @@ def fit(
 ) -> tuple[np.ndarray, int | None]:
     """Log ratio of each bucket, and the threshold in the same unit."""
     trusted, rejected = _labelled(labels, id_col, quality_col, trusted_limit)
+    shown, trusted = trusted[0], trusted[1]
+    rejected = np.sort(np.concatenate(rejected))
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text"))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BUCKETS), np.int64)
         for batch in bounded(batches, "text"):
-            bucket, owner = Words(batch.column(1)).buckets()
-            counts[0] += np.bincount(bucket, minlength=BUCKETS)
-            good = _is_in(_keys(batch), trusted)[owner]
-            counts[1] += np.bincount(bucket[good], minlength=BUCKETS)
+            grams = Grams(batch.column(1))
+            counts[0] += np.bincount(grams.bucket, minlength=BUCKETS)
+            counts[1] += grams.tally(_is_in(_keys(batch), shown))
         used = np.flatnonzero(counts[0])
         yield pa.RecordBatch.from_arrays(
             [pa.array(used), pa.array(counts[0][used]), pa.array(counts[1][used])],
@@ -201,7 +211,7 @@ def fit(
         table[:, row.bucket] = row.raw, row.good
     shares = (table + 1) / (table.sum(axis=1, keepdims=True) + BUCKETS)
     ratios = np.rint((np.log(shares[1]) - np.log(shares[0])) * _GRID).astype(np.int64)
-    if not (len(trusted) and len(rejected)):
+    if not (len(shown) and len(trusted) and len(rejected)):
         return ratios, None
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,10 +219,10 @@ def fit(
             keys = _keys(batch)
             good, bad = _is_in(keys, trusted), _is_in(keys, rejected)
             batch = batch.filter(pa.array(good | bad))
-            words = Words(batch.column(1))
-            sums, n = _sums(words, ratios)
-            passed = ~_base_failed(words.n_words, words.per_text(words.in_repeated_windows().astype(np.int64)))
-            bins = sums[passed] * _BINS // (_GRID * n[passed])
+            words, grams = Words(batch.column(1)), Grams(batch.column(1))
+            repeated = words.per_text(words.in_repeated_windows().astype(np.int64))
+            passed = ~_base_failed(words.n_words, repeated)
+            bins = grams.per_text(ratios)[passed] * _BINS // (_GRID * grams.n[passed])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bins), pa.array(good[good | bad][passed])], ["bin", "good"]
             )
@@ -269,11 +279,12 @@ def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, **op
             words = Words(texts)
             counts = count(texts, words)
             failed = _base_failed(counts["n_words"], counts["n_repeat_words"])
-            sums, n = _sums(words, ratios)
+            grams = Grams(texts)
+            sums = grams.per_text(ratios)
             kept = ~failed
             if threshold is not None:
-                kept &= sums >= threshold * n
-            score = sums / np.maximum(n, 1) / _GRID
+                kept &= sums >= threshold * grams.n
+            score = sums / np.maximum(grams.n, 1) / _GRID
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,

@@ -112,13 +112,20 @@ def best_paths(messages: DataFrame, best: int = 1) -> DataFrame:
         ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best), "chosen"
     ).select("root", "leaf", (F.col("depth") - 1).alias("last"))
 
+    # Each step lists, with every message so far, the one 2^k above it.
     members = chosen.select("root", "leaf", F.col("last").alias("turn"), F.col("leaf").alias("id"))
     for k in reversed(range(len(jumps))):
         step = jumps[k].where("ancestor is not null").select("id", "ancestor")
-        above = members.join(step, "id").select(
-            "root", "leaf", (F.col("turn") - 2**k).alias("turn"), F.col("ancestor").alias("id")
+        both = F.array(
+            F.struct("turn", "id"),
+            F.struct((F.col("turn") - 2**k).alias("turn"), F.col("ancestor").alias("id")),
+        )
+        members = (
+            members.join(step, "id", "left")
+            .select("root", "leaf", F.explode(both).alias("at"))
+            .where("at.id is not null")
+            .select("root", "leaf", "at.turn", "at.id")
         )
-        members = members.union(above)
     return members
 
 

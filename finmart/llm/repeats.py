@@ -140,14 +140,14 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _cut_runs(texts: DataFrame, length: int) -> DataFrame:
-    """The text of each run in (document, text, copies, runs). Of equal runs of a batch the
+    """The text of each run in (id, document, text, copies, runs). Of equal runs of a batch the
     first has the text, and it counts as repeated; the others are known to repeat."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, "text"):
             out: list[list] = []
             seen: dict[tuple[bytes, int], list] = {}
-            for by_id, by_text, text, copies, runs in zip(*(c.to_pylist() for c in batch.columns)):
+            for by_id, by_text, text, copies, runs in zip(*(c.to_pylist() for c in batch.columns[1:])):
                 raw = text.encode()
                 for hashed, run in ((run["hash"], run["run"]) for run in runs):
                     place, lead, n = run // (_LEAD * _N), run // _N % _LEAD, run % _N
@@ -316,13 +316,14 @@ def find_repeats(
         .agg(F.collect_set(F.struct("run", "hash")).alias("runs"))
     )
     standing_texts = texts.where("stands").join(runs, _DOC)
-    cut = _cut_runs(standing_texts.select(*_DOC, "text", "copies", "runs"), length)
+    # The id goes along so that this and the last join read the same shuffled texts.
+    cut = _cut_runs(standing_texts.select("id", *_DOC, "text", "copies", "runs"), length)
     spans = (
         _sort_runs(cut, length)
         .groupBy(*_DOC)
         .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     )
-    return texts.join(materialize(spans, "spans"), _DOC, "left").select(
+    return texts.join(spans, _DOC, "left").select(
         "id", "text", "copies", "spans"
     )
 

@@ -10,7 +10,12 @@ from finmart.plans import jobs
 from finmart.plans.reports import CTR_THRESHOLD
 from finmart.sources.lake import Lake, write_csv
 from finmart.sources.seed import SEED
-from finmart.sources.session import get_spark_session, object_store_options, options_for
+from finmart.sources.session import (
+    UNDECLARED,
+    get_spark_session,
+    object_store_options,
+    options_for,
+)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -45,7 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     stage = commands.add_parser(
         "stage", parents=[shared, snapshots], help="gate the raw feeds"
     )
-    stage.add_argument("--lenient", action="store_true", help="only the null and sign rules")
+    stage.add_argument("--lenient", action="store_true", help="dates need not be dates")
     stage.add_argument("--corrupt-column", help="reject lines that do not fit the schema")
 
     load = commands.add_parser(
@@ -62,6 +67,7 @@ def _parser() -> argparse.ArgumentParser:
     query = commands.add_parser("sql", parents=[shared], help="query the star schema")
     query.add_argument("text", help="a SELECT over the five tables")
     query.add_argument("--output", help="write the result there as CSV instead of showing it")
+    query.add_argument("--rows", type=int, default=1000, help="rows to show at most")
     return parser
 
 
@@ -71,7 +77,10 @@ def _pairs(settings: Sequence[str]) -> dict[str, str]:
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    options = options_for(args.input_gb * 2**30) if args.input_gb else {}
+    on_cluster = not (args.master or "").startswith("local")
+    options = {}
+    if args.input_gb or on_cluster:
+        options = options_for(args.input_gb * 2**30 if args.input_gb else UNDECLARED)
     if args.s3_endpoint:
         options |= object_store_options(args.s3_endpoint)
     spark = get_spark_session(
@@ -95,7 +104,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             spark,
             lake,
             args.snapshot_feeds,
-            strict=not args.lenient,
+            strict_dates=not args.lenient,
             corrupt_column=args.corrupt_column,
         )
     elif args.job == "load":
@@ -118,6 +127,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             write_csv(rows, args.output)
             result = args.output
         else:
-            rows.show(truncate=False)  # the first rows
+            # Says so itself where there are more rows.
+            rows.show(args.rows, truncate=False)
             result = "done"
     print(f"[{args.job}] {result}")

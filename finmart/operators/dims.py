@@ -19,6 +19,13 @@ def look_up(
     return df.join(dimension.select(key, *columns), key, how)
 
 
+def check_unique(feed: DataFrame, key: str) -> None:
+    """Raise ValueError if a key occurs twice. Only keys and counts are shuffled."""
+    repeated = feed.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").count()
+    if repeated:
+        raise ValueError(f"{repeated} values of {key} are in their feed twice")
+
+
 def build_dim_date(spark: SparkSession, start: str | date, end: str | date) -> DataFrame:
     """One row per day from `start` to `end`, both included."""
     first, last = (date.fromisoformat(str(day)) for day in (start, end))

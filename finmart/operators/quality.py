@@ -40,21 +40,21 @@ TIE_BREAK = (
 )
 
 
-def row_reason(strict: bool = True, corrupt_column: str | None = None) -> Column:
+def row_reason(strict_dates: bool = True, corrupt_column: str | None = None) -> Column:
     """The first row rule a raw transaction breaks, or NULL.
 
     The rules look at the value as sent: rounded to money first, -0.004 would pass
-    as zero. `strict` adds the rules for money that has no decimal(15,2) value (NaN,
-    out of range) and for text that is no date; without it both pass the gate.
+    as zero. Money that has no decimal(15,2) value (NaN, out of range) never passes.
+    `strict_dates` adds the rule for text that is no date.
     """
     missing = reduce(or_, [F.col(name).isNull() for name in REQUIRED])
     reason = F.when(missing, NULL_FIELD).when(F.col("amount") < 0, NEGATIVE)
-    if strict:
-        unmoney = [
-            F.col(name).isNotNull() & F.col(name).try_cast(MONEY).isNull()
-            for name in ("amount", "fee")
-        ]
-        reason = reason.when(reduce(or_, unmoney), BAD_AMOUNT)
+    unmoney = [
+        F.col(name).isNotNull() & F.col(name).try_cast(MONEY).isNull()
+        for name in ("amount", "fee")
+    ]
+    reason = reason.when(reduce(or_, unmoney), BAD_AMOUNT)
+    if strict_dates:
         reason = reason.when(F.col("txn_date").try_cast("date").isNull(), BAD_DATE)
     if corrupt_column:
         reason = reason.when(F.col(corrupt_column).isNotNull(), MALFORMED)
@@ -74,7 +74,7 @@ def _total_order(raw: DataFrame, tie_break: Sequence[str]) -> list[Column]:
 def tag_transactions(
     raw: DataFrame,
     tie_break: Sequence[str] = TIE_BREAK,
-    strict: bool = True,
+    strict_dates: bool = True,
     corrupt_column: str | None = None,
 ) -> DataFrame:
     """All raw rows plus `reject_reason`, NULL on the valid ones, from one scan.
@@ -89,7 +89,7 @@ def tag_transactions(
     order = _total_order(raw, tie_break)
     ruled = raw.withColumns(
         {
-            "reject_reason": row_reason(strict, corrupt_column),
+            "reject_reason": row_reason(strict_dates, corrupt_column),
             "_part": F.spark_partition_id(),
         }
     )
@@ -123,7 +123,7 @@ def as_money(df: DataFrame) -> DataFrame:
 def valid_transactions(
     raw: DataFrame,
     tie_break: Sequence[str] = TIE_BREAK,
-    strict: bool = True,
+    strict_dates: bool = True,
     corrupt_column: str | None = None,
 ) -> DataFrame:
     """Only the valid rows: the same rows as the untagged ones of `tag_transactions`.
@@ -133,7 +133,7 @@ def valid_transactions(
     """
     by_id = Window.partitionBy(_ID_HASH, "txn_id").orderBy(*_total_order(raw, tie_break))
     survivors = (
-        raw.where(row_reason(strict, corrupt_column).isNull())
+        raw.where(row_reason(strict_dates, corrupt_column).isNull())
         .withColumn(_ID_HASH, F.xxhash64("txn_id"))
         .withColumn("_rank", F.row_number().over(by_id))
         .where("_rank = 1")
@@ -147,11 +147,11 @@ def valid_transactions(
 def rejected_transactions(
     raw: DataFrame,
     tie_break: Sequence[str] = TIE_BREAK,
-    strict: bool = True,
+    strict_dates: bool = True,
     corrupt_column: str | None = None,
 ) -> DataFrame:
     """The rejected rows as they were sent, each with its one reason."""
-    return tag_transactions(raw, tie_break, strict, corrupt_column).where(
+    return tag_transactions(raw, tie_break, strict_dates, corrupt_column).where(
         "reject_reason is not null"
     )
 
@@ -161,24 +161,24 @@ def clean_transactions(raw: DataFrame, **options) -> tuple[DataFrame, DataFrame]
     return valid_transactions(raw, **options), rejected_transactions(raw, **options)
 
 
-def _ids_by_reason(raw: DataFrame, strict: bool) -> DataFrame:
+def _ids_by_reason(raw: DataFrame, strict_dates: bool) -> DataFrame:
     """Row counts per reason, or per txn_id where no row rule is broken.
 
     Counting needs no ranking: of n copies of an id, one is valid and n - 1 are
     duplicates. Only ids and counts are shuffled, after map-side aggregation. Corrupt
     lines show only where all columns are read: count those in the tagged rows.
     """
-    reason = row_reason(strict).alias("reason")
+    reason = row_reason(strict_dates).alias("reason")
     ruled = raw.select(reason, "txn_id")
     return ruled.groupBy(
         "reason", F.when(F.col("reason").isNull(), F.col("txn_id")).alias("id")
     ).agg(F.count("*").alias("n"))
 
 
-def reject_counts(raw: DataFrame, strict: bool = True) -> DataFrame:
+def reject_counts(raw: DataFrame, strict_dates: bool = True) -> DataFrame:
     """Rejected rows per reason; reasons that do not occur are left out."""
     return (
-        _ids_by_reason(raw, strict)
+        _ids_by_reason(raw, strict_dates)
         .withColumn(
             "n", F.when(F.col("reason").isNull(), F.col("n") - 1).otherwise(F.col("n"))
         )
@@ -188,9 +188,9 @@ def reject_counts(raw: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def gate_totals(raw: DataFrame, strict: bool = True) -> DataFrame:
+def gate_totals(raw: DataFrame, strict_dates: bool = True) -> DataFrame:
     """One row: total, valid and rejected."""
-    sums = _ids_by_reason(raw, strict).agg(
+    sums = _ids_by_reason(raw, strict_dates).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
         F.count_if(F.col("reason").isNull()).alias("valid"),
     )

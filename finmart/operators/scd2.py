@@ -51,6 +51,18 @@ def check_snapshot(incoming: DataFrame, once_per: Sequence[str] = ("customer_id"
         raise ValueError(f"customer snapshot is not one dated row per customer: {faults}")
 
 
+def check_history(dim: DataFrame) -> None:
+    """Raise ValueError if versions of a customer overlap, such as two open ones."""
+    by_customer = Window.partitionBy("customer_id").orderBy("effective_from", "customer_key")
+    following = dim.select(
+        "effective_to", F.lead("effective_from").over(by_customer).alias("next")
+    )
+    ends_late = F.col("effective_to").isNull() | (F.col("effective_to") > F.col("next"))
+    found = following.where(F.col("next").isNotNull() & ends_late).count()
+    if found:
+        raise ValueError(f"customer history has {found} versions that overlap the next one")
+
+
 def _open_versions(dim: DataFrame) -> DataFrame:
     return dim.where("is_current")
 
@@ -75,6 +87,7 @@ def scd2_merge(current_dim: DataFrame, incoming: DataFrame) -> DataFrame:
     """
     incoming = incoming.select(*_SNAPSHOT)
     check_snapshot(incoming)
+    check_history(current_dim)
     top_key = current_dim.agg(F.coalesce(F.max("customer_key"), F.lit(0))).first()[0]
 
     current_dim = current_dim.select(*DIM_CUSTOMER)

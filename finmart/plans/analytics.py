@@ -58,9 +58,8 @@ def product_mix_by_region(
     fact: DataFrame, dim_branch: DataFrame, dim_account: DataFrame
 ) -> DataFrame:
     """Count and mean amount per region and product type."""
-    booked = fact.select("branch_key", "account_key", "amount")
-    booked = look_up(booked, dim_account, "account_key", "product_type", how="inner")
-    sums = _sums(booked, "branch_key", "product_type")
+    sums = _sums(fact, "branch_key", "account_key")
+    sums = look_up(sums, dim_account, "account_key", "product_type", how="inner")
     return (
         look_up(sums, dim_branch, "branch_key", "region", how="inner")
         .groupBy("region", "product_type")

@@ -104,7 +104,7 @@ def fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact.unresolved_keys(fact_transactions(spark, sf_dir))
+    return fact.unresolved_keys(roles.warehouse(spark, sf_dir)["fact_transactions"])
 
 
 # Reports and analytics.
@@ -171,9 +171,10 @@ def gate_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_sent = roles.transactions(spark, sf_dir).withColumns(
         {name: F.col(name).cast("double") for name in ("amount", "fee")}
     )
-    files.write_gate(quality.tag_transactions(as_sent), path)
-    valid = files.read_valid(spark, path).withColumn("reject_reason", F.lit(None).cast("string"))
-    return valid.unionByName(quality.as_money(files.read_rejects(spark, path)))
+    files.write_gate(quality.tag_transactions(as_sent), f"{path}/valid", f"{path}/rejects")
+    valid = files.read_valid(spark, f"{path}/valid")
+    rejects = quality.as_money(files.read_rejects(spark, f"{path}/rejects"))
+    return valid.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejects)
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

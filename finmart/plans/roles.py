@@ -14,16 +14,24 @@ from finmart.sources.scratch import materialize, scratch_path
 PERIOD = Period(end=date(2026, 6, 30), days=90)
 THRESHOLD = 100_000  # amounts in these tables reach about 105,000
 
+
+
+def _padded(number: str, width: int) -> str:
+    """The digits of a number with zeros in front up to `width`; longer ones stay whole."""
+    digits = f"cast({number} as string)"
+    return f"lpad({digits}, cast(greatest(length({digits}), {width}) as int), '0')"
+
+
 # The remainders give every change class its customers: some come with the second
 # snapshot, some are missing from it, some moved, and some of those changed segment.
-_SNAPSHOT = """
-select 'CUST' || lpad(cast(c_custkey as string), 6, '0') as customer_id, c_name as name,
-       {segment} as segment, n_name as province,
+_SNAPSHOT = f"""
+select 'CUST' || {_padded("c_custkey", 6)} as customer_id, c_name as name,
+       {{segment}} as segment, n_name as province,
        case when c_acctbal < 4500 then 'basic' when c_acctbal < 8350 then 'standard'
             else 'enhanced' end as kyc_level,
-       date '{day}' as snapshot_date
-from {{customer}} join {{nation}} on {nation} = n_nationkey
-where c_custkey % 50 <> {absent}
+       date '{{day}}' as snapshot_date
+from {{{{customer}}}} join {{{{nation}}}} on {{nation}} = n_nationkey
+where c_custkey % 50 <> {{absent}}
 """
 _AS_IS = {"segment": "c_mktsegment", "nation": "c_nationkey"}
 _DRIFTED = {
@@ -33,34 +41,34 @@ _DRIFTED = {
 
 # Spark and DuckDB both run these. Tables are in braces.
 VIEWS = {
-    "raw_branches": """
-select 'BR' || lpad(cast(n_nationkey as string), 3, '0') as branch_code,
+    "raw_branches": f"""
+select 'BR' || {_padded("n_nationkey", 3)} as branch_code,
        n_name || ' Branch' as branch_name, n_name as province, r_name as region
-from {nation} join {region} on n_regionkey = r_regionkey
+from {{nation}} join {{region}} on n_regionkey = r_regionkey
 """,
-    "raw_accounts": """
-select 'ACC' || lpad(cast(p_partkey as string), 7, '0') as account_id,
-       'CUST' || lpad(cast(p_partkey % 150 as string), 6, '0') as customer_id,
+    "raw_accounts": f"""
+select 'ACC' || {_padded("p_partkey", 7)} as account_id,
+       'CUST' || {_padded("p_partkey % 150", 6)} as customer_id,
        case when p_size <= 30 then 'savings' when p_size <= 45 then 'current'
             else 'fixed_deposit' end as product_type,
        'THB' as currency,
        '202' || cast(p_size % 6 as string) || '-01-15' as opened_date,
        case when p_size <= 42 then 'active' when p_size <= 47 then 'dormant'
             else 'closed' end as status
-from {part}
+from {{part}}
 """,
     "snap1": _SNAPSHOT.format(day="2026-04-02", absent=3, **_AS_IS),
     "snap2": _SNAPSHOT.format(day="2026-05-17", absent=7, **_DRIFTED),
-    "raw_txns": """
-select 'TXN' || lpad(cast(l_orderkey as string), 8, '0') || '-' || cast(l_linenumber as string)
+    "raw_txns": f"""
+select 'TXN' || {_padded("l_orderkey", 8)} || '-' || cast(l_linenumber as string)
            as txn_id,
        cast(date '2026-04-02' + cast((year(l_shipdate) * 372 + month(l_shipdate) * 31
                                       + day(l_shipdate)) % 90 as int) as string) as txn_date,
        case when l_partkey % 101 = 0 then null
-            else 'ACC' || lpad(cast(l_partkey as string), 7, '0') end as account_id,
+            else 'ACC' || {_padded("l_partkey", 7)} end as account_id,
        case when l_orderkey % 97 = 0 then null
-            else 'CUST' || lpad(cast(o_custkey as string), 6, '0') end as customer_id,
-       'BR' || lpad(cast(l_suppkey % 25 as string), 3, '0') as branch_code,
+            else 'CUST' || {_padded("o_custkey", 6)} end as customer_id,
+       'BR' || {_padded("l_suppkey % 25", 3)} as branch_code,
        case when l_returnflag = 'N'
             then (case when l_linenumber % 2 = 0 then 'mobile' else 'internet' end)
             else (case when l_linenumber % 2 = 0 then 'branch' else 'atm' end) end as channel,
@@ -70,7 +78,7 @@ select 'TXN' || lpad(cast(l_orderkey as string), 8, '0') || '-' || cast(l_linenu
        cast(case when l_orderkey % 83 = 0 then null when l_orderkey % 89 = 0 then -l_extendedprice
                  else l_extendedprice end as decimal(15,2)) as amount,
        cast(case when l_linenumber % 5 in (3, 4) then l_tax else 0 end as decimal(15,2)) as fee
-from {lineitem} join {orders} on l_orderkey = o_orderkey
+from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
 """,
 }
 

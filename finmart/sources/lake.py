@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finmart.operators.quality import as_money
-from finmart.schemas import FACT_TRANSACTIONS, RAW_TRANSACTIONS, ddl
+from finmart.schemas import FACT_TRANSACTIONS, MONEY, RAW_TRANSACTIONS, ddl
+from finmart.sources.scratch import scratch_path
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,10 @@ class Lake:
     def staging(self, feed: str) -> str:
         return f"{self.base}/staging/{feed}"
 
+    @property
+    def rejects(self) -> str:
+        return self.staging("_rejects")
+
     def warehouse(self, table: str) -> str:
         return f"{self.base}/warehouse/{table}"
 
@@ -59,29 +64,32 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-# Gate output: one table with a folder per verdict, so one job writes both sides.
+# Gate output: valid rows with exact money, and rejected ones as they were sent. The
+# tagged rows are written once, by verdict, and each side is copied from its folder, so
+# that both come from the same scan of the feed.
 
-_GATE = {**RAW_TRANSACTIONS, "reject_reason": "string", "verdict": "string"}
+_GATE = {**RAW_TRANSACTIONS, "reject_reason": "string"}
+_VALID = {
+    name: MONEY if name in ("amount", "fee") else kind for name, kind in RAW_TRANSACTIONS.items()
+}
 
 
-def write_gate(tagged: DataFrame, path: str) -> None:
-    verdict = F.when(F.col("reject_reason").isNull(), "valid").otherwise("rejected")
-    (
-        tagged.withColumn("verdict", verdict)
-        .write.mode("overwrite")
-        .partitionBy("verdict")
-        .parquet(path)
-    )
+def write_gate(tagged: DataFrame, valid_path: str, rejects_path: str) -> None:
+    spark = tagged.sparkSession
+    both = scratch_path(spark, "gate")
+    verdict = F.col("reject_reason").isNull().alias("valid")
+    tagged.select(*RAW_TRANSACTIONS, "reject_reason", verdict).write.partitionBy("valid").parquet(both)
+    rows = read_parquet(spark, both, {**_GATE, "valid": "boolean"})
+    write_parquet(as_money(rows.where("valid").select(*RAW_TRANSACTIONS)), valid_path)
+    write_parquet(rows.where("not valid").select(*_GATE), rejects_path)
 
 
 def read_valid(spark: SparkSession, path: str) -> DataFrame:
-    rows = read_parquet(spark, path, _GATE).where("verdict = 'valid'")
-    return as_money(rows.select(*RAW_TRANSACTIONS))
+    return read_parquet(spark, path, _VALID)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    rows = read_parquet(spark, path, _GATE).where("verdict = 'rejected'")
-    return rows.select(*RAW_TRANSACTIONS, "reject_reason")
+    return read_parquet(spark, path, _GATE)
 
 
 # The fact lies in a folder per month, sorted by day in each file: a date range
@@ -134,6 +142,15 @@ def read_partitioned_csv(
 
 
 def month_files(df: DataFrame, by: str, order_by: list[str]) -> DataFrame:
-    """Lay rows out so that `write_partitioned_csv` makes one sorted file per month,
-    all months in parallel. A month too large for one task becomes several files."""
-    return df.hint("rebalance", by).sortWithinPartitions(by, *order_by)
+    """Lay rows out so that `write_partitioned_csv` makes sorted files per month.
+
+    Rows are dealt by ranges of month and order, so a file holds one stretch of a month
+    and no two files of a month overlap: read by name, they are the month in order. A
+    month that fits one task is one file unless a range ends inside it.
+    """
+    return df.repartitionByRange(by, *order_by).sortWithinPartitions(by, *order_by)
+
+
+def write_one_csv(df: DataFrame, path: str) -> None:
+    """One file, for a result as small as a report: a row per group of a few columns."""
+    write_csv(df.coalesce(1), path)

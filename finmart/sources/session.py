@@ -34,24 +34,26 @@ def object_store_options(
 
 
 _MB = 2**20
+_TASK = 256 * _MB
+# What a cluster is set up for if nobody says how large the feeds are.
+UNDECLARED = 2**40
 
 
 def options_for(input_bytes: int) -> dict[str, str]:
     """Split, shuffle and file sizes for feeds of about `input_bytes`.
 
-    A shuffle has as many blocks as map tasks times reduce tasks, so both numbers
-    stop growing at some point and the tasks grow instead; sorts spill. Adaptive
-    execution merges what turns out small. Against terabytes, sending a somewhat larger
-    dimension to every executor is cheaper than shuffling the feed.
+    Tasks are of about the same size whatever the size of the feed, so their number grows
+    with it; adaptive execution merges what turns out small. A dimension is broadcast
+    below the same size everywhere.
     """
-    tasks = min(max(input_bytes // (128 * _MB), 200), 32_768)
-    split = max(input_bytes // 32_768, 128 * _MB)
     return {
-        "spark.sql.files.maxPartitionBytes": str(split),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(tasks),
+        "spark.sql.files.maxPartitionBytes": str(128 * _MB),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(
+            max(-(-input_bytes // _TASK), 200)
+        ),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * _MB),
-        "spark.sql.autoBroadcastJoinThreshold": str((64 if input_bytes >= 2**40 else 10) * _MB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_TASK),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 * _MB),
     }
 
 

@@ -140,14 +140,17 @@ def test_jobs_can_run_again(spark, lake, run):
 
 def test_an_account_given_twice_is_noticed(spark, lake, run, tmp_path):
     copy = Lake(str(tmp_path))
-    for feed in ("branches", "customers_snapshot1", "customers_snapshot2", "transactions"):
+    feeds = ("branches", "accounts", "customers_snapshot1", "customers_snapshot2", "transactions")
+    for feed in feeds:
         files.write_parquet(spark.read.parquet(lake.staging(feed)), copy.staging(feed))
+    jobs.staging_to_warehouse(spark, copy)
+    published = {name: spark_bag(df) for name, df in jobs.read_star(spark, copy).items()}
     accounts = files.read_parquet(spark, lake.staging("accounts"), schemas.RAW_ACCOUNTS)
     files.write_parquet(accounts.unionByName(accounts.limit(1)), copy.staging("accounts"))
-    gate = spark.read.parquet(lake.staging("transactions"))
-    gate.write.mode("overwrite").partitionBy("verdict").parquet(copy.staging("transactions"))
-    with pytest.raises(ValueError, match="in its feed twice"):
+    with pytest.raises(ValueError, match="in their feed twice"):
         jobs.staging_to_warehouse(spark, copy)
+    # What was published before is untouched.
+    assert published == {name: spark_bag(df) for name, df in jobs.read_star(spark, copy).items()}
 
 
 def test_commands(spark, tmp_path, capsys, monkeypatch):

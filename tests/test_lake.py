@@ -14,7 +14,7 @@ from finmart.sources import jdbc, scratch, session
 from finmart.sources import lake as files
 from finmart.sources.lake import Lake
 from finmart.sources.scratch import materialize, scratch_path, scratch_root
-from plans import plan_of
+from plans import plan_of, settings
 from rows import booked, frame, txn
 
 CTR = {"txn_id": "string", "date": "date", "report_month": "string", "amount": schemas.MONEY}
@@ -65,28 +65,40 @@ def test_corrupt_lines_are_kept_on_request(spark, tmp_path):
     assert dict(reasons.count().collect()) == {"malformed_row": 1, None: 1}
 
 
-def test_gate_is_one_table_with_two_sides(spark, tmp_path):
+def test_gate_sides_are_tables_of_their_own(spark, tmp_path):
     raw = frame(
         spark,
         schemas.RAW_TRANSACTIONS,
         *[txn(), txn(), txn(txn_id="T2", amount=-1.5), txn(txn_id="T3")],
     )
-    files.write_gate(quality.tag_transactions(raw), str(tmp_path / "gate"))
-    assert {p.name for p in (tmp_path / "gate").glob("verdict=*")} == {
-        "verdict=valid",
-        "verdict=rejected",
-    }
-    valid = files.read_valid(spark, str(tmp_path / "gate"))
-    rejects = files.read_rejects(spark, str(tmp_path / "gate"))
-    assert spark_bag(valid) == spark_bag(quality.valid_transactions(raw))
+    places = str(tmp_path / "transactions"), str(tmp_path / "_rejects")
+    files.write_gate(quality.tag_transactions(raw), *places)
+    # A plain read gives valid rows only, with exact money.
+    plain = spark.read.parquet(places[0])
+    assert spark_bag(plain) == spark_bag(quality.valid_transactions(raw))
+    assert dict(plain.dtypes)["amount"] == dict(plain.dtypes)["fee"] == schemas.MONEY
+    assert spark_bag(files.read_valid(spark, places[0])) == spark_bag(plain)
+    rejects = files.read_rejects(spark, places[1])
     assert spark_bag(rejects) == spark_bag(quality.rejected_transactions(raw))
-    assert "verdict=valid" not in plan_of(rejects)
 
 
 def test_a_gate_without_rejects_reads_empty(spark, tmp_path):
     raw = frame(spark, schemas.RAW_TRANSACTIONS, txn())
-    files.write_gate(quality.tag_transactions(raw), str(tmp_path / "gate"))
-    assert files.read_rejects(spark, str(tmp_path / "gate")).count() == 0
+    files.write_gate(quality.tag_transactions(raw), str(tmp_path / "valid"), str(tmp_path / "rejects"))
+    assert files.read_rejects(spark, str(tmp_path / "rejects")).count() == 0
+
+
+def test_files_of_a_month_do_not_overlap(spark, tmp_path):
+    rows = spark.range(5000).selectExpr(
+        "concat('2026-0', 1 + id % 2) as month", "cast(id * 7919 % 5000 as int) as place"
+    )
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        files.write_partitioned_csv(files.month_files(rows, "month", ["place"]), str(tmp_path / "r"), "month")
+    for month in (tmp_path / "r").glob("month=*"):
+        parts = [part.read_text().split()[1:] for part in sorted(month.glob("part-*"))]
+        assert len(parts) > 1
+        together = [int(place) for part in parts for place in part]
+        assert together == sorted(together) and len(together) == 2500
 
 
 @pytest.fixture
@@ -276,10 +288,8 @@ def test_task_sizes_follow_the_input():
             )
         )
 
-    assert sizes(10**6) == (128 * 2**20, 200)
-    assert sizes(2**40) == (128 * 2**20, 8192)
-    split, tasks = sizes(100 * 2**40)
-    assert tasks == 32_768 and split == 3200 * 2**20
-    broadcast = "spark.sql.autoBroadcastJoinThreshold"
-    assert session.options_for(10**9)[broadcast] == str(10 * 2**20)
-    assert session.options_for(2**40)[broadcast] == str(64 * 2**20)
+    for n_bytes in (10**6, 10**9, 2**40, 100 * 2**40):
+        split, tasks = sizes(n_bytes)
+        assert split == 128 * 2**20
+        assert tasks == 200 or 128 * 2**20 <= n_bytes / tasks <= 256 * 2**20
+        assert session.options_for(n_bytes)["spark.sql.autoBroadcastJoinThreshold"] == str(10 * 2**20)

@@ -213,3 +213,19 @@ def test_layout_does_not_matter(spark, partitions):
     moved = [df.repartition(partitions) for df in snapshots]
     assert spark_bag(scd2.scd2_replay(moved)) == spark_bag(scd2.scd2_replay(snapshots))
     assert spark_bag(merged(spark, *moved)) == spark_bag(merged(spark, *snapshots))
+
+
+def test_overlapping_versions_fail(spark):
+    two_open = [version(), version(customer_key=2, effective_from=date(2026, 2, 1))]
+    late = [
+        version(effective_to=date(2026, 3, 1), is_current=False),
+        version(customer_key=2, effective_from=date(2026, 2, 1)),
+    ]
+    fine = [
+        version(effective_to=date(2026, 2, 1), is_current=False),
+        version(customer_key=2, effective_from=date(2026, 2, 1)),
+    ]
+    for rows in (two_open, late):
+        with pytest.raises(ValueError, match="overlap"):
+            scd2.check_history(frame(spark, schemas.DIM_CUSTOMER, *rows))
+    scd2.check_history(frame(spark, schemas.DIM_CUSTOMER, *fine))

@@ -79,8 +79,8 @@ def random_history(rng: Random) -> list[list[dict]]:
         [
             customer(
                 customer_id=f"C{i}",
-                segment=rng.choice([None, "", "retail", "sme"]),
-                province=rng.choice(["Bangkok", "Phuket"]),
+                segment=rng.choice([None, "", "private", "sme"]),
+                province=rng.choice(["Rayong", "Phuket"]),
                 snapshot_date=day,
             )
             for i in range(30)

@@ -19,7 +19,7 @@ def star(spark):
         "customer": frame(
             spark,
             schemas.DIM_CUSTOMER,
-            version(is_current=False, segment="retail"),
+            version(is_current=False, segment="private"),
             version(customer_key=2, segment="sme"),
         ),
         "account": frame(
@@ -67,7 +67,7 @@ def test_ctr_is_large_cash(spark, star):
 
 def test_ctr_shows_the_version_of_the_day(spark, star):
     rows = ctr(spark, star, booked(amount=3e6), booked(txn_id="T2", customer_key=2, amount=3e6))
-    assert [row.segment for row in rows.collect()] == ["retail", "sme"]
+    assert [row.segment for row in rows.collect()] == ["private", "sme"]
 
 
 def test_ctr_keeps_rows_without_context(spark, star):
@@ -202,8 +202,8 @@ def test_cash_by_branch_month(spark, star):
     )
     assert spark_bag(rows) == {
         # branch_name, is_cash, month, total_amount, txn_count, year
-        ("Main", False, 4, Decimal("5.50"), 1, 2026): 1,
-        ("Main", True, 4, Decimal(200), 2, 2026): 1,
+        ("Harbour", False, 4, Decimal("5.50"), 1, 2026): 1,
+        ("Harbour", True, 4, Decimal(200), 2, 2026): 1,
     }
 
 
@@ -243,7 +243,7 @@ def test_product_mix_mean(spark, star):
         star["account"],
     ).collect()
     assert [(row.region, row.product_type, row.txn_count, row.avg_amount) for row in rows] == [
-        ("Central", "savings", 3, Decimal("1.333333")),
+        ("Coast", "term", 3, Decimal("1.333333")),
         ("North", "current", 1, Decimal(7)),
     ]
 

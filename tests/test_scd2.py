@@ -57,7 +57,7 @@ def test_change_closes_and_opens(spark):
     old, new = rows["C1", APRIL], rows["C1", MAY]
     assert (old.customer_key, old.province, old.effective_to, old.is_current) == (
         1,
-        "Bangkok",
+        "Rayong",
         MAY,
         False,
     )
@@ -99,7 +99,7 @@ def test_closed_versions_are_carried_over(spark):
         spark,
         snapshot(spark, customer()),
         snapshot(spark, customer(segment="sme", snapshot_date=MAY)),
-        snapshot(spark, customer(segment="retail", snapshot_date=JUNE)),
+        snapshot(spark, customer(segment="private", snapshot_date=JUNE)),
     )
     spans = {(r.effective_from, r.effective_to, r.customer_key) for r in by_id(df).values()}
     assert spans == {(APRIL, MAY, 1), (MAY, JUNE, 2), (JUNE, None, 3)}
@@ -174,7 +174,7 @@ def random_snapshots(spark, seed: int):
             *[
                 customer(
                     customer_id=f"C{i}",
-                    province=["Bangkok", "Phuket"][pick(i, day, "p", 2)],
+                    province=["Rayong", "Phuket"][pick(i, day, "p", 2)],
                     segment=[None, "", "sme"][pick(i, day, "s", 3)],
                     snapshot_date=day,
                 )

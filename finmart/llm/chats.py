@@ -69,17 +69,18 @@ def _jumps(messages: DataFrame) -> list[DataFrame]:
             F.col("depth").alias("more"),
             F.col("total").alias("plus"),
         )
-        jumps.append(
-            materialize(
-                last.join(above, "ancestor", "left").select(
-                    "id",
-                    F.col("next").alias("ancestor"),
-                    (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                    (F.col("total") + F.coalesce("plus", F.lit(0.0))).alias("total"),
-                ),
-                "jump",
+        # Only messages below the root of their path so far are joined.
+        further = (
+            last.where("ancestor is not null")
+            .join(above, "ancestor")
+            .select(
+                "id",
+                F.col("next").alias("ancestor"),
+                (F.col("depth") + F.col("more")).alias("depth"),
+                (F.col("total") + F.col("plus")).alias("total"),
             )
         )
+        jumps.append(materialize(further.union(last.where("ancestor is null")), "jump"))
     return jumps
 
 

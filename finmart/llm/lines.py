@@ -33,11 +33,11 @@ from pyspark.sql import functions as F
 from finmart.llm.batches import fresh, key_of, text_or_empty
 from finmart.sources.scratch import materialize
 
-BUCKETS = 1 << 20
+BUCKETS = 1 << 18
 _FIRST_WORDS = 3  # words of a prefix that seek the earliest line
 _BITMAP = 1 << 22  # bits of the filter that says which documents are read again
 
-_SPLIT = "filter(split(line, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')"
+_SPLIT = "array_remove(split(line, '[\\\\x20\\\\x09-\\\\x0D]+'), '')"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -57,7 +57,7 @@ def _rarity(lines: DataFrame) -> Column:
     spark = lines.sparkSession
     counts = (
         lines.select(F.explode("words").alias("word"))
-        .groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).alias("bucket"))
+        .groupBy(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket"))
         .agg(F.count("*").alias("n"))
     )
     every = spark.range(BUCKETS).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
@@ -71,32 +71,37 @@ def _rarity(lines: DataFrame) -> Column:
 
 def _profiles(lines: DataFrame, grades: Column) -> DataFrame:
     """(id, row, place, key, size, bits, prefix) of every line. `key` is a digest of its
-    words in order, null for a line without any; the prefix leaves out words that no
-    other line has."""
-    hashed = lines.withColumn("grades", grades).select(
-        "id",
-        "row",
-        "place",
-        F.expr("if(size(words) = 0, null, unhex(md5(array_join(array_sort(words), ' '))))").alias("key"),
-        F.size("words").alias("size"),
-        F.expr(
-            f"array_sort(transform(transform(words, w -> xxhash64(w)), "
-            f"h -> struct(grades[cast(pmod(h, {BUCKETS}L) as int)] as grade, h as word)))"
-        ).alias("ranked"),
-    )
-    return hashed.select(
-        "id",
-        "row",
-        "place",
-        "key",
-        "size",
-        F.expr(
-            "aggregate(ranked, 0L, (bits, w) -> bits ^ shiftleft(1L, cast((w.word >> 24) & 63L as int)))"
-        ).alias("bits"),
-        F.expr(
-            "filter(transform(slice(ranked, 1, size - (4 * size + 4) div 5 + 1), "
-            "(w, i) -> struct(cast(w.word & 2147483647L as int) as word, i as at, w.grade as grade)), w -> w.grade > 0)"
-        ).alias("prefix"),
+    words in order, null for a line without any."""
+    # A word as one number: its class, then 56 bits of its hash.
+    rank = (
+        f"(cast(grades[cast(h & {BUCKETS - 1}L as int)] as bigint) * 72057594037927936L) "
+        "| (h & 72057594037927935L)"
+    )
+    ranked = f"sort_array(transform(transform(words, w -> xxhash64(w)), h -> {rank}))"
+    return (
+        lines.withColumn("grades", grades)
+        .select(
+            "id",
+            "row",
+            "place",
+            F.expr("if(size(words) = 0, null, unhex(md5(array_join(sort_array(words), ' '))))").alias("key"),
+            F.size("words").alias("size"),
+            F.expr(ranked).alias("ranked"),
+        )
+        .select(
+            "id",
+            "row",
+            "place",
+            "key",
+            "size",
+            F.expr(
+                "aggregate(ranked, 0L, (bits, w) -> bits ^ shiftleft(1L, cast((w >> 24) & 63L as int)))"
+            ).alias("bits"),
+            F.expr(
+                "transform(slice(ranked, 1, size - (4 * size + 4) div 5 + 1), "
+                "w -> cast(w & 2147483647L as int))"
+            ).alias("prefix"),
+        )
     )
 
 
@@ -111,9 +116,9 @@ def _similar(x: str, y: str) -> Column:
 
 
 def _words_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(key, words) of the wanted lines (key, id, place), read again from their documents."""
+    """(n, words) of the wanted lines (n, key, id, place), read again from their documents."""
     per_doc = wanted.groupBy(key_of("id").alias("doc")).agg(
-        F.collect_set(F.struct("place", "key")).alias("wanted")
+        F.collect_list(F.struct("place", "key", "n")).alias("wanted")
     )
     bucket = F.pmod(F.xxhash64("doc"), F.lit(_BITMAP))
     # A bitmap of fixed size keeps out documents with nothing wanted before they are moved.
@@ -135,58 +140,65 @@ def _words_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
         .join(per_doc, "doc")
         .withColumn("lines", F.split("text", "\n"))
         .select("lines", F.explode("wanted").alias("at"))
-        .select(F.col("at.key").alias("key"), F.get("lines", F.col("at.place")).alias("line"))
-        .select("key", F.expr(f"array_sort(array_distinct({_SPLIT}))").alias("words"))
+        .select("at.n", "at.key", F.get("lines", F.col("at.place")).alias("line"))
+        .select("n", "key", F.expr(f"sort_array(array_distinct({_SPLIT}))").alias("words"))
     )
     # A repeated id may stand for another text.
-    return found.where(F.unhex(F.md5(F.array_join("words", " "))) == F.col("key")).dropDuplicates(["key"])
+    right = F.unhex(F.md5(F.array_join("words", " "))) == F.col("key")
+    return found.where(right).select("n", "words").dropDuplicates(["n"])
 
 
 def _verified(
     pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str
 ) -> DataFrame:
-    """Keys of the lines that are similar to the earlier line they are paired with."""
+    """Numbers of the sets that are similar to the earlier one they are paired with."""
     pairs = materialize(pairs.select("later", "earlier").distinct(), "line-pairs")
-    keys = pairs.select(F.col("later").alias("key")).union(pairs.select("earlier")).distinct()
-    words = materialize(
-        _words_of(docs, sets.join(keys, "key", "left_semi").select("key", "id", "place"), id_col, text_col),
-        "line-words",
-    )
-    later = words.select(F.col("key").alias("later"), F.col("words").alias("later_words"))
-    earlier = words.select(F.col("key").alias("earlier"), F.col("words").alias("earlier_words"))
+    paired = pairs.select(F.col("later").alias("n")).union(pairs.select("earlier")).distinct()
+    wanted = sets.select("n", "key", "id", "place").join(paired, "n", "left_semi")
+    words = materialize(_words_of(docs, wanted, id_col, text_col), "line-words")
+    later = words.select(F.col("n").alias("later"), F.col("words").alias("later_words"))
+    earlier = words.select(F.col("n").alias("earlier"), F.col("words").alias("earlier_words"))
     both = F.size(F.array_intersect("later_words", "earlier_words"))
     return (
         pairs.join(later, "later")
         .join(earlier, "earlier")
         .where(both * 9 >= (F.size("later_words") + F.size("earlier_words")) * 4)
-        .select(F.col("later").alias("key"))
+        .select(F.col("later").alias("n"))
         .distinct()
     )
 
 
 def _followers(sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Keys of the sets with an earlier similar set."""
-    place = ["id", "place", "row", "key"]
-    rows = sets.select(
-        *place, "size", "bits", F.explode(F.slice("prefix", 1, _FIRST_WORDS)).alias("p")
-    ).select(F.struct(*place, "size", "bits", F.col("p.at").alias("at")).alias("x"), F.col("p.word").alias("word"))
-    first = F.min("x").over(Window.partitionBy("word"))
+    """Numbers of the sets with an earlier similar set."""
+    rows = sets.select("n", "size", "bits", F.posexplode(F.slice("prefix", 1, _FIRST_WORDS)).alias("at", "word"))
+    so_far = (
+        Window.partitionBy("word")
+        .orderBy("n")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    here = F.struct("n", "size", "bits", "at")
     pairs = (
-        rows.withColumn("y", first)
-        .where((F.col("x.key") != F.col("y.key")) & _similar("x", "y"))
-        .select(F.col("x.key").alias("later"), F.col("y.key").alias("earlier"))
+        rows.select(here.alias("x"), F.first(here).over(so_far).alias("y"))
+        .where((F.col("x.n") != F.col("y.n")) & _similar("x", "y"))
+        .select(F.col("x.n").alias("later"), F.col("y.n").alias("earlier"))
     )
     easy = materialize(_verified(pairs, sets, docs, id_col, text_col), "followers")
 
-    open_sets = sets.join(easy.withColumn("found", F.lit(True)), "key", "left")
+    open_sets = sets.join(easy.withColumn("found", F.lit(True)), "n", "left")
     every = open_sets.select(
-        *place, "size", "bits", F.col("found").isNull().alias("open"), F.explode("prefix").alias("p")
-    ).select(*place, "size", "bits", "open", F.col("p.at").alias("at"), F.col("p.word").alias("word"))
-    before = F.struct(*(F.col(f"y.{c}") for c in place)) < F.struct(*(F.col(f"x.{c}") for c in place))
+        "n",
+        "size",
+        "bits",
+        F.when(F.col("found").isNull(), 1).otherwise(0).alias("open"),
+        F.posexplode("prefix").alias("at", "word"),
+    )
+    # The product keeps the test of x in the join, so both sides are one shuffled table.
+    is_open = F.col("x.open") * F.col("y.size") > 0
+    same_word = (F.col("x.word") == F.col("y.word")) & (F.col("y.n") < F.col("x.n"))
     pairs = (
         every.alias("x")
-        .join(every.alias("y"), (F.col("x.word") == F.col("y.word")) & F.col("x.open") & before & _similar("x", "y"))
-        .select(F.col("x.key").alias("later"), F.col("y.key").alias("earlier"))
+        .join(every.alias("y"), same_word & is_open & _similar("x", "y"))
+        .select(F.col("x.n").alias("later"), F.col("y.n").alias("earlier"))
     )
     return easy.union(_verified(pairs, sets, docs, id_col, text_col))
 
@@ -200,10 +212,18 @@ def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     firsts = profiles.where("key is not null").groupBy("key").agg(
         F.min(F.struct("id", "place", "row", "size", "bits", "prefix")).alias("first")
     )
-    sets = materialize(firsts.select("key", "first.*"), "line-sets")
+    # Numbered in their order: a smaller number is an earlier line.
+    order = ["id", "place", "row"]
+    sets = materialize(
+        firsts.select("key", "first.*")
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("n", F.monotonically_increasing_id()),
+        "line-sets",
+    )
     followers = _followers(sets, docs, id_col, text_col).withColumn("follows", F.lit(True))
-    fates = sets.select("key", F.col("row").alias("first_row"), F.col("place").alias("first_place")).join(
-        followers, "key", "left"
+    fates = sets.join(followers, "n", "left").select(
+        "key", F.col("row").alias("first_row"), F.col("place").alias("first_place"), "follows"
     )
     removed = F.col("key").isNotNull() & (
         F.col("follows").isNotNull()

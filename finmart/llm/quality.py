@@ -39,6 +39,7 @@ from finmart.llm.tiles import tile
 
 BUCKETS = 1 << 16
 _GRAM = 4  # bytes
+_BATCH = 1 << 20  # bytes of text whose arrays a worker holds at once
 _GRID = 1 << 20  # log ratios are whole numbers of 1 / _GRID
 _BINS = 1 << 10  # bins of the labelled scores for each unit
 _WEIGHT = 20  # a trusted document rejected counts as so many others kept
@@ -189,7 +190,7 @@ def fit(
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BUCKETS), np.int64)
-        for batch in bounded(batches, "text"):
+        for batch in bounded(batches, "text", _BATCH):
             grams = Grams(batch.column(1))
             counts[0] += np.bincount(grams.bucket, minlength=BUCKETS)
             counts[1] += grams.tally(_is_in(_keys(batch), shown))
@@ -215,7 +216,7 @@ def fit(
         return ratios, None
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, "text"):
+        for batch in bounded(batches, "text", _BATCH):
             keys = _keys(batch)
             good, bad = _is_in(keys, trusted), _is_in(keys, rejected)
             batch = batch.filter(pa.array(good | bad))
@@ -274,7 +275,7 @@ def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, **op
     ratios, threshold = fit(docs, labels, id_col=id_col, text_col=text_col, **options)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, f"c{text_at}"):
+        for batch in bounded(batches, f"c{text_at}", _BATCH):
             texts = batch.column(text_at).fill_null("")
             words = Words(texts)
             counts = count(texts, words)

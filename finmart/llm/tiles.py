@@ -58,7 +58,7 @@ class TileMemory:
         self,
         cuts: Callable[[np.ndarray], np.ndarray],
         encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-        limit: int = 250_000,
+        limit: int = 150_000,
     ):
         self.cuts, self.learn, self.limit = cuts, encode, limit
         self._clear()

@@ -18,11 +18,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finmart.llm.batches import share_code
 from finmart.llm import packing, quality, recipes, secrets, simhash
 from finmart.sources.scratch import materialize
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    share_code(spark)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -31,15 +33,18 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    share_code(spark)
     return simhash.one_of_each(docs, shingle=4, radius=4)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    share_code(spark)
     masked = secrets.mask_secrets(docs)
     return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    share_code(spark)
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(docs, tokenizer, end_id=2, capacity=1024)
 

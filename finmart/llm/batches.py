@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from pathlib import Path
 from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver did."""
+    root = str(Path(__file__).resolve().parents[2])
+    settings = spark.sparkContext.environment
+    known = [part for part in settings.get("PYTHONPATH", "").split(os.pathsep) if part]
+    if root not in known:
+        settings["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 

@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finmart.llm import chats, lines, packing, pieces, quality, recipes, records, repeats, secrets, simhash
+from finmart.llm.batches import share_code
 from finmart.llm.oracle import ORACLE_SQL
 from finmart.sources.scratch import scratch_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_code(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

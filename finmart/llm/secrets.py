@@ -19,7 +19,9 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -41,10 +43,6 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 _PEM = re.compile(
     r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+?)-----END \1-----"
 )
-# Base64 that may run over lines of the usual widths, and hex of any case.
-_BASE64 = re.compile(
-    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}(?:\r?\n[A-Za-z0-9+/_-]{4,76}(?![A-Za-z0-9+/_-]))*={0,2}"
-)
 _HEX_BYTES = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 _JWT = re.compile(
     r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]*)\.([A-Za-z0-9_-]*)(?:\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)?"
@@ -152,6 +150,119 @@ def _key_kind(data: bytes) -> str | None:
     return "der" if is_private_key(data) else "ssh" if is_ssh_key(data) else None
 
 
+@dataclass(frozen=True)
+class _Code:
+    """A way to write bytes as letters, over one line or more."""
+
+    letters: frozenset[str]
+    start: re.Pattern[str]  # the first letters of what a key may start with
+    run: re.Pattern[str]  # lines of letters only
+    bits: int  # bits of a letter
+    decode: Callable[[str], bytes]
+
+
+def _code(letters: str, start: str, bits: int, decode: Callable[[str], bytes]) -> _Code:
+    known = frozenset(chr(k) for k in range(128) if re.match(letters, chr(k)))
+    run = re.compile(f"{letters}++(?:(?:{_LINE_END.pattern}){letters}++)*+")
+    return _Code(known, re.compile(f"(?:{start}){letters}{{12}}"), run, bits, decode)
+
+
+# Line ends may be escaped, as in JSON.
+_LINE_END = re.compile(r"(?:\\+r)?\\+n|\r?\n")
+# A DER sequence or the magic of OpenSSH.
+_CODES = [_code("[A-Za-z0-9+/_-]", "M[A-P]|b3Bl", 6, _from_base64)]
+
+
+class _Run:
+    """Lines of letters from one place of a text on, as one string."""
+
+    def __init__(self, text: str, start: int, code: _Code):
+        self.code = code
+        self.stop = code.run.match(text, start).end()
+        breaks = [m.span() for m in _LINE_END.finditer(text, start, self.stop)]
+        self.starts = [start, *(end for _, end in breaks)]  # of lines, in the text
+        stops = [*(begin for begin, _ in breaks), self.stop]
+        parts = [text[a:b] for a, b in zip(self.starts, stops)]
+        self.joined = "".join(parts)
+        self.ends, at = [], 0  # of lines, in the string
+        for part in parts:
+            at += len(part)
+            self.ends.append(at)
+
+    def key_at(self, start: int) -> tuple[str, int] | None:
+        """Kind and end of the key that starts with the line at `start`. Its length tells where
+        it ends; only if a line ends there, the whole of it is decoded."""
+        line = bisect_right(self.starts, start) - 1
+        first = self.ends[line - 1] if line else 0
+        bits = self.code.bits
+
+        def read(a: int, b: int) -> bytes:
+            whole = a // 3 * 3
+            letters = self.joined[first + whole * 8 // bits : first + -(-b // 3) * 24 // bits]
+            return self.code.decode(letters)[a - whole : b - whole]
+
+        size = _key_size(read)
+        if size is None:
+            return None
+        end = first - (-size * 8 // bits)
+        line = bisect_left(self.ends, end)
+        if line == len(self.ends) or self.ends[line] != end:
+            return None
+        kind = _key_kind(self.code.decode(self.joined[first:end]))
+        before = self.ends[line - 1] if line else 0
+        return (kind, self.starts[line] + end - before) if kind else None
+
+
+def _key_size(read: Callable[[int, int], bytes]) -> int | None:
+    """Bytes of a key by its outer lengths; `read` gives the bytes from a to b."""
+    head = read(0, len(_SSH_MAGIC))
+    if head == _SSH_MAGIC:
+        return _ssh_size(read)
+    if len(head) < 8 or head[0] != _SEQUENCE:
+        return None
+    width = head[1] & 0x7F if head[1] & 0x80 else 0
+    if width > 4 or head[1] == 0x80 or head[2 + width] not in (_INTEGER, _SEQUENCE):
+        return None
+    return 2 + width + (int.from_bytes(head[2 : 2 + width], "big") if width else head[1])
+
+
+def _ssh_size(read: Callable[[int, int], bytes]) -> int | None:
+    at, left, counted = len(_SSH_MAGIC), 3, False
+    while left or not counted:
+        word = read(at, at + 4)
+        if len(word) < 4:
+            return None
+        n = int.from_bytes(word, "big")
+        at += 4
+        if left:
+            at, left = at + n, left - 1
+        elif 1 <= n <= 1024:
+            left, counted = n + 1, True
+        else:
+            return None
+    return at
+
+
+def _encoded_keys(
+    text: str, code: _Code, covered: Callable[[int], bool]
+) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of the keys that start where letters start, line by line."""
+    run, done = None, 0
+    for m in code.start.finditer(text):
+        start = m.start()
+        inner = start and text[start - 1] in code.letters
+        escaped = start > 1 and text.startswith("\\n", start - 2)
+        if start < done or (inner and not escaped) or covered(start):
+            continue
+        if run is None or start >= run.stop:
+            run = _Run(text, start, code)
+        if key := run.key_at(start):
+            kind, done = key
+            while code.bits == 6 and text.startswith("=", done) and done < key[1] + 2:
+                done += 1
+            yield kind, start, done
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every secret of one text, by start, then kind."""
     found = [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 12]
@@ -162,23 +273,17 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
         for m in _PEM.finditer(text):
             if _key_kind(_from_base64(m[2])) or "Proc-Type" in m[2]:
                 armoured.append(("pem", *m.span()))
-    inside = [(start, end) for _, start, end in armoured]
+    begins = [start for _, start, _ in armoured]
 
-    def outside(m: re.Match) -> bool:
-        return not any(start <= m.start() and m.end() <= end for start, end in inside)
+    def covered(place: int) -> bool:
+        before = bisect_right(begins, place)
+        return before > 0 and place < armoured[before - 1][2]
 
     found += armoured
-    for m in _BASE64.finditer(text):
-        if outside(m):
-            # A last line that is prose of the right letters must not hide the key.
-            lines = m[0].split("\n")
-            for n in range(len(lines), 0, -1) if len(lines) < 200 else (len(lines), 1):
-                candidate = "\n".join(lines[:n])
-                if kind := _key_kind(_from_base64(candidate)):
-                    found.append((kind, m.start(), m.start() + len(candidate.rstrip("\r"))))
-                    break
+    for code in _CODES:
+        found += _encoded_keys(text, code, covered)
     for m in _HEX_BYTES.finditer(text):
-        if outside(m) and (kind := _key_kind(bytes.fromhex(m[0]))):
+        if not covered(m.start()) and (kind := _key_kind(bytes.fromhex(m[0]))):
             found.append((kind, *m.span()))
     if "." in text:
         found += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m[1], m[2])]

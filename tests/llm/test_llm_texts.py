@@ -75,6 +75,31 @@ def test_keys_are_confirmed_by_their_structure(key, kind):
         assert kinds(base64.b64encode(broken).decode()) == []
 
 
+def key_texts(text: str) -> list[str]:
+    return [text[a:b] for kind, a, b in secrets.find_secrets(text) if kind in ("pem", "der", "ssh")]
+
+
+def test_every_line_may_start_a_key():
+    wrapped = base64.encodebytes(PKCS8).decode().strip()
+    ed25519 = der(0x30, integer(0), der(0x30, der(6, bytes.fromhex("2b6570"))), der(4, der(4, DRAW.randbytes(32))))
+    keys = [base64.b64encode(ed25519[:-32] + DRAW.randbytes(32)).decode() for _ in range(5)]
+    assert {len(key) for key in keys} == {64}
+    assert key_texts("\n".join(keys)) == keys
+    assert key_texts("\r\n".join(keys)) == keys
+    digest = hashlib.sha256(b"x").hexdigest()
+    assert key_texts(f"{digest}\n{wrapped}\nword") == [wrapped]
+    words = "\n".join("word" for _ in range(300))
+    blobs = "\n".join(base64.b64encode(DRAW.randbytes(48)).decode() for _ in range(300))
+    for rest in (words, blobs):
+        assert key_texts(f"{wrapped.rstrip('=')}\n{rest}") == [wrapped.rstrip("=")]
+        assert key_texts(f"{rest}\n{wrapped}") == [wrapped]
+    for width in (20, 61, 63, 65, 76, 200):
+        for key in (RSA, PKCS8, SEC1, SSH):
+            letters = base64.b64encode(key).decode().rstrip("=")
+            text = "\n".join(letters[k : k + width] for k in range(0, len(letters), width))
+            assert key_texts(f"a {text}\nand more") == [text]
+
+
 def test_tokens_need_a_header_with_an_algorithm():
     assert kinds(f"Bearer {JWT}.") == ["jwt"]
     assert kinds(f"{url64({'typ': 'JWT'})}.{url64({'sub': '1'})}.{url64(b'signature')}") == []

@@ -3,7 +3,8 @@
 Patterns find assignments of passwords and tokens, access key ids and long hex strings.
 Beyond those, base64 and hex candidates are decoded, and reported only if what they hold
 is built like a secret: a DER private key whose nested lengths add up to its last byte, an
-OpenSSH key whose strings do, or a signed token whose header names its algorithm.
+OpenSSH key whose strings do, or a signed token whose header names its algorithm. Both may
+run over lines. An encrypted PEM key shows nothing of its structure: its headers confirm it.
 
 Spans count code points, their end is exclusive. Kinds, in this order where spans start at
 the same place: assign, access, hex (patterns), pem, der, ssh, jwt (confirmed).
@@ -40,10 +41,14 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
+# Line ends may be escaped, as in JSON.
+_LINE_END = re.compile(r"(?:\\+r)?\\+n|\r?\n")
+# Headers as in RFC 1421, which an encrypted key starts with, then the key.
+_HEADER = rf"[A-Za-z][A-Za-z0-9-]*:[^\r\n\\]*(?:{_LINE_END.pattern})(?:[ \t]+[^\s\\][^\r\n\\]*(?:{_LINE_END.pattern}))*"
 _PEM = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+?)-----END \1-----"
+    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(?:\s|\\+[nr])*+"
+    rf"((?:[ \t]*{_HEADER})*+)((?:[A-Za-z0-9+/=\s]|\\+[nr])++)-----END \1-----"
 )
-_HEX_BYTES = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 _JWT = re.compile(
     r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]*)\.([A-Za-z0-9_-]*)(?:\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)?"
 )
@@ -131,6 +136,10 @@ def _from_base64(text: str) -> bytes:
         return b""
 
 
+def _from_hex(text: str) -> bytes:
+    return bytes.fromhex(text[: len(text) // 2 * 2])
+
+
 def _json_object(text: str) -> dict:
     try:
         value = json.loads(_from_base64(text))
@@ -167,10 +176,11 @@ def _code(letters: str, start: str, bits: int, decode: Callable[[str], bytes]) -
     return _Code(known, re.compile(f"(?:{start}){letters}{{12}}"), run, bits, decode)
 
 
-# Line ends may be escaped, as in JSON.
-_LINE_END = re.compile(r"(?:\\+r)?\\+n|\r?\n")
 # A DER sequence or the magic of OpenSSH.
-_CODES = [_code("[A-Za-z0-9+/_-]", "M[A-P]|b3Bl", 6, _from_base64)]
+_CODES = [
+    _code("[A-Za-z0-9+/_-]", "M[A-P]|b3Bl", 6, _from_base64),
+    _code("[0-9A-Fa-f]", "30|6[Ff]70", 4, _from_hex),
+]
 
 
 class _Run:
@@ -271,7 +281,8 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     armoured = []
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
-            if _key_kind(_from_base64(m[2])) or "Proc-Type" in m[2]:
+            key = _from_base64(_LINE_END.sub("", m[3]))
+            if _key_kind(key) or (key and "Proc-Type" in m[2] and "ENCRYPTED" in m[2]):
                 armoured.append(("pem", *m.span()))
     begins = [start for _, start, _ in armoured]
 
@@ -282,9 +293,6 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     found += armoured
     for code in _CODES:
         found += _encoded_keys(text, code, covered)
-    for m in _HEX_BYTES.finditer(text):
-        if not covered(m.start()) and (kind := _key_kind(bytes.fromhex(m[0]))):
-            found.append((kind, *m.span()))
     if "." in text:
         found += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m[1], m[2])]
     return sorted(found, key=lambda span: (span[1], KINDS.index(span[0]), span[2]))

@@ -100,6 +100,38 @@ def test_every_line_may_start_a_key():
             assert key_texts(f"a {text}\nand more") == [text]
 
 
+def test_armoured_keys_with_headers_and_escapes():
+    wrapped = base64.encodebytes(DRAW.randbytes(608)).decode().strip()
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF"
+    folded = headers.replace("CBC,", "CBC,\n ")
+    for head in (headers, folded):
+        key = f"{begin}\n{head}\n\n{wrapped}\n{end}"
+        for line_end in ("\n", "\r\n", "\\n", "\\r\\n", "\\\\n"):
+            text = key.replace("\n", line_end)
+            assert key_texts(f'a "{text}" b') == [text]
+    assert key_texts(f"{begin}\n{wrapped}\n{end}") == []
+    assert key_texts(f"{begin}\nComment: mine\n\n{wrapped}\n{end}") == []
+    for binary in (RSA, PKCS8, SEC1, SSH):
+        lines = base64.b64encode(binary).decode()
+        lines = [lines[k : k + 64] for k in range(0, len(lines), 64)]
+        for line_end in ("\n", "\\n", "\\r\\n", "\\\\n"):
+            text = line_end.join([begin, *lines, end]) + line_end
+            assert key_texts(f'{{"key": "{text}"}}') == [text[: -len(line_end)]]
+            text = line_end.join(lines)
+            assert key_texts(f'{{"key": "{text}"}}') == [text]
+
+
+def test_hex_keys_over_lines():
+    for key in (RSA, PKCS8, SEC1, SSH):
+        for digits in (key.hex(), key.hex().upper()):
+            for width in (32, 60, 61):
+                text = "\n".join(digits[k : k + width] for k in range(0, len(digits), width))
+                assert key_texts(f"{'ab' * 20}\n{text}\n{'cd' * 20}") == [text]
+    assert key_texts(f"{RSA.hex()}\n{SSH.hex()}") == [RSA.hex(), SSH.hex()]
+    assert key_texts(f"{RSA.hex()[:-1]}\n0c") == []
+
+
 def test_tokens_need_a_header_with_an_algorithm():
     assert kinds(f"Bearer {JWT}.") == ["jwt"]
     assert kinds(f"{url64({'typ': 'JWT'})}.{url64({'sub': '1'})}.{url64(b'signature')}") == []

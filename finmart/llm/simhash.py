@@ -336,13 +336,19 @@ def one_of_each(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The rows of `docs` that stay, with their columns: of each component the one with its
-    smallest id; of several with that id, or of ids that are all null, any one."""
+    """The rows of `docs` that stay, with their columns: of each component exactly one, with
+    its smallest id; of several texts with that id, or of ids that are all null, the one with
+    the smallest digest. Rows are known by id and text, so unrelated texts of one id stay."""
+    sha = F.sha2(text_or_empty(text_col), 256)
+    known = F.struct(F.col(f"`{id_col}`").isNull().alias("absent"), F.col(f"`{id_col}`").alias("id"), sha.alias("sha"))
+    named = docs.select(known.alias("known"), F.col(f"`{text_col}`").alias("text"))
     name = fresh(docs, "near_key")
     stays = (
-        near_duplicates(docs, shingle, radius, id_col, text_col)
-        .where(F.col(id_col).eqNullSafe(F.col("component_id")))
-        .select(key_of(id_col).alias(name))
+        near_duplicates(named, shingle, radius, "known", "text")
+        .where("known = component_id")
+        .select("known.id", "known.sha")
+        .select(F.concat_ws("/", key_of("id"), "sha").alias(name))
     )
-    found = docs.withColumn(name, key_of(id_col)).join(stays, name, "left_semi")
+    key = F.concat_ws("/", key_of(id_col), sha)
+    found = docs.withColumn(name, key).join(stays, name, "left_semi")
     return found.dropDuplicates([name]).select(*(f"`{column}`" for column in docs.columns))

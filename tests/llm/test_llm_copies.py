@@ -171,6 +171,19 @@ def test_dropping_keeps_columns_and_one_of_each(docs, none):
         assert drop(none).count() == 0
 
 
+def test_unrelated_texts_stay_whatever_their_ids(spark):
+    draw = random.Random(11)
+    texts = [" ".join(f"w{draw.randrange(10**6)}" for _ in range(80)) for _ in range(7)]
+    near = f"{texts[4]} more"
+    assert plain.components([plain.fingerprint(text) for text in [*texts, near]], 4) == [*range(7), 4]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, near)]
+    rows += [(8, texts[4]), (7, texts[5]), (None, texts[5]), (9, texts[6]), (9, texts[6])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = sorted(map(str, simhash.one_of_each(docs).collect()))
+    kept = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, near), (7, texts[5]), (9, texts[6])]
+    assert left == sorted(map(str, spark.createDataFrame(kept, docs.schema).collect()))
+
+
 def test_near_copy_query(spark, sf_dir):
     rows = documents(spark, sf_dir)
     values = [plain.fingerprint(text) for _, text in rows]

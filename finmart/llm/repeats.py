@@ -13,7 +13,10 @@ one, then the suffixes of the different runs of an anchor, by `length` bytes. Su
 equal so far repeat. Hashes only choose what is sorted; they do not decide.
 
 Equal documents stand for one, as do equal runs of a batch, before anything is moved, so a hot text
-is moved a few times at most.
+is moved a few times at most. Where a common passage begins and ends, runs hold different
+surroundings and are not equal. Runs of an anchor with more than `_HOT` of them are therefore cut
+into their strings, which are dealt by a hash of the whole string: equal ones still meet, the
+others spread, and a task sends each string twice at most while it remembers it.
 
 Defined results: a null text is an empty one; texts shorter than `length` keep all their
 bytes. Repeated rows, also of the same id, repeat each other. No rows give no rows. What
@@ -27,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +40,10 @@ from finmart.sources.scratch import materialize
 
 _GRAM = 32  # bytes of an anchor
 _SEGMENT = 1 << 23  # string starts that are looked at together
-_BLOCK = 8 << 20  # bytes of runs that are sorted together, unless one anchor has more
+_BLOCK = 8 << 20  # bytes of runs that are sorted together
+_HOT = 20_000  # runs of an anchor that are dealt together; of more, each string by itself
+_SENT = 50_000  # strings of hot anchors that a task remembers to have sent
+_FLUSH = 200_000  # rows that go out together
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
@@ -139,32 +146,84 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
     )
 
 
+def _cut_strings(
+    run: list[int],
+    piece: bytes,
+    hashed: int,
+    length: int,
+    seen: dict[tuple[bytes, int], list[list]],
+    sent: dict[bytes, int],
+) -> list[list]:
+    """The strings of a run, each as a run of one; those known to repeat have no text, and
+    neighbours of them are one run."""
+    by_id, by_text, place, lead, n, copies = run
+    out: list[list] = []
+    for k in range(n):
+        string = piece[k : k + length]
+        before = lead - k
+        known = seen.get((string, before))
+        for entry in known or ():
+            entry[6] = 2
+        if known is not None or sent.get(string, 0) > 1:
+            if out and out[-1][7] is None:
+                out[-1][5] += 1
+            else:
+                out.append([by_text ^ (place + k), by_id, by_text, place + k, before, 1, 2, None])
+            continue
+        if len(sent) >= _SENT:
+            sent.clear()
+        sent[string] = sent.get(string, 0) + 1
+        key = xxhash.xxh64_intdigest(string, (hashed + before) % (1 << 64))
+        key -= (key >> 63) << 64
+        entry = [key, by_id, by_text, place + k, before, 1, copies, string]
+        seen[string, before] = [entry]
+        out.append(entry)
+    return out
+
+
 def _cut_runs(texts: DataFrame, length: int) -> DataFrame:
-    """The text of each run in (id, document, text, copies, runs). Of equal runs of a batch the
-    first has the text, and it counts as repeated; the others are known to repeat."""
+    """The text of each run in (id, document, text, copies, runs), of hot anchors (a negative
+    run) of each string. Of equal ones of a batch the first has the text, and it counts as
+    repeated; the others are known to repeat."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: dict[bytes, int] = {}  # texts of hot strings that went out, over all batches
         for batch in bounded(batches, "text"):
             out: list[list] = []
-            seen: dict[tuple[bytes, int], list] = {}
+            seen: dict[tuple[bytes, int], list[list]] = {}
             for by_id, by_text, text, copies, runs in zip(*(c.to_pylist() for c in batch.columns[1:])):
                 raw = text.encode()
                 for hashed, run in ((run["hash"], run["run"]) for run in runs):
+                    hot = run < 0
+                    run = -1 - run if hot else run
                     place, lead, n = run // (_LEAD * _N), run // _N % _LEAD, run % _N
                     piece = raw[place : place + n - 1 + length]
                     known = seen.get((piece, lead))
-                    if known is None:
-                        entry = [hashed, by_id, by_text, place, lead, n, copies, piece]
-                        seen[piece, lead] = entry
-                    else:
-                        known[6] = 2
+                    if known is not None:
+                        for entry in known:
+                            entry[6] = 2
                         # Nothing is compared with it; its hash only spreads it.
-                        entry = [by_text ^ place, by_id, by_text, place, lead, n, 2, None]
-                    out.append(entry)
-            columns = zip(*out) if out else [[]] * 8
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds)], names
-            )
+                        out.append([by_text ^ place, by_id, by_text, place, lead, n, 2, None])
+                    elif hot:
+                        entries = _cut_strings(
+                            [by_id, by_text, place, lead, n, copies], piece, hashed, length, seen, sent
+                        )
+                        out += entries
+                        seen[piece, lead] = [entry for entry in entries if entry[7] is not None]
+                    else:
+                        entry = [hashed, by_id, by_text, place, lead, n, copies, piece]
+                        seen[piece, lead] = [entry]
+                        out.append(entry)
+                    if len(out) >= _FLUSH:
+                        yield rows(out)
+                        out, seen = [], {}
+            yield rows(out)
+
+    def rows(out: list[list]) -> pa.RecordBatch:
+        columns = zip(*out) if out else [[]] * 8
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(c), k) for c, k in zip(columns, kinds)], names
+        )
 
     names = ["hash", *_DOC, "place", "lead", "n", "copies", "text"]
     kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.binary()]
@@ -309,9 +368,12 @@ def find_repeats(
     texts = source.join(standing, _DOC)
 
     anchors = materialize(_find_anchors(source, length), "anchors")
-    shared = anchors.groupBy("hash").agg(F.count("*").alias("uses")).where("uses > 1").select("hash")
+    shared = anchors.groupBy("hash").agg(F.count("*").alias("uses")).where("uses > 1")
+    # Runs of hot anchors are marked by their sign.
+    marked = F.when(F.col("uses") > _HOT, -1 - F.col("run")).otherwise(F.col("run"))
     runs = (
-        anchors.join(shared, "hash", "left_semi")
+        anchors.join(shared, "hash")
+        .select(*_DOC, "hash", marked.alias("run"))
         .groupBy(*_DOC)
         .agg(F.collect_set(F.struct("run", "hash")).alias("runs"))
     )

@@ -76,6 +76,44 @@ def test_repeats_over_segments_and_blocks(spark, monkeypatch):
     assert (whole.first == parts.first).all()
 
 
+def test_hot_passages_with_different_surroundings_are_spread(spark, monkeypatch):
+    draw = random.Random(8)
+
+    def noise(n):
+        return "".join(draw.choices("abcdefgh", k=n))
+
+    passage, other = noise(500), noise(120)
+    texts = [noise(100) + passage + noise(100) for _ in range(80)]
+    texts += [passage[:300] + noise(50), noise(50) + passage[150:], other * 9, noise(9) + other * 9, "é" * 300]
+    texts += [texts[0], f"{texts[1]} {texts[2]}"]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4, "doc_id")
+    groups = []
+    sort = repeats._sort_runs
+
+    def watched(runs, length):
+        with_text = runs.where("text is not null").groupBy("hash").count()
+        groups.append(with_text.agg(F.max("count")).head()[0])
+        return sort(runs, length)
+
+    monkeypatch.setattr(repeats, "_sort_runs", watched)
+    for hot in (3, 20_000):
+        monkeypatch.setattr(repeats, "_HOT", hot, raising=False)
+        got = repeats.drop_repeats(docs, 200).collect()
+        found = sorted((r.doc_id, r.n_bytes, [tuple(s) for s in r.spans], bytes(r.kept)) for r in got)
+        assert found == sorted(expected_bytes(rows, 200))
+    assert groups[0] <= 2 * 4 < 80 <= groups[1]  # at most twice a task
+
+
+def test_hot_strings_are_sent_twice_at_most():
+    sent, first = {}, b"x" * 10 + bytes(range(40))
+    run = [1, 2, 0, 10, 19, 1]
+    out = [repeats._cut_strings(run, first, 5, 32, {}, sent) for _ in range(3)]
+    assert [entry[:1] + entry[3:] for entry in out[0]] == [entry[:1] + entry[3:] for entry in out[1]]
+    assert [entry[7] for entry in out[0]] == [first[k : k + 32] for k in range(19)]
+    assert [(entry[3], entry[5], entry[6], entry[7]) for entry in out[2]] == [(0, 19, 2, None)]
+
+
 def test_line_query(spark, sf_dir):
     rows = documents(spark, sf_dir)
     got = {r.doc_id: (r.n_lines, r.n_removed, r.removed) for r in QUERIES["op3_similar_lines"](spark, sf_dir).collect()}

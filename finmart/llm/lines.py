@@ -52,6 +52,11 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ).select("id", "row", "place", F.expr(f"array_distinct({_SPLIT})").alias("words"))
 
 
+def _grade(n: Column) -> Column:
+    """The class of a count: seven bits hold it for any bigint, as 2 * log2 of it is 126 at most."""
+    return F.ceil(2 * F.log2(n)).cast("tinyint")
+
+
 def _rarity(lines: DataFrame) -> Column:
     """One array with the class of every bucket; rarer words have lower classes."""
     spark = lines.sparkSession
@@ -61,7 +66,7 @@ def _rarity(lines: DataFrame) -> Column:
         .agg(F.count("*").alias("n"))
     )
     every = spark.range(BUCKETS).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
-    grade = F.coalesce(F.ceil(4 * F.log2("n")), F.lit(0)).cast("tinyint")
+    grade = F.coalesce(_grade(F.col("n")), F.lit(0).cast("tinyint"))
     # As many rows as there are buckets, so the size of this array is known.
     table = every.select("bucket", grade.alias("grade")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("bucket", "grade"))), lambda x: x["grade"]).alias("grades")

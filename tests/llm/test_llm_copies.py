@@ -152,6 +152,13 @@ def test_groups_of_similar_lines_keep_their_first(spark):
     }
 
 
+def test_rarity_classes_of_any_count_fit_seven_bits(spark):
+    counts = spark.createDataFrame([(n,) for n in (1, 2, 3, 1000, 2**31, 2**32, 10**12, 2**63 - 1)], "n bigint")
+    grades = [r[0] for r in counts.orderBy("n").select(lines._grade(F.col("n"))).collect()]
+    assert grades == sorted(grades)
+    assert grades[0] == 0 and grades[-1] == 126
+
+
 @pytest.mark.parametrize("name", ["op7_exact_copies", "op10_chats"])
 def test_query_equals_oracle(spark, sf_dir, name):
     with duck(sf_dir) as connection:

@@ -40,11 +40,11 @@ _BITMAP = 1 << 22  # bits of the filter that says which documents are read again
 _SPLIT = "array_remove(split(line, '[\\\\x20\\\\x09-\\\\x0D]+'), '')"
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _lines(docs: DataFrame, id_col: str, text_col: str, row: Column) -> DataFrame:
     """(id, row, line number, words): every line with its distinct words."""
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"),
-        F.monotonically_increasing_id().alias("row"),
+        row.alias("row"),
         text_or_empty(text_col).alias("text"),
     )
     return rows.select(
@@ -211,7 +211,15 @@ def _followers(sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
 def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_lines, n_removed, removed): one row for each row of `docs`; `removed` is an
     array of line numbers from 0."""
-    lines = _lines(docs, id_col, text_col)
+    marked = _marked(docs, id_col, text_col, F.monotonically_increasing_id())
+    return marked.select(
+        F.col("id").alias(id_col), "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed"
+    )
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, row: Column) -> DataFrame:
+    """(row, id, n_lines, removed), where `row` is a number of each row."""
+    lines = _lines(docs, id_col, text_col, row)
     profiles = materialize(_profiles(lines, _rarity(lines)), "lines")
     # The first line of each set of words; copies are combined before they are moved.
     firsts = profiles.where("key is not null").groupBy("key").agg(
@@ -240,27 +248,27 @@ def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .join(fates, "key", "left")
         .groupBy("row")
         .agg(
-            F.first("id").alias(id_col),
+            F.first("id").alias("id"),
             F.count("*").alias("n_lines"),
             F.array_sort(F.collect_list(F.when(removed, F.col("place")))).alias("removed"),
         )
-        .select(id_col, "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
     )
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without the removed lines; ids must be unique here. Null texts stay null."""
-    doc, gone = fresh(docs, "line_doc"), fresh(docs, "line_gone")
-    marked = mark_lines(docs, id_col, text_col).select(
-        key_of(id_col).alias(doc), F.col("removed").alias(gone)
+    """`docs` without the removed lines, each row once; null and repeated ids are told apart by
+    the numbers of the written rows. Null texts stay null."""
+    row, gone = fresh(docs, "line_row"), fresh(docs, "line_gone")
+    placed = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "line-rows")
+    marked = _marked(placed, id_col, text_col, F.col(row)).select(
+        F.col("row").alias(row), F.col("removed").alias(gone)
     )
     kept = F.expr(
         f"array_join(filter(transform(split(`{text_col}`, '\n'), (line, i) -> "
         f"if(array_contains({gone}, i), null, line)), line -> line is not null), '\n')"
     )
     return (
-        docs.withColumn(doc, key_of(id_col))
-        .join(marked, doc)
+        placed.join(marked, row)
         .withColumn(text_col, kept)
         .select(*(f"`{name}`" for name in docs.columns))
     )

@@ -152,6 +152,17 @@ def test_groups_of_similar_lines_keep_their_first(spark):
     }
 
 
+def test_dropping_lines_of_null_and_repeated_ids(spark):
+    same = "a b c d e f g h i j"
+    rows = [(None, f"one\n{same}"), (None, f"{same}\ntwo"), (5, f"three\n{same}"), (5, f"{same}\nfour\n\nfive")]
+    rows += [(5, f"{same}\nfour\n\nfive"), (6, None), (6, None), (6, ""), (7, "six")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    left = [(r.doc_id, r.text) for r in lines.drop_lines(docs).collect()]
+    # The earliest line is that of the smallest id, line number and row: here the second text's.
+    kept = [(None, "one"), (None, f"{same}\ntwo"), (5, "three"), (5, "four\n\nfive"), (5, ""), (6, None), (6, None), (6, ""), (7, "six")]
+    assert sorted(map(str, left)) == sorted(map(str, kept))
+
+
 def test_rarity_classes_of_any_count_fit_seven_bits(spark):
     counts = spark.createDataFrame([(n,) for n in (1, 2, 3, 1000, 2**31, 2**32, 10**12, 2**63 - 1)], "n bigint")
     grades = [r[0] for r in counts.orderBy("n").select(lines._grade(F.col("n"))).collect()]

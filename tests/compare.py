@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from pathlib import Path
 
 import duckdb
 from pyspark.sql import DataFrame
 
+TESTDATA = Path(os.environ.get("FINMART_TESTDATA", "/root/testdata"))
+
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import os
 import sys
 from collections.abc import Iterator
 from pathlib import Path
@@ -9,11 +8,11 @@ import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from compare import TESTDATA
 from finmart.sources.session import get_spark_session
 
-TESTDATA = Path(os.environ.get("FINMART_TESTDATA", "/root/testdata"))
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory) -> Iterator[SparkSession]:

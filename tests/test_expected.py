@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import TESTDATA
+from compare import TESTDATA
 from finmart.plans import registry, roles
 
 EXPECTED = {

@@ -33,7 +33,144 @@ select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss) as loss_cha
 from joined
 """
 
+# Words of letters, digits and characters beyond ASCII, with A-Z in lower case.
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+_RESAMPLING = f"""
+with table_of as (  -- CRC-32 of a single byte, from its polynomial
+    select list(list_reduce(list_prepend(b, range(8)),
+        lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) order by b) as crc
+    from range(256) as t(b)
+), docs as (
+    select doc_id, {_TERMS} as words from documents
+), features as (
+    select doc_id, unnest(list_concat(words,
+        list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) as feature
+    from docs
+), wanted as (
+    select {_TERMS} as words from benchmark
+), wanted_features as (
+    select unnest(list_concat(words,
+        list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) as feature
+    from wanted
+), hashed as (
+    select feature, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(range(0, strlen(feature)),
+            lambda i: ('0x' || substr(hex(encode(feature)), 2 * i + 1, 2))::bigint)),
+        lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) % 10000 as bucket
+    from (select feature from features union select feature from wanted_features), table_of
+), corpus as (
+    select bucket, count(*) as n from features join hashed using (feature) group by bucket
+), target as (
+    select bucket, count(*) as n from wanted_features join hashed using (feature) group by bucket
+), sums as (
+    select (select coalesce(sum(n), 0)::double from corpus) as s, (select coalesce(sum(n), 0)::double from target) as t
+), gains as (
+    select bucket, floor(1000 * ln((coalesce(target.n, 0) + 1) * (s + 10000)
+        / ((coalesce(corpus.n, 0) + 1) * (t + 10000))))::bigint as gain
+    from corpus full join target using (bucket), sums
+), weighed as (
+    select doc_id, count(*) as n_features, floor(sum(gain) / count(*))::bigint as weight
+    from features join hashed using (feature) join gains using (bucket) group by doc_id
+), scored as (
+    select doc_id, len(words) as n_words, coalesce(n_features, 0) as n_features,
+        coalesce(weight, 0) as weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((
+            ('0x' || substr(sha256('7:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
+    from docs left join weighed using (doc_id)
+), ranked as (
+    select doc_id, row_number() over (order by score desc, doc_id) as rank from scored where n_words >= 20
+)
+select doc_id, n_features, weight, score,
+    case when rank <= 25 * (select count(*) from ranked) // 100 then rank end as rank
+from scored left join ranked using (doc_id)
+"""
+
+_SEARCH = f"""
+with docs as (
+    select doc_id, {_TERMS} as words from documents
+), sizes as (
+    select doc_id, len(words) as n from docs where len(words) > 0
+), sums as (
+    select count(*) as docs, coalesce(sum(n), 0)::bigint as terms from sizes
+), held as (
+    select doc_id, term, count(*) as tf
+    from (select doc_id, unnest(words) as term from docs) group by doc_id, term
+), weights as (
+    select term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w
+    from held, sums group by term, docs
+), asked as (
+    select item_id, term, count(*) as times
+    from (select item_id, unnest({_TERMS}) as term from benchmark) group by item_id, term
+), scored as (
+    select item_id, doc_id, sum(times * w * ((1000000000 * tf)
+        // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))))::bigint as score
+    from asked join held using (term) join weights using (term) join sizes using (doc_id), sums
+    group by item_id, doc_id
+)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank,
+    doc_id, score
+from scored where score > 0
+qualify rank <= 20
+"""
+
+_MIXING = r"""
+with sized as (
+    select doc_id, source, md5('13:' || doc_id) as draw,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size
+    from documents
+), sources as (
+    select source, sum(size)::bigint as source_size, (row_number() over (order by source nulls last) - 1) % 3 as kind,
+        row_number() over (order by source nulls last) as number
+    from sized group by source
+), weighed as (
+    select *, [5.0, 2.0, 1.0][kind + 1]::double as weight from sources
+), steps as (  -- sources become full in this order
+    select *, coalesce(sum(source_size) over before, 0) as held, sum(weight) over (order by fills, number
+            rows between current row and unbounded following) as free,
+        sum(source_size) over () as words
+    from (select *, 3 * source_size / weight as fills from weighed)
+    window before as (order by fills, number rows between unbounded preceding and 1 preceding)
+), level as (
+    select min_by((words - 3 * held)::double / free, (fills, number)) as level from steps
+    where weight * ((words - 3 * held)::double / free) <= 3 * source_size
+), demands as (
+    select *, least(3 * source_size, weight * level) as target, floor(least(3 * source_size, weight * level))::bigint as demand
+    from weighed, level
+), placed as (
+    select *, coalesce(sum(size) over (partition by number order by draw, doc_id
+        rows between unbounded preceding and 1 preceding), 0)::bigint as before
+    from sized join demands on sized.source is not distinct from demands.source
+), copies as (
+    select *, pass * source_size + before as start
+    from placed, range(3) as t(pass)
+    where size > 0 and pass * source_size + before < demand
+), reached as (
+    select *, start::double / demand::double * weight as r from copies
+), due as (  -- the roots of the integrals of three schedules
+    select doc_id, number, start, least(size, demand - start) as words, case
+        when kind = 0 then least(1.0::double, 2.0::double * r / (4.0::double + sqrt(16.0::double + 4.0::double * r)))
+        when kind = 1 and r < 1.25 then least(0.5::double, 2.0::double * r / (2.5::double + sqrt(6.25::double)))
+        when kind = 1 then least(1.0::double, 0.5::double + 2.0::double * (r - 1.25::double)
+            / (2.5::double + sqrt(6.25::double - 8.0::double * (r - 1.25::double))))
+        else least(1.0::double, 2.0::double * r / (1.0::double + sqrt(1.0::double))) end as due
+    from reached
+), stream as (
+    select *, coalesce(sum(words) over (order by due, number, start
+        rows between unbounded preceding and 1 preceding), 0)::bigint as position
+    from due
+), taken as (
+    select doc_id, sum(words)::bigint as taken, min(position) as first_position from stream group by doc_id
+)
+select doc_id, size, source_size, target, coalesce(taken, 0) as taken, first_position
+from placed left join taken using (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op7_exact_copies": _EXACT_COPIES,
     "op10_chats": _CHATS,
+    "op11_resampling": _RESAMPLING,
+    "op12_search": _SEARCH,
+    "op13_mixing": _MIXING,
 }

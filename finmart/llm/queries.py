@@ -11,7 +11,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finmart.llm import chats, lines, packing, pieces, quality, recipes, records, repeats, secrets, simhash
+from finmart.llm import (
+    chats,
+    lines,
+    mixing,
+    packing,
+    pieces,
+    quality,
+    recipes,
+    records,
+    repeats,
+    resample,
+    search,
+    secrets,
+    simhash,
+)
 from finmart.llm.batches import share_code
 from finmart.llm.oracle import ORACLE_SQL
 from finmart.sources.scratch import scratch_path
@@ -132,6 +146,31 @@ def chats_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resample.resample(_documents(spark, sf_dir), target, percent=25, least_words=20, seed=7)
+
+
+def searched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return search.best_documents(_documents(spark, sf_dir), items, k=20)
+
+
+# Weights 5, 2 and 1 over the whole of the training: the first kind of sources gains share
+# while the second loses it.
+CURRICULUM = (
+    mixing.Schedule(((0.0, 4.0), (1.0, 6.0))),
+    mixing.Schedule(((0.0, 2.5), (0.5, 2.5), (1.0, 0.5))),
+    mixing.Schedule(((0.0, 1.0), (1.0, 1.0))),
+)
+
+
+def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix_sources(_documents(spark, sf_dir), CURRICULUM, budget=1.0, repeats=3, seed=13)
+    first = F.col("copies")[0]["position"].alias("first_position")
+    return mix.select("doc_id", "size", "source_size", "target", "taken", first)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeats": repeated_bytes,
     "op2_piece_codec": piece_codec,
@@ -143,4 +182,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_copies": near_copies,
     "op9_quality_rules": quality_verdicts,
     "op10_chats": chats_read_back,
+    "op11_resampling": resampled,
+    "op12_search": searched,
+    "op13_mixing": mixed,
 }

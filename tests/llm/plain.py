@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -89,3 +92,77 @@ def copies(rows: list[tuple[int | None, str | None]]) -> dict[str, list]:
     for key, text in rows:
         groups[text or ""].append(key)
     return groups
+
+
+_TERM = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def terms(text: str | None) -> list[str]:
+    return _TERM.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def features(text: str | None) -> list[int]:
+    words = terms(text)
+    found = words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+    return [zlib.crc32(feature.encode()) % 10_000 for feature in found]
+
+
+def resampled(
+    docs: list[tuple], target: list[str | None], percent: int, least: int, seed: int
+) -> list[tuple]:
+    """(id, n_features, weight, score, rank) of every document."""
+    s = Counter(b for _, text in docs for b in features(text))
+    t = Counter(b for text in target for b in features(text))
+    s_all, t_all = s.total() + 10_000.0, t.total() + 10_000.0
+    rows = []
+    for doc_id, text in docs:
+        found = features(text)
+        gains = [math.floor(1000 * math.log((t[b] + 1) * s_all / ((s[b] + 1) * t_all))) for b in found]
+        weight = sum(gains) // len(found) if found else 0
+        key = f"{seed}:{'' if doc_id is None else doc_id}"
+        h = int(hashlib.sha256(key.encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32)))
+        rows.append((doc_id, len(found), weight, score, len(terms(text)) >= least))
+    able = sorted(
+        (row for row in rows if row[4]), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1], r[2])
+    )
+    drawn = able[: percent * len(able) // 100]
+    others = able[len(drawn) :] + [row for row in rows if not row[4]]
+    return [(*row[:4], k + 1) for k, row in enumerate(drawn)] + [(*row[:4], None) for row in others]
+
+
+def searched(docs: list[tuple], items: list[tuple], k: int) -> list[tuple]:
+    """(item, rank, document, score) of the best documents of each distinct item."""
+    held = [(doc_id, Counter(terms(text))) for doc_id, text in docs]
+    held = [(doc_id, found) for doc_id, found in held if found]
+    n_docs, n_terms = len(held), sum(found.total() for _, found in held)
+    df = Counter(term for _, found in held for term in found)
+    out = []
+    for item_id, text in {(item_id, text or "") for item_id, text in items}:
+        scores = []
+        for doc_id, found in held:
+            m = 75 + 25 * found.total() * n_docs // n_terms
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[term] + 1)))
+                * (10**9 * found[term] // (1000 * found[term] + 12 * m))
+                for term in terms(text)
+                if term in found
+            )
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id or 0, doc_id))
+        for rank, (score, _, _, doc_id) in enumerate(sorted(scores, key=lambda x: x[:3])[:k]):
+            out.append((item_id, rank + 1, doc_id, -score))
+    return out
+
+
+def shared_out(sizes: dict, weights: dict, total: float, repeats: int) -> dict:
+    """Targets by weight, full sources held at `repeats` times their size."""
+    full: set = set()
+    while True:
+        free = sum(weights[s] for s in sizes if s not in full)
+        left = total - sum(repeats * sizes[s] for s in full)
+        targets = {s: repeats * sizes[s] if s in full else left * weights[s] / free for s in sizes}
+        above = {s for s in sizes if targets[s] > repeats * sizes[s]}
+        if not above:
+            return targets
+        full |= above

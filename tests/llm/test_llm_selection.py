@@ -1,0 +1,235 @@
+"""Resampling, search and mixing."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import plain
+import pyarrow as pa
+import pytest
+from compare import duck, duck_bag, spark_bag
+from finmart.llm import mixing, order, resample, search, terms
+from finmart.llm.queries import CURRICULUM, ORACLE_SQL, QUERIES
+from plans import settings
+from pyspark.sql import functions as F
+from samples import LONG, PASSAGE, ROWS
+
+TARGET = [PASSAGE, None, "", "word1 then word2 then É"]
+ITEMS = [
+    (1, PASSAGE),
+    (2, None),
+    (3, ""),
+    (None, "word1 then word2 words words"),
+    (4, LONG),
+    (5, "exact exact COPY"),
+    (5, "exact exact COPY"),
+    (5, "another beginning"),
+    (6, "nowhere_to_be_found"),
+]
+
+
+@pytest.mark.parametrize("name", ["op11_resampling", "op12_search", "op13_mixing"])
+def test_query_equals_oracle(spark, sf_dir, name):
+    ours = QUERIES[name](spark, sf_dir)
+    with duck(sf_dir) as connection:
+        expected = duck_bag(connection, ORACLE_SQL[name])
+    assert spark_bag(ours) == expected and expected
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 20])
+def test_terms_are_never_cut(chunk):
+    for text in [text or "" for _, text in ROWS[:4] + ROWS[5:]] + ["ÀB-c_d", "x" * 50, " a"]:
+        found = [word.decode() for some in terms.words(text.encode(), chunk) for word in some]
+        assert found == plain.terms(text)
+
+
+def test_features_of_stretches(monkeypatch):
+    monkeypatch.setattr(terms.words, "__defaults__", (5,))
+    text = "one Two 3 four-five\nsix é seven  eight"
+    parts = list(resample.buckets(text.encode()))
+    assert len(parts) > 2 and sum(n for n, _ in parts) == len(plain.terms(text))
+    assert Counter(np.concatenate([b for _, b in parts]).tolist()) == Counter(plain.features(text))
+
+
+@pytest.mark.parametrize(("percent", "least"), [(25, 2), (100, 1), (60, 5), (0, 0)])
+def test_resampling_of_odd_rows(spark, docs, none, percent, least):
+    target = spark.createDataFrame([(t, "x") for t in TARGET], "text string, weight string")
+    found = resample.resample(docs, target, percent, least, seed=7)
+    expected = plain.resampled(ROWS, TARGET, percent, least, 7)
+    assert Counter(map(tuple, found.collect())) == Counter(expected)
+    assert resample.resample(none, target, percent, least).count() == 0
+    assert resample.resample(docs, target.limit(0), percent, least).count() == len(ROWS)
+
+
+def test_selection_among_ties(spark):
+    """A third of the rows are equal, others share an id or have none; several rounds."""
+    rows = [(7, "same " * 30)] * 700
+    rows += [(i % 40 if i % 3 else None, f"word{i % 5} " * 25) for i in range(900)]
+    rows += [(1000 + i, "same " * 30) for i in range(500)]
+    random.Random(3).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(5)
+    target = spark.createDataFrame([("word1 same",)], "text string")
+    found = resample.resample(docs, target, percent=37)
+    assert dict(found.dtypes)["doc_id"] == "int"
+    expected = plain.resampled(rows, ["word1 same"], 37, 20, 7)
+    assert Counter(map(tuple, found.collect())) == Counter(expected)
+
+
+@pytest.mark.parametrize("k", [1, 3, 20])
+def test_search_of_odd_rows(spark, docs, none, monkeypatch, k):
+    monkeypatch.setattr(search, "ITEMS", 4)  # two blocks or more
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string").withColumn("score", F.lit("x"))
+    found = search.best_documents(docs, items, k)
+    assert Counter(map(tuple, found.collect())) == Counter(plain.searched(ROWS, ITEMS, k))
+    for nothing in (search.best_documents(none, items, k), search.best_documents(docs, items.limit(0), k)):
+        assert nothing.columns == found.columns and nothing.count() == 0
+
+
+@pytest.mark.parametrize("n_wanted", [3, 8, 20, 75])
+def test_groups_of_masks(n_wanted):
+    """Bounds hold, and the early end loses nothing."""
+    draw = np.random.default_rng(n_wanted)
+    n_terms, n_docs, k = 90, 300, 5
+    best, every = search.Best(k), []
+    wanted = draw.permutation(n_terms)[:n_wanted]
+    values = draw.integers(0, 9, n_wanted) * 100
+    value_of = np.zeros(n_terms, np.int64)
+    value_of[wanted] = values
+    evaluated = 0
+    for start in (0, 1000, 2000):
+        counts = draw.integers(0, 12, n_docs)
+        held = np.concatenate([draw.permutation(n_terms)[:c] for c in counts]).astype(np.int64)
+        impacts = draw.integers(1, 4, len(held)) * 10
+        ids = start + draw.permutation(n_docs)
+        block = search.Documents(ids, counts, held, impacts, n_terms)
+        scores = block.scores(np.arange(n_docs), value_of)
+        docs, bounds, ends = block.groups(wanted, values)
+        assert (np.diff(bounds) <= 0).all()
+        inside = set(wanted.tolist())
+        owner = np.repeat(np.arange(n_docs), counts)
+        assert set(docs.tolist()) == {int(d) for d, t in zip(owner, held) if int(t) in inside}
+        group = np.searchsorted(ends, np.arange(len(docs)), "right")
+        assert (scores[docs] <= bounds[group]).all()
+        masks = defaultdict(set)
+        for d, t in zip(owner.tolist(), held.tolist()):
+            if t in inside:
+                masks[d].add(t)
+        assert len(set(map(frozenset, masks.values()))) == len(bounds)
+        assert all(len({frozenset(masks[d]) for d in docs[group == g].tolist()}) == 1 for g in range(len(bounds)))
+        every += [(-int(s), int(i)) for s, i in zip(scores, ids) if s > 0]
+
+        def count(some, known, exact=block.scores):
+            nonlocal evaluated
+            evaluated += len(some)
+            return exact(some, known)
+
+        block.scores = count
+        best.search(block, wanted, values, value_of)
+    assert [(-s, i) for s, i in zip(best.scores.tolist(), best.ids.tolist())] == sorted(every)[:k]
+    assert evaluated < 3 * n_docs
+
+
+def test_blocks_are_bounded_by_their_bitmaps(monkeypatch):
+    monkeypatch.setattr(search, "_CELLS", 60)
+    batch = pa.RecordBatch.from_pydict(
+        {"id": [1, None, 3, 4, 5, 6, 7], "n": [3] * 7, "terms": [[0], [], [1, 2], [2], [], [0], [1]], "tfs": [[1], [], [1, 1], [2], [], [1], [3]]},
+        pa.schema([("id", pa.int64()), ("n", pa.int64()), ("terms", pa.list_(pa.int32())), ("tfs", pa.list_(pa.int64()))]),
+    )
+    blocks = list(search._blocks(iter([batch, batch.slice(2, 3)]), 20, 10, 30))
+    assert [len(b.ids) for b in blocks] == [3, 3, 1, 3] or max(len(b.ids) for b in blocks) == 3
+    assert sum(len(b.ids) for b in blocks) == 10
+    assert np.concatenate([b.held for b in blocks]).tolist() == [0, 1, 2, 2, 0, 1, 1, 2, 2]
+
+
+def test_running_sums_of_hot_keys(spark):
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("key"), (F.col("id") % 7).alias("value"), "id"
+    )
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        placed = order.in_order(rows.repartition(7, "value"), ["key", "id"], "test")
+    assert placed.select("task").distinct().count() > 1
+    running, n = Counter(), 0
+    for row in sorted(order.summed_before(placed, "value", "before", ["key"]).collect(), key=lambda r: (r.key, r.id)):
+        assert row.before == running[row.key]
+        running[row.key] += row.value
+    found = sorted(order.numbered(placed, "n").collect(), key=lambda r: (r.key, r.id))
+    assert [row.n for row in found] == list(range(1, 5001))
+
+
+def _mixture(spark):
+    """A hot source, small ones that fill up, one of empty texts, null and odd names."""
+    draw = random.Random(5)
+    names = ["b", "a", None, "é", "", "z", "empty"]
+    rows = [(i, "w " * draw.randrange(200), "hot") for i in range(300)]
+    rows += [(300 + i, "\tw\x0bw\n" * draw.randrange(9), draw.choice(names)) for i in range(150)]
+    rows += [(None, "w w", "a"), (None, None, "a"), (1, "again", "hot"), (1, "again", "hot"), (900, LONG, "z")]
+    rows = [(i, "" if source == "empty" else text, source) for i, text, source in rows]
+    columns = "doc_id bigint, text string, source string"
+    return rows, spark.createDataFrame(rows, columns).withColumn("weight", F.lit("x")).repartition(4)
+
+
+def test_mixing_of_odd_rows(spark):
+    rows, docs = _mixture(spark)
+    found = mixing.mix_sources(docs, CURRICULUM, seed=1).collect()
+    assert len(found) == len(rows)
+    size = lambda text: len((text or "").split())
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += size(text)
+    assert Counter((r.doc_id, r["size"]) for r in found) == Counter((i, size(t)) for i, t, _ in rows)
+    ordered = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None]
+    weights = {s: (5, 2, 1)[k % 3] for k, s in enumerate(ordered)}
+    targets = plain.shared_out(sizes, weights, sizes.total(), 3)
+    assert {(r.source_size, round(r.target, 6)) for r in found} == {(sizes[s], round(targets[s], 6)) for s in sizes}
+    taken = Counter()
+    for r in found:
+        assert r.taken <= 3 * r["size"] and (r.copies is None) == (r.taken == 0)
+        assert r.taken == sum(c.words for c in r.copies or ())
+        taken[r.source_size, r.target] += r.taken
+    expected = Counter()
+    for source in sizes:
+        expected[sizes[source], round(targets[source], 6)] += targets[source]
+    for (words, target), n in taken.items():
+        assert abs(n - expected[words, round(target, 6)]) < len(sizes)
+    # Copies follow each other without gaps.
+    copies = sorted((c.position, c.words) for r in found for c in r.copies or ())
+    end = 0
+    for position, words in copies:
+        assert position == end and words > 0
+        end += words
+    assert sizes.total() - len(sizes) <= end <= sizes.total()
+    again = mixing.mix_sources(docs, CURRICULUM, seed=1).collect()
+    assert Counter(map(str, again)) == Counter(map(str, found))
+
+
+def test_shares_follow_the_schedules(spark):
+    """In each tenth of the time a source gets what its schedule says."""
+    rows = [(i, "w " * 10, f"s{i % 2}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    rising = mixing.Schedule(((0, 0), (0.5, 1), (1, 3)))
+    falling = mixing.Schedule(((0, 2.5), (1, 0)))
+    assert (rising.weight, falling.weight) == (1.25, 1.25)
+    stream = mixing.training_stream(docs, [rising, falling]).select("doc_id", "words", "due", "position").collect()
+    assert [r.position for r in sorted(stream, key=lambda r: r.due)] == sorted(r.position for r in stream)
+    weight_at = {0: lambda t: 2 * t if t < 0.5 else 4 * t - 1, 1: lambda t: 2.5 - 2.5 * t}
+    got = Counter()
+    for r in stream:
+        got[r.doc_id % 2, int(r.due * 10)] += r.words
+    for source in (0, 1):
+        for tenth in range(10):
+            middle = sum(weight_at[source]((tenth + (k + 0.5) / 50) / 10) for k in range(50)) / 50
+            assert abs(got[source, tenth] - middle / 10 / 1.25 * 20_000) <= 25
+
+
+def test_mixing_of_nothing(spark, none):
+    docs = none.withColumn("source", F.lit("a"))
+    assert mixing.mix_sources(docs, CURRICULUM).count() == 0
+    silent = spark.createDataFrame([(1, None, None), (2, " ", "a")], "doc_id int, text string, source string")
+    found = mixing.mix_sources(silent, CURRICULUM).collect()
+    assert {tuple(r) for r in found} == {(1, 0, 0, 0.0, 0, None), (2, 0, 0, 0.0, 0, None)}
+    with pytest.raises(ValueError):
+        mixing.Schedule(((0.0, 1.0), (0.5, 1.0)))
+    with pytest.raises(ValueError):
+        mixing.Schedule(((0.0, 0.0), (1.0, 0.0)))

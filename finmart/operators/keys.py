@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finmart.sources.scratch import materialize
@@ -17,9 +17,10 @@ _ROW_MASK = 2**33 - 1
 
 
 def dense_keys(
-    df: DataFrame, order_by: Sequence[str], key: str, start: int = 0
+    df: DataFrame, order_by: Sequence[str], key: str, start: int | Column = 0
 ) -> DataFrame:
-    """Add `key` = start + 1, start + 2, ... in the order of `order_by`.
+    """Add `key` = start + 1, start + 2, ... in the order of `order_by`; `start` may be a
+    value that the query finds out, such as the largest key of a table.
 
     The remaining columns follow in the order, so only equal rows can tie. The rows
     are range partitioned, sorted within their partition and written down with their
@@ -41,7 +42,7 @@ def dense_keys(
 
     sizes = dict(placed.groupBy(task.alias("task")).agg(F.count("*")).collect())
     total = sum(sizes.values())
-    if start + total > _INT_MAX:
+    if (total if isinstance(start, Column) else start + total) > _INT_MAX:
         raise OverflowError(f"{key}: {start} + {total} keys do not fit an int")
 
     if len(sizes) > 1:
@@ -54,5 +55,8 @@ def dense_keys(
         placed = placed.withColumn("_task", task).join(F.broadcast(offsets), "_task")
     else:
         placed = placed.withColumn("_before", F.lit(0))
-    number = F.lit(start + 1) + F.col("_before") + position
-    return placed.select(number.cast("int").alias(key), *df.columns)
+    first = F.lit(start).cast("long") + 1
+    number = F.col("_before") + position + first
+    beyond = F.raise_error(F.lit(f"{key}: the keys do not fit an int"))
+    fitting = F.when(number > _INT_MAX, beyond).otherwise(number)
+    return placed.select(fitting.cast("int").alias(key), *df.columns)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from finmart.operators.keys import dense_keys
 from finmart.schemas import DIM_CUSTOMER, TRACKED
+from finmart.sources.scratch import materialize
 
 _SNAPSHOT = ("customer_id", *TRACKED, "snapshot_date")
 
@@ -51,93 +52,91 @@ def check_snapshot(incoming: DataFrame, once_per: Sequence[str] = ("customer_id"
         raise ValueError(f"customer snapshot is not one dated row per customer: {faults}")
 
 
-def check_history(dim: DataFrame) -> None:
-    """Raise ValueError if versions of a customer overlap, such as two open ones."""
+def _checked(dim: DataFrame) -> DataFrame:
+    """The history; fails while it is read if versions of a customer overlap, such as two
+    open ones. It is dealt by customer, as the merge needs it anyway."""
     by_customer = Window.partitionBy("customer_id").orderBy("effective_from", "customer_key")
-    following = dim.select(
-        "effective_to", F.lead("effective_from").over(by_customer).alias("next")
+    following = F.lead("effective_from").over(by_customer)
+    ends_late = F.col("effective_to").isNull() | (F.col("effective_to") > F.col("_next"))
+    overlap = F.raise_error(
+        F.concat(F.lit("a version overlaps the next one of customer "), F.col("customer_id"))
+    )
+    return (
+        dim.select(*DIM_CUSTOMER, following.alias("_next"))
+        .withColumn(
+            "customer_key",
+            F.when(F.col("_next").isNotNull() & ends_late, overlap).otherwise(F.col("customer_key")),
+        )
+        .drop("_next")
     )
-    ends_late = F.col("effective_to").isNull() | (F.col("effective_to") > F.col("next"))
-    found = following.where(F.col("next").isNotNull() & ends_late).count()
-    if found:
-        raise ValueError(f"customer history has {found} versions that overlap the next one")
 
 
 def _open_versions(dim: DataFrame) -> DataFrame:
     return dim.where("is_current")
 
 
-def _new_versions() -> list[Column]:
-    return [
-        F.col("customer_id"),
-        *[F.col(name) for name in TRACKED],
-        F.col("snapshot_date").alias("effective_from"),
-        F.lit(None).cast("date").alias("effective_to"),
-        F.lit(True).alias("is_current"),
-    ]
+def _row(**columns: Column) -> Column:
+    return F.struct(*[columns[name].cast(kind).alias(name) for name, kind in DIM_CUSTOMER.items()])
 
 
-def scd2_merge(current_dim: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Apply one snapshot to the dimension.
+def _actions(current_dim: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The rows of the merged history, those of new versions without a key, by one join.
 
-    new customer      -> a new open version
-    changed customer  -> the open version ends on the snapshot date, a new one opens
-    otherwise         -> the version stays as it is, in the snapshot or not
-    Closed versions are carried over. New keys continue after the largest one.
+    Each version meets the customer's row of the snapshot if it is open, and gives one row,
+    or two if it ends there; a customer without an open version gives one.
     """
-    incoming = incoming.select(*_SNAPSHOT)
-    check_snapshot(incoming)
-    check_history(current_dim)
-    top_key = current_dim.agg(F.coalesce(F.max("customer_key"), F.lit(0))).first()[0]
+    now = incoming.select(*[F.col(name).alias(f"_now_{name}") for name in _SNAPSHOT])
+    history = _checked(current_dim)
+    meet = (F.col("customer_id") == F.col("_now_customer_id")) & F.col("is_current")
+    joined = history.join(now, meet, "full_outer")
 
-    current_dim = current_dim.select(*DIM_CUSTOMER)
-    opened = _open_versions(current_dim)
-    was = opened.select(
-        "customer_id",
-        F.col("effective_from").alias("_was_from"),
-        *[F.col(name).alias(f"_was_{name}") for name in TRACKED],
-        F.lit(True).alias("_known"),
-    )
-    arriving = incoming.join(was, "customer_id", "left").where(
-        F.col("_known").isNull() | _differs("", "_was_")
-    )
+    known = F.col("customer_key").isNotNull()
+    day = F.col("_now_snapshot_date")
     stale = F.raise_error(
         F.concat(
             F.lit("snapshot is not newer than the open version of customer "),
             F.col("customer_id"),
         )
     )
-    arriving = arriving.withColumn(
-        "snapshot_date",
-        F.when(F.col("snapshot_date") <= F.col("_was_from"), stale).otherwise(
-            F.col("snapshot_date")
-        ),
-    ).select(*_new_versions())
-    arrived = dense_keys(
-        arriving, ["customer_id", "effective_from"], "customer_key", start=top_key
+    was = {name: F.col(name) for name in DIM_CUSTOMER}
+    ended = _row(
+        **{
+            **was,
+            "effective_to": F.when(day <= F.col("effective_from"), stale).otherwise(day),
+            "is_current": F.lit(False),
+        }
     )
-
-    now = incoming.select(
-        "customer_id",
-        F.col("snapshot_date").alias("_now_date"),
-        *[F.col(name).alias(f"_now_{name}") for name in TRACKED],
+    opened = _row(
+        customer_key=F.lit(None),
+        customer_id=F.col("_now_customer_id"),
+        **{name: F.col(f"_now_{name}") for name in TRACKED},
+        effective_from=day,
+        effective_to=F.lit(None),
+        is_current=F.lit(True),
     )
-    # One row out per open version: as it was, or with an end.
-    ends = F.col("_now_date").isNotNull() & _differs("", "_now_")
-    settled = (
-        opened.join(now, "customer_id", "left")
-        .withColumns(
-            {
-                "effective_to": F.when(ends, F.col("_now_date")).otherwise(
-                    F.col("effective_to")
-                ),
-                "is_current": ~ends,
-            }
-        )
-        .select(*DIM_CUSTOMER)
+    rows = (
+        F.when(~known, F.array(opened))
+        .when(day.isNotNull() & _differs("", "_now_"), F.array(ended, opened))
+        .otherwise(F.array(_row(**was)))
     )
-    closed = current_dim.where(~F.col("is_current"))
-    return settled.unionByName(closed).unionByName(arrived.select(*DIM_CUSTOMER))
+    return joined.select(F.explode(rows).alias("version")).select("version.*")
+
+
+def scd2_merge(current_dim: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Apply one snapshot to the dimension.
+
+    new customer      -> a new open version
+    changed customer  -> the open version ends on the snapshot date, a new one opens
+    otherwise         -> the version stays as it is, in the snapshot or not
+    Closed versions are carried over. New keys continue after the largest one.
+    """
+    incoming = incoming.select(*_SNAPSHOT)
+    check_snapshot(incoming)
+    merged = materialize(_actions(current_dim.select(*DIM_CUSTOMER), incoming), "merged")
+    arrived = merged.where("customer_key is null").drop("customer_key")
+    top_key = current_dim.agg(F.coalesce(F.max("customer_key"), F.lit(0))).scalar()
+    numbered = dense_keys(arrived, ["customer_id", "effective_from"], "customer_key", start=top_key)
+    return merged.where("customer_key is not null").unionByName(numbered.select(*DIM_CUSTOMER))
 
 
 def scd2_change_classes(current_dim: DataFrame, incoming: DataFrame) -> DataFrame:

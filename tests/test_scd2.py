@@ -11,6 +11,8 @@ from pyspark.errors import PySparkException
 from compare import spark_bag
 from finmart import schemas
 from finmart.operators import scd2
+from finmart.sources.scratch import materialize
+from plans import exchanges, plan_of, settings
 from rows import SNAPSHOT, customer, frame, version
 
 APRIL, MAY, JUNE = date(2026, 4, 1), date(2026, 5, 17), date(2026, 6, 15)
@@ -225,7 +227,37 @@ def test_overlapping_versions_fail(spark):
         version(effective_to=date(2026, 2, 1), is_current=False),
         version(customer_key=2, effective_from=date(2026, 2, 1)),
     ]
+    incoming = snapshot(spark, customer(customer_id="C9", snapshot_date=MAY))
     for rows in (two_open, late):
-        with pytest.raises(ValueError, match="overlap"):
-            scd2.check_history(frame(spark, schemas.DIM_CUSTOMER, *rows))
-    scd2.check_history(frame(spark, schemas.DIM_CUSTOMER, *fine))
+        with pytest.raises(PySparkException, match="overlaps the next one of customer C1"):
+            scd2.scd2_merge(frame(spark, schemas.DIM_CUSTOMER, *rows), incoming)
+    assert scd2.scd2_merge(frame(spark, schemas.DIM_CUSTOMER, *fine), incoming).count() == 3
+
+
+def test_a_customer_with_closed_versions_only_opens_again(spark):
+    closed = version(effective_to=date(2026, 3, 1), is_current=False)
+    after = scd2.scd2_merge(frame(spark, schemas.DIM_CUSTOMER, closed), snapshot(spark, customer()))
+    assert {(r.customer_key, r.effective_from, r.is_current) for r in after.collect()} == {
+        (closed["customer_key"], closed["effective_from"], False),
+        (closed["customer_key"] + 1, APRIL, True),
+    }
+
+
+def test_merging_joins_once_and_deals_the_history_once(spark):
+    """The check for overlaps and the join share one shuffle of the history."""
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__enabled="false",
+    ):
+        dim = materialize(merged(spark, *random_snapshots(spark, 3)[:2]), "dim")
+        late = materialize(random_snapshots(spark, 3)[2], "late")
+        plan = plan_of(scd2._actions(dim, late))
+    assert plan.count("FullOuter") == 1 and plan.count("Join") == 1
+    assert exchanges(plan) == ["hashpartitioning"] * 2
+
+
+def test_keys_beyond_an_int_fail(spark):
+    dim = frame(spark, schemas.DIM_CUSTOMER, version(customer_key=2**31 - 1))
+    with pytest.raises(PySparkException, match="do not fit an int"):
+        scd2.scd2_merge(dim, snapshot(spark, customer(customer_id="C9", snapshot_date=MAY))).collect()

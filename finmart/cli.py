@@ -59,6 +59,11 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--jdbc-url")
     load.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
 
+    merge = commands.add_parser(
+        "merge", parents=[shared], help="merge one raw customer snapshot into the star schema"
+    )
+    merge.add_argument("snapshot_feed", metavar="FEED")
+
     report = commands.add_parser("report", parents=[shared], help="write the reports")
     report.add_argument("--threshold", type=int, default=CTR_THRESHOLD)
     report.add_argument("--first-day", type=date.fromisoformat)
@@ -116,6 +121,8 @@ def main(argv: Sequence[str] | None = None) -> None:
             jdbc_url=args.jdbc_url,
             jdbc_properties=_pairs(args.jdbc_property),
         )
+    elif args.job == "merge":
+        result = jobs.merge_snapshot(spark, lake, args.snapshot_feed)
     elif args.job == "report":
         result = jobs.regulatory_reports(
             spark, lake, args.threshold, args.first_day, args.last_day

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from finmart.functions.dates import date_key
@@ -38,6 +40,28 @@ def build_fact_transactions(
     return keyed.withColumn("date_key", date_key(day)).select(*FACT_TRANSACTIONS)
 
 
+def check_fact(months: Sequence[Row], n_valid: int, dimensions: Mapping[str, DataFrame]) -> None:
+    """Raise ValueError unless the fact has one row per valid one and only known keys.
+
+    `months` are the counts by month, see `fact_counts`; `dimensions` has a frame for each
+    key column.
+    """
+    n = sum(row.n for row in months)
+    if n != n_valid:
+        raise ValueError(f"the fact has {n} rows for {n_valid} valid ones")
+    for key, dimension in dimensions.items():
+        found = max((row[key] for row in months if row[key] is not None), default=None)
+        top = dimension.agg(F.max(key)).first()[0]
+        if found is not None and (top is None or found > top):
+            raise ValueError(f"the fact has {key} {found}, the dimension ends at {top}")
+
+
+def fact_counts(fact: DataFrame, month: str) -> list[Row]:
+    """Rows and largest keys of each month: a row per month."""
+    keys = ("customer_key", "account_key", "branch_key")
+    return fact.groupBy(month).agg(F.count("*").alias("n"), *[F.max(k).alias(k) for k in keys]).collect()
+
+
 def unresolved_keys(fact: DataFrame) -> DataFrame:
     """One row: how many fact rows lack which key."""
     names = ("date_key", "customer_key", "account_key", "branch_key")

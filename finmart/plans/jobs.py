@@ -1,4 +1,4 @@
-"""The four jobs: seed -> staging -> warehouse -> reports.
+"""The jobs: seed -> staging -> warehouse (load all, or merge a snapshot) -> reports.
 
 Storage is the only hand-over between jobs, and within a job a table is written
 once and read back, never computed twice.
@@ -22,13 +22,14 @@ from finmart.operators.dims import (
     build_dim_date,
     check_unique,
 )
-from finmart.operators.fact import build_fact_transactions
-from finmart.operators.scd2 import check_snapshot, scd2_replay
+from finmart.operators.fact import build_fact_transactions, check_fact, fact_counts
+from finmart.operators.scd2 import check_snapshot, scd2_merge, scd2_replay
 from finmart.plans.reports import CTR_THRESHOLD, ctr_hits, monthly_summary_report
 from finmart.sources import lake as files
-from finmart.sources import seed
+from finmart.sources import seed, versions
 from finmart.sources.jdbc import load_star
 from finmart.sources.lake import Lake
+from finmart.sources.versions import Version
 
 SNAPSHOT_FEEDS = ("customers_snapshot1", "customers_snapshot2")
 
@@ -91,6 +92,15 @@ def seed_raw(
         files.write_csv(df, lake.raw(feed))
 
 
+def _stage(spark: SparkSession, lake: Lake, feed: str, contract: dict[str, str]) -> None:
+    files.write_parquet(files.read_csv(spark, lake.raw(feed), contract), lake.staging(feed))
+
+
+def _staged_snapshot(spark: SparkSession, lake: Lake, feed: str) -> DataFrame:
+    staged = files.read_parquet(spark, lake.staging(feed), schemas.RAW_CUSTOMERS)
+    return staged.withColumn("snapshot_date", F.to_date("snapshot_date"))
+
+
 def raw_to_staging(
     spark: SparkSession,
     lake: Lake,
@@ -108,9 +118,7 @@ def raw_to_staging(
         **dict.fromkeys(snapshot_feeds, schemas.RAW_CUSTOMERS),
     }
     for feed, contract in contracts.items():
-        files.write_parquet(
-            files.read_csv(spark, lake.raw(feed), contract), lake.staging(feed)
-        )
+        _stage(spark, lake, feed, contract)
 
     raw = files.read_csv(
         spark, lake.raw("transactions"), schemas.RAW_TRANSACTIONS, corrupt_column
@@ -137,10 +145,10 @@ def write_star(
     valid: DataFrame,
     period: Period,
 ) -> dict[str, DataFrame]:
-    """Check the feeds, then build and write the five tables; returns the written ones.
+    """Check the feeds, then build, write and publish the five tables; returns them.
 
-    A feed that would multiply fact rows or break the history fails here, before any
-    published table is touched.
+    A feed that would multiply fact rows or break the history fails here, and so does a
+    fact that does not agree with the valid rows: the version before stays the current one.
     """
     check_unique(accounts, "account_id")
     check_unique(branches, "branch_code")
@@ -154,20 +162,76 @@ def write_star(
         "dim_account": build_dim_account(accounts),
         "dim_customer": scd2_replay(snapshots),
     }
+    version = versions.current(spark, lake).following()
     for name, df in dimensions.items():
-        files.write_parquet(df, lake.warehouse(name))
-    star = read_dimensions(spark, lake)
+        version.tables[name] = version.folder(name)
+        files.write_parquet(df, lake.warehouse(version.tables[name]))
+    _write_fact(spark, lake, version, valid)
+    versions.publish(spark, lake, version)
+    return read_star(spark, lake)
+
 
-    keyed_by = [star[name] for name in ("dim_customer", "dim_account", "dim_branch")]
+def _write_fact(spark: SparkSession, lake: Lake, version: Version, valid: DataFrame) -> None:
+    """Write the fact of a version whose dimensions are written, and check it."""
+    star = _read_dimensions(spark, lake, version)
+    dimensions = {
+        name: star[f"dim_{name.removesuffix('_key')}"]
+        for name in ("customer_key", "account_key", "branch_key")
+    }
+    seen = Observation("valid")
+    folder = version.folder("fact_transactions")
     files.write_fact(
-        build_fact_transactions(valid, *keyed_by), lake.warehouse("fact_transactions")
+        build_fact_transactions(
+            valid.observe(seen, F.count("*").alias("rows")), *dimensions.values()
+        ),
+        lake.warehouse(folder),
     )
-    return read_star(spark, lake)
+    months = fact_counts(files.read_fact_files(spark, lake.warehouse(folder)), "txn_month")
+    n_valid = seen.get["rows"]
+    if n_valid != sum(row.n for row in months):
+        n_valid = valid.count()  # tasks that ran twice are observed twice
+    check_fact(months, n_valid, dimensions)
+    version.fact.update({row.txn_month: folder for row in months})
+
+
+def merge_snapshot(spark: SparkSession, lake: Lake, snapshot_feed: str) -> dict[str, int]:
+    """Merge one raw customer snapshot into the stored history; returns the row counts.
+
+    The customers' versions of the days before stay as they are, and so do the fact's
+    months before the snapshot's; the later months are built again from the valid rows.
+    The outcome is that of a load of all snapshots.
+    """
+    stored = versions.current(spark, lake)
+    if not stored.number:
+        raise ValueError("there is no warehouse to merge into: load one first")
+    _stage(spark, lake, snapshot_feed, schemas.RAW_CUSTOMERS)
+    incoming = _staged_snapshot(spark, lake, snapshot_feed)
+    first = incoming.agg(F.min("snapshot_date")).first()[0]
+
+    version = stored.following()
+    version.tables.update(stored.tables)
+    version.tables["dim_customer"] = version.folder("dim_customer")
+    history = _read_dimensions(spark, lake, stored)["dim_customer"]
+    files.write_parquet(
+        scd2_merge(history, incoming), lake.warehouse(version.tables["dim_customer"])
+    )
+    version.fact.update(stored.fact)
+    if first:
+        since = first.replace(day=1)
+        for month in stored.fact:
+            if month is not None and month >= since.year * 100 + since.month:
+                del version.fact[month]
+        valid = files.read_valid(spark, lake.staging("transactions"))
+        _write_fact(
+            spark, lake, version, valid.where(F.col("txn_date").try_cast("date") >= F.lit(since))
+        )
+    versions.publish(spark, lake, version)
+    return _row_counts(read_star(spark, lake))
 
 
-def read_dimensions(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+def _read_dimensions(spark: SparkSession, lake: Lake, version: Version) -> dict[str, DataFrame]:
     return {
-        name: files.read_parquet(spark, lake.warehouse(name), contract)
+        name: files.read_parquet(spark, lake.warehouse(version.tables[name]), contract)
         for name, contract in DIMENSIONS.items()
     }
 
@@ -175,9 +239,29 @@ def read_dimensions(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 def read_star(
     spark: SparkSession, lake: Lake, first: date | None = None, last: date | None = None
 ) -> dict[str, DataFrame]:
-    """The written tables; the fact between two days, if given."""
-    fact = files.read_fact(spark, lake.warehouse("fact_transactions"), first, last)
-    return {**read_dimensions(spark, lake), "fact_transactions": fact}
+    """The published tables; the fact between two days, if given.
+
+    What is read stays the version of this moment, whatever is published later.
+    """
+    version = versions.current(spark, lake)
+    if not version.number:
+        raise ValueError(f"no warehouse has been published below {lake.base}")
+    folders: dict[str, list[int | None]] = {}
+    for month, folder in version.fact.items():
+        folders.setdefault(folder, []).append(month)
+    parts = [
+        # A folder may have months that a later version has taken over.
+        files.read_fact(spark, lake.warehouse(folder), first, last, months if len(folders) > 1 else None)
+        for folder, months in folders.items()
+    ]
+    nothing = schemas.empty(spark, schemas.FACT_TRANSACTIONS)
+    fact = reduce(DataFrame.unionByName, parts) if parts else nothing
+    return {**_read_dimensions(spark, lake, version), "fact_transactions": fact}
+
+
+def _row_counts(star: Mapping[str, DataFrame]) -> dict[str, int]:
+    # Counts of written Parquet come from the file footers.
+    return {name: df.count() for name, df in star.items()}
 
 
 def register_star(spark: SparkSession, lake: Lake) -> list[str]:
@@ -202,24 +286,17 @@ def staging_to_warehouse(
     def staged(feed: str, contract: dict[str, str]) -> DataFrame:
         return files.read_parquet(spark, lake.staging(feed), contract)
 
-    snapshots = [
-        staged(feed, schemas.RAW_CUSTOMERS).withColumn(
-            "snapshot_date", F.to_date("snapshot_date")
-        )
-        for feed in snapshot_feeds
-    ]
     valid = files.read_valid(spark, lake.staging("transactions"))
     star = write_star(
         spark,
         lake,
         staged("branches", schemas.RAW_BRANCHES),
         staged("accounts", schemas.RAW_ACCOUNTS),
-        snapshots,
+        [_staged_snapshot(spark, lake, feed) for feed in snapshot_feeds],
         valid,
         period,
     )
-    # Counts of written Parquet come from the file footers.
-    counts = {name: df.count() for name, df in star.items()}
+    counts = _row_counts(star)
     if jdbc_url:
         load_star(star, jdbc_url, properties=jdbc_properties)
     return counts

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from finmart import schemas
 from finmart.operators import dims, fact, keys, quality, scd2
-from finmart.plans import analytics, reports, roles
+from finmart.plans import analytics, jobs, reports, roles
 from finmart.sources import lake as files
 from finmart.sources import seed
 from finmart.sources.scratch import scratch_path
@@ -186,8 +186,8 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of the stored fact between two days, without reading the rest."""
-    path = roles.warehouse_lake(spark, sf_dir).warehouse("fact_transactions")
-    return files.read_fact(spark, path, date(2026, 5, 20), date(2026, 6, 10))
+    lake = roles.warehouse_lake(spark, sf_dir)
+    return jobs.read_star(spark, lake, date(2026, 5, 20), date(2026, 6, 10))["fact_transactions"]
 
 
 def _read_ctr(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 from datetime import date
 
@@ -111,11 +112,23 @@ def write_fact(fact: DataFrame, path: str) -> None:
     )
 
 
+def read_fact_files(spark: SparkSession, path: str) -> DataFrame:
+    """The fact with the month of its folder."""
+    return read_parquet(spark, path, _FACT_FILES)
+
+
 def read_fact(
-    spark: SparkSession, path: str, first: date | None = None, last: date | None = None
+    spark: SparkSession,
+    path: str,
+    first: date | None = None,
+    last: date | None = None,
+    months: Collection[int | None] | None = None,
 ) -> DataFrame:
-    """The fact, or the part of it between two days, both included."""
-    rows = read_parquet(spark, path, _FACT_FILES)
+    """The fact, or the part of it between two days, both included, or of some months."""
+    rows = read_fact_files(spark, path)
+    if months is not None:
+        dated = F.col("txn_month").isin([month for month in months if month is not None])
+        rows = rows.where(dated | F.col("txn_month").isNull() if None in months else dated)
     for day, beyond in ((first, "__ge__"), (last, "__le__")):
         if day:
             key = day.year * 10000 + day.month * 100 + day.day

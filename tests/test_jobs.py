@@ -4,14 +4,16 @@ from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from compare import spark_bag
 from finmart import cli, schemas
 from finmart.plans import analytics, jobs
 from finmart.sources import lake as files
-from finmart.sources import seed
+from finmart.sources import seed, versions
 from finmart.sources.lake import Lake
+from finmart.sources.versions import Version
 
 CUSTOMERS, ACCOUNTS, TRANSACTIONS = 400, 600, 6000
 
@@ -153,6 +155,99 @@ def test_an_account_given_twice_is_noticed(spark, lake, run, tmp_path):
     assert published == {name: spark_bag(df) for name, df in jobs.read_star(spark, copy).items()}
 
 
+@pytest.fixture
+def loaded(spark, lake, run, tmp_path) -> Lake:
+    """A warehouse of the first snapshot only, with the other feeds staged."""
+    copy = Lake(str(tmp_path))
+    for feed in ("branches", "accounts", "customers_snapshot1", "transactions"):
+        files.write_parquet(spark.read.parquet(lake.staging(feed)), copy.staging(feed))
+    feed = files.read_csv(spark, lake.raw("customers_snapshot2"), schemas.RAW_CUSTOMERS)
+    files.write_csv(feed, copy.raw("customers_snapshot2"))
+    jobs.staging_to_warehouse(spark, copy, ["customers_snapshot1"])
+    return copy
+
+
+def bags(star):
+    return {name: spark_bag(df) for name, df in star.items()}
+
+
+def test_merging_a_snapshot_equals_loading_both(spark, lake, run, loaded, monkeypatch):
+    jobs.staging_to_warehouse(spark, lake)
+    before = jobs.read_star(spark, loaded)
+    seen = bags(before)
+    monkeypatch.setattr(cli, "get_spark_session", lambda *_: spark)
+    cli.main(["merge", "--lake", loaded.base, "customers_snapshot2"])
+    after = jobs.read_star(spark, loaded)
+    assert bags(after) == bags(jobs.read_star(spark, lake))
+    # Who began to read before the merge still reads what there was.
+    assert bags(before) == seen and seen["dim_customer"] != bags(after)["dim_customer"]
+    version = versions.current(spark, loaded)
+    assert version.number == 2 and len(set(version.fact.values())) == 2
+    april = {month: folder for month, folder in version.fact.items() if month == 202604}
+    assert april[202604].startswith("v000001") and version.tables["dim_account"].startswith("v000001")
+    # Only the folders of the wanted days are read, whatever version wrote them.
+    may = jobs.read_star(spark, loaded, date(2026, 5, 1), date(2026, 5, 31))["fact_transactions"]
+    whole = jobs.read_star(spark, lake)["fact_transactions"]
+    assert spark_bag(may) == spark_bag(whole.where("date_key between 20260501 and 20260531"))
+    with pytest.raises(PySparkException, match="not newer"):
+        # The first one again would undo what the second one changed.
+        files.write_csv(
+            files.read_csv(spark, lake.raw("customers_snapshot1"), schemas.RAW_CUSTOMERS),
+            loaded.raw("customers_snapshot1"),
+        )
+        jobs.merge_snapshot(spark, loaded, "customers_snapshot1")
+    assert versions.current(spark, loaded) == version
+
+
+def test_a_failed_load_leaves_the_old_version(spark, loaded, monkeypatch):
+    published = bags(jobs.read_star(spark, loaded))
+    write = files.write_fact
+
+    def dies(fact, path):
+        write(fact.limit(100), path)
+        raise OSError("no space left")
+
+    monkeypatch.setattr(files, "write_fact", dies)
+    for job in (jobs.staging_to_warehouse, jobs.merge_snapshot):
+        with pytest.raises(OSError):
+            job(spark, loaded, "customers_snapshot2" if job is jobs.merge_snapshot else ["customers_snapshot1"])
+        assert bags(jobs.read_star(spark, loaded)) == published
+
+
+@pytest.mark.parametrize(
+    ("fault", "message"),
+    [
+        (lambda fact: fact.union(fact.limit(1)), "6001 rows for 6000"),
+        (lambda fact: fact.where("txn_id not like '%7'"), "5[0-9]* rows for 6000"),
+        (lambda fact: fact.withColumn("account_key", F.lit(601)), "account_key 601"),
+    ],
+)
+def test_a_fact_that_does_not_agree_is_not_published(spark, loaded, monkeypatch, fault, message):
+    version = versions.current(spark, loaded)
+    write = files.write_fact
+    monkeypatch.setattr(files, "write_fact", lambda fact, path: write(fault(fact), path))
+    with pytest.raises(ValueError, match=message):
+        jobs.staging_to_warehouse(spark, loaded, ["customers_snapshot1"])
+    assert versions.current(spark, loaded) == version
+
+
+def test_versions(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    assert versions.current(spark, lake) == Version()
+    with pytest.raises(ValueError, match="no warehouse has been published"):
+        jobs.read_star(spark, lake)
+    with pytest.raises(ValueError, match="load one first"):
+        jobs.merge_snapshot(spark, lake, "x")
+    first = versions.current(spark, lake).following()
+    rival = versions.current(spark, lake).following()
+    first.fact[None] = first.folder("fact_transactions")
+    versions.publish(spark, lake, first)
+    assert versions.current(spark, lake) == first
+    with pytest.raises(RuntimeError, match="another load"):
+        versions.publish(spark, lake, rival)
+    assert versions.current(spark, lake) == first
+
+
 def test_commands(spark, tmp_path, capsys, monkeypatch):
     monkeypatch.setattr(cli, "get_spark_session", lambda *_: spark)
     base = ["--lake", str(tmp_path)]

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finmart.schemas import MONEY
+from finmart.sources.scratch import materialize
 
 NULL_FIELD = "null_required_field"
 NEGATIVE = "negative_amount"
@@ -71,48 +72,110 @@ def _total_order(raw: DataFrame, tie_break: Sequence[str]) -> list[Column]:
     return [F.col(name).asc_nulls_first() for name in (*tie_break, *rest)]
 
 
-def tag_transactions(
-    raw: DataFrame,
-    tie_break: Sequence[str] = TIE_BREAK,
-    strict_dates: bool = True,
-    corrupt_column: str | None = None,
-) -> DataFrame:
-    """All raw rows plus `reject_reason`, NULL on the valid ones, from one scan.
-
-    Ranking runs in two rounds so that no txn_id, and no pile of rejected rows, has
-    to fit one task. Round one ranks the copies of an id within one input partition
-    and settles all but the first of them; round two ranks the remaining firsts, at
-    most one per id and input partition. Settled rows travel through round two in
-    the lane of their input partition. The partition number decides who meets whom,
-    never who wins: the winner is the smallest row, and equal rows are equal.
+# Bits of the filter that says which ids occur twice; more bits let fewer others through.
+_FILTER_BITS = 1 << 24
+_BITMAP_BITS = 1 << 15  # bits of the bitmaps that Spark builds
+
+
+def _may_repeat(passed: DataFrame) -> Column:
+    """Whether the id of a row may belong to several of the rows that passed: true for all
+    those that do, and for few others.
+
+    Hashes of ids are counted, after map-side aggregation; those found twice set a bit of a
+    filter of fixed size, which is written and read as one value.
     """
-    order = _total_order(raw, tie_break)
-    ruled = raw.withColumns(
-        {
-            "reject_reason": row_reason(strict_dates, corrupt_column),
-            "_part": F.spark_partition_id(),
-        }
+    spark = passed.sparkSession
+    hashes = passed.groupBy(F.xxhash64("txn_id").alias("hash")).agg(F.count("*").alias("n"))
+    bit = F.pmod("hash", F.lit(_FILTER_BITS))
+    bitmaps = (
+        hashes.where("n > 1")
+        .select(F.floor(bit / _BITMAP_BITS).alias("part"), (bit % _BITMAP_BITS).alias("at"))
+        .groupBy("part")
+        .agg(F.bitmap_construct_agg("at").alias("bits"))
     )
+    every = spark.range(-(-_FILTER_BITS // _BITMAP_BITS)).withColumnRenamed("id", "part")
+    parts = every.join(bitmaps, "part", "left").agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("part", "bits"))), lambda entry: entry["bits"]
+        ).alias("parts")
+    )
+    table = materialize(parts, "repeated-ids").scalar()
+
+    own = F.pmod(F.xxhash64("txn_id"), F.lit(_FILTER_BITS))
+    at = own % _BITMAP_BITS
+    bitmap = F.get(table, F.floor(own / _BITMAP_BITS).cast("int"))
+    byte = F.substring(bitmap, F.floor(at / 8).cast("int") + 1, F.lit(1))
+    code = F.ascii(F.decode(byte, "ISO-8859-1"))
+    return F.coalesce(F.getbit(code, (at % 8).cast("int")) == 1, F.lit(False))
+
+
+def _parted(
+    raw: DataFrame, strict_dates: bool, corrupt_column: str | None
+) -> tuple[DataFrame, DataFrame]:
+    """(settled, contenders): rows with a reason, or whose id no other row has, and rows
+    that may have to compete for their id. Both have `reject_reason`."""
+    ruled = raw.withColumn("reject_reason", row_reason(strict_dates, corrupt_column))
     passed = F.col("reject_reason").isNull()
-    contender = F.when(passed, F.col("txn_id"))
+    contends = passed & _may_repeat(ruled.where(passed))
+    return ruled.where(~contends), ruled.where(contends)
+
 
-    within_part = Window.partitionBy(_ID_HASH, "_contender", "_part").orderBy(*order)
+def _ranked(contenders: DataFrame, raw: DataFrame, tie_break: Sequence[str]) -> DataFrame:
+    """The contenders; all but the first of each id get their reason.
+
+    Ranking runs in two rounds so that no txn_id has to fit one task. Round one ranks the
+    copies of an id within one input partition and settles all but the first of them;
+    round two ranks the remaining firsts, at most one per id and input partition. Settled
+    rows travel through round two in the lane of their input partition. The partition
+    number decides who meets whom, never who wins: the winner is the smallest row, and equal rows are
+    equal.
+    """
+    order = _total_order(raw, tie_break)
+    within_part = Window.partitionBy(_ID_HASH, "txn_id", "_part").orderBy(*order)
     round_one = (
-        ruled.withColumn("_contender", contender)
-        .withColumn(_ID_HASH, F.xxhash64("_contender"))
-        .withColumn("_open", passed & (F.row_number().over(within_part) == 1))
+        contenders.withColumn("_part", F.spark_partition_id())
+        .withColumn(_ID_HASH, F.xxhash64("txn_id"))
+        .withColumn("_open", F.row_number().over(within_part) == 1)
     )
-
-    across_parts = Window.partitionBy(_ID_HASH, "_contender", "_lane").orderBy(*order)
+    across_parts = Window.partitionBy(_ID_HASH, "txn_id", "_lane").orderBy(*order)
     round_two = round_one.withColumn(
         "_lane", F.when(F.col("_open"), F.lit(-1)).otherwise(F.col("_part"))
     ).withColumn("_first", F.row_number().over(across_parts) == 1)
+    loser = ~(F.col("_open") & F.col("_first"))
+    return round_two.select(*raw.columns, F.when(loser, DUPLICATE).alias("reject_reason"))
+
+
+def tag_transactions(
+    raw: DataFrame,
+    tie_break: Sequence[str] = TIE_BREAK,
+    strict_dates: bool = True,
+    corrupt_column: str | None = None,
+) -> DataFrame:
+    """All raw rows plus `reject_reason`, NULL on the valid ones.
+
+    Only rows whose id may occur twice are moved and ranked; the others, whatever their
+    verdict, stay in the tasks that read them.
+    """
+    settled, contenders = _parted(raw, strict_dates, corrupt_column)
+    return settled.unionByName(_ranked(contenders, raw, tie_break))
+
 
-    loser = passed & ~(F.col("_open") & F.col("_first"))
-    return round_two.select(
-        *raw.columns,
-        F.when(loser, DUPLICATE).otherwise(F.col("reject_reason")).alias("reject_reason"),
+def split_transactions(
+    raw: DataFrame,
+    tie_break: Sequence[str] = TIE_BREAK,
+    strict_dates: bool = True,
+    corrupt_column: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected), to write both: the ranked rows are written once for the two sides,
+    the others are read from `raw` by either. Valid rows have money, rejected ones are as sent."""
+    settled, contenders = _parted(raw, strict_dates, corrupt_column)
+    ranked = materialize(_ranked(contenders, raw, tie_break), "contenders")
+    valid, rejected = (
+        settled.where(side).unionByName(ranked.where(side))
+        for side in ("reject_reason is null", "reject_reason is not null")
     )
+    dropped = ["reject_reason", *([corrupt_column] if corrupt_column else [])]
+    return as_money(valid.drop(*dropped)), rejected
 
 
 def as_money(df: DataFrame) -> DataFrame:
@@ -157,7 +220,7 @@ def rejected_transactions(
 
 
 def clean_transactions(raw: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected). To store both, write `tag_transactions` once instead."""
+    """(valid, rejected), each by itself. To store both, use `split_transactions`."""
     return valid_transactions(raw, **options), rejected_transactions(raw, **options)
 
 

@@ -29,6 +29,7 @@ from finmart.sources import lake as files
 from finmart.sources import seed, versions
 from finmart.sources.jdbc import load_star
 from finmart.sources.lake import Lake
+from finmart.sources.scratch import materialize
 from finmart.sources.versions import Version
 
 SNAPSHOT_FEEDS = ("customers_snapshot1", "customers_snapshot2")
@@ -120,20 +121,30 @@ def raw_to_staging(
     for feed, contract in contracts.items():
         _stage(spark, lake, feed, contract)
 
-    raw = files.read_csv(
-        spark, lake.raw("transactions"), schemas.RAW_TRANSACTIONS, corrupt_column
+    # Parsed once: what the gate looks at several times is Parquet.
+    raw = materialize(
+        files.read_csv(
+            spark, lake.raw("transactions"), schemas.RAW_TRANSACTIONS, corrupt_column
+        ),
+        "raw-transactions",
+    )
+    valid, rejected = quality.split_transactions(
+        raw, strict_dates=strict_dates, corrupt_column=corrupt_column
     )
-    counts = Observation("gate")
+    passed, refused = Observation("valid"), Observation("rejected")
     reason = F.col("reject_reason")
-    tagged = quality.tag_transactions(raw, strict_dates=strict_dates, corrupt_column=corrupt_column).observe(
-        counts,
-        F.count("*").alias("total"),
-        F.count_if(reason.isNull()).alias("valid"),
-        F.count_if(reason.isNotNull()).alias("rejected"),
-        *[F.count_if(reason == name).alias(name) for name in quality.REASONS],
+    files.write_gate(
+        valid.observe(passed, F.count("*").alias("valid")),
+        rejected.observe(
+            refused,
+            F.count("*").alias("rejected"),
+            *[F.count_if(reason == name).alias(name) for name in quality.REASONS],
+        ),
+        lake.staging("transactions"),
+        lake.rejects,
     )
-    files.write_gate(tagged, lake.staging("transactions"), lake.rejects)
-    return counts.get
+    counts = {**passed.get, **refused.get}
+    return {"total": counts["valid"] + counts["rejected"], **counts}
 
 
 def write_star(

@@ -171,7 +171,7 @@ def gate_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_sent = roles.transactions(spark, sf_dir).withColumns(
         {name: F.col(name).cast("double") for name in ("amount", "fee")}
     )
-    files.write_gate(quality.tag_transactions(as_sent), f"{path}/valid", f"{path}/rejects")
+    files.write_gate(*quality.split_transactions(as_sent), f"{path}/valid", f"{path}/rejects")
     valid = files.read_valid(spark, f"{path}/valid")
     rejects = quality.as_money(files.read_rejects(spark, f"{path}/rejects"))
     return valid.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejects)

@@ -9,9 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finmart.operators.quality import as_money
 from finmart.schemas import FACT_TRANSACTIONS, MONEY, RAW_TRANSACTIONS, ddl
-from finmart.sources.scratch import scratch_path
 
 
 @dataclass(frozen=True)
@@ -65,9 +63,7 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-# Gate output: valid rows with exact money, and rejected ones as they were sent. The
-# tagged rows are written once, by verdict, and each side is copied from its folder, so
-# that both come from the same scan of the feed.
+# Gate output: valid rows with exact money, and rejected ones as they were sent.
 
 _GATE = {**RAW_TRANSACTIONS, "reject_reason": "string"}
 _VALID = {
@@ -75,14 +71,12 @@ _VALID = {
 }
 
 
-def write_gate(tagged: DataFrame, valid_path: str, rejects_path: str) -> None:
-    spark = tagged.sparkSession
-    both = scratch_path(spark, "gate")
-    verdict = F.col("reject_reason").isNull().alias("valid")
-    tagged.select(*RAW_TRANSACTIONS, "reject_reason", verdict).write.partitionBy("valid").parquet(both)
-    rows = read_parquet(spark, both, {**_GATE, "valid": "boolean"})
-    write_parquet(as_money(rows.where("valid").select(*RAW_TRANSACTIONS)), valid_path)
-    write_parquet(rows.where("not valid").select(*_GATE), rejects_path)
+def write_gate(
+    valid: DataFrame, rejected: DataFrame, valid_path: str, rejects_path: str
+) -> None:
+    """Write each side straight to its folder, with the rows where they were read."""
+    write_parquet(valid.select(*RAW_TRANSACTIONS), valid_path)
+    write_parquet(rejected.select(*_GATE), rejects_path)
 
 
 def read_valid(spark: SparkSession, path: str) -> DataFrame:

@@ -72,7 +72,7 @@ def test_gate_sides_are_tables_of_their_own(spark, tmp_path):
         *[txn(), txn(), txn(txn_id="T2", amount=-1.5), txn(txn_id="T3")],
     )
     places = str(tmp_path / "transactions"), str(tmp_path / "_rejects")
-    files.write_gate(quality.tag_transactions(raw), *places)
+    files.write_gate(*quality.split_transactions(raw), *places)
     # A plain read gives valid rows only, with exact money.
     plain = spark.read.parquet(places[0])
     assert spark_bag(plain) == spark_bag(quality.valid_transactions(raw))
@@ -84,7 +84,7 @@ def test_gate_sides_are_tables_of_their_own(spark, tmp_path):
 
 def test_a_gate_without_rejects_reads_empty(spark, tmp_path):
     raw = frame(spark, schemas.RAW_TRANSACTIONS, txn())
-    files.write_gate(quality.tag_transactions(raw), str(tmp_path / "valid"), str(tmp_path / "rejects"))
+    files.write_gate(*quality.split_transactions(raw), str(tmp_path / "valid"), str(tmp_path / "rejects"))
     assert files.read_rejects(spark, str(tmp_path / "rejects")).count() == 0
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from compare import spark_bag
 from finmart.operators import quality
 from finmart.schemas import RAW_TRANSACTIONS
+from finmart.sources.scratch import materialize
 from plans import exchanges, plan_of, settings
 from rows import frame, txn
 
@@ -195,6 +196,58 @@ def test_no_task_of_the_ranking_holds_a_hot_id(spark):
     assert max(sizes) < 2.5 * 64_000 / 16
 
 
+def test_only_contenders_are_moved(spark):
+    """Rows whose id no other row has are not shuffled, and neither are rule rejects."""
+    unique = F.concat(F.lit("U"), F.monotonically_increasing_id().cast("string"))
+    feed = hot_feed(spark, 64_000, 8).where("amount > 0").withColumn("txn_id", unique)
+    feed = materialize(feed.withColumn("txn_id", F.when(F.col("amount") < 180, "SAME").otherwise(unique)), "feed")
+    n_same = feed.where("txn_id = 'SAME' and account_id is not null").count()
+    assert 30 < n_same < 25_000
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        for moved in (
+            quality.tag_transactions(feed),
+            *quality.split_transactions(feed),
+        ):
+            counted = list(shuffled_rows(moved))
+            assert sum(counted) <= 2 * n_same, counted
+    settled, contenders = quality._parted(feed, True, None)
+    assert settled.count() + contenders.count() == feed.count()
+    assert "Exchange" not in plan_of(settled)
+
+
+def shuffled_rows(df):
+    """How many rows each shuffle of a plan has written."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+
+    def walk(node):
+        metrics = node.metrics()
+        if metrics.contains("shuffleRecordsWritten"):
+            yield metrics.get("shuffleRecordsWritten").get().value()
+        children = node.children()
+        for k in range(children.size()):
+            yield from walk(children.apply(k))
+
+    yield from walk(plan)
+
+
+def test_a_full_filter_only_moves_more(spark, monkeypatch):
+    df = hot_feed(spark, 3000, 5)
+    expected = spark_bag(quality.tag_transactions(df))
+    monkeypatch.setattr(quality, "_FILTER_BITS", 64)
+    assert spark_bag(quality.tag_transactions(df)) == expected
+    assert quality._parted(df, True, None)[1].count() > 2000
+
+
+def test_both_sides_of_the_split_agree_with_the_tags(spark):
+    df = hot_feed(spark, 3000, 5).withColumn("_line", F.when(F.col("amount") == 12, "x"))
+    tagged = quality.tag_transactions(df, corrupt_column="_line")
+    valid, rejected = quality.split_transactions(df, corrupt_column="_line")
+    assert spark_bag(valid) == spark_bag(quality.valid_transactions(df, corrupt_column="_line"))
+    assert spark_bag(rejected) == spark_bag(tagged.where("reject_reason is not null"))
+    assert rejected.where("reject_reason = 'malformed_row'").count() == 1
+
+
 def test_counting_shuffles_ids_only(spark):
     plan = plan_of(quality.reject_counts(hot_feed(spark, 100, 2)))
     assert "Window" not in plan and "partial_count" in plan

@@ -320,17 +320,43 @@ def regulatory_reports(
     first: date | None = None,
     last: date | None = None,
 ) -> dict[str, int]:
-    """Write both reports as CSV, of all days or a part; returns their row counts."""
+    """Write both reports as CSV, a folder per month, and the whole summary as one file;
+    returns the row counts of what was reported.
+
+    Given a first or last day, the months it lies in and those between are reported, whole,
+    and the folders of other months stay as they are.
+    """
+    months = None
+    if first or last:
+        calendar = read_star(spark, lake)["dim_date"].agg(F.min("date"), F.max("date")).first()
+        first, last = (first or calendar[0]).replace(day=1), _month_end(last or calendar[1])
+        months = _months(first, last)
     star = read_star(spark, lake, first, last)
     fact, branch, day = (star[n] for n in ("fact_transactions", "dim_branch", "dim_date"))
-    hits, groups = Observation("ctr"), Observation("summary")
-    ctr = ctr_hits(fact, star["dim_customer"], branch, day, threshold)
-    laid_out = files.month_files(ctr, "report_month", ["date", "txn_id"])
-    files.write_partitioned_csv(
-        laid_out.observe(hits, F.count("*").alias("rows")), lake.report("ctr"), "report_month"
+    month = "report_month"
+    hits = files.write_report(
+        ctr_hits(fact, star["dim_customer"], branch, day, threshold),
+        lake.report("ctr"),
+        month,
+        ["date", "txn_id"],
+        months,
     )
+    path = lake.report("monthly_summary")
+    order = list(schemas.MONTHLY_SUMMARY)[1:5]
     summary = monthly_summary_report(fact, branch, star["dim_account"], day)
+    groups = files.write_report(summary, path, month, order, months)
+    whole = files.read_partitioned_csv(spark, path, schemas.MONTHLY_SUMMARY, month)
     files.write_one_csv(
-        summary.observe(groups, F.count("*").alias("rows")), lake.report("monthly_summary")
+        whole.coalesce(1).sortWithinPartitions(month, *order), lake.report("monthly_summary_file")
     )
-    return {"ctr": hits.get["rows"], "monthly_summary": groups.get["rows"]}
+    return {"ctr": hits, "monthly_summary": groups}
+
+
+def _month_end(day: date) -> date:
+    return (day.replace(day=1) + timedelta(days=31)).replace(day=1) - timedelta(days=1)
+
+
+def _months(first: date, last: date) -> list[str]:
+    """The months of all days between two, both included, as 2026-04."""
+    days = ((first + timedelta(days=n)) for n in range((last - first).days + 1))
+    return sorted({f"{day:%Y-%m}" for day in days})

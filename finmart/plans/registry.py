@@ -204,8 +204,7 @@ def ctr_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ctr_month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ctr")
     hits = reports.ctr_hits(*_for_ctr(spark, sf_dir), roles.THRESHOLD)
-    laid_out = files.month_files(hits, "report_month", ["date", "txn_id"])
-    files.write_partitioned_csv(laid_out, path, "report_month")
+    files.write_report(hits, path, "report_month", ["date", "txn_id"])
     return _read_ctr(spark, path)
 
 

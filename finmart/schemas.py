@@ -100,6 +100,17 @@ CTR_REPORT = {
     "fee": MONEY,
 }
 
+# One row of the monthly summary.
+MONTHLY_SUMMARY = {
+    "report_month": "string",
+    "branch_name": "string",
+    "province": "string",
+    "product_type": "string",
+    "txn_type": "string",
+    "txn_count": "bigint",
+    "total_amount": "decimal(25,2)",
+}
+
 # A change in any of these opens a new customer version.
 TRACKED = ("name", "segment", "province", "kyc_level")
 

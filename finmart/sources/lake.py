@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finmart.operators.keys import dense_keys
 from finmart.schemas import FACT_TRANSACTIONS, MONEY, RAW_TRANSACTIONS, ddl
+from finmart.sources.scratch import materialize
 
 
 @dataclass(frozen=True)
@@ -133,10 +135,22 @@ def read_fact(
 
 # Reports.
 
+FILE_ROWS = 1_000_000  # rows of a report file
 
-def write_partitioned_csv(df: DataFrame, path: str, by: str) -> None:
-    """CSV with one folder per value of `by`; any size."""
-    df.write.mode("overwrite").option("header", True).partitionBy(by).csv(path)
+
+def write_partitioned_csv(
+    df: DataFrame, path: str, by: str, keep_others: bool = False, file_rows: int = 0
+) -> None:
+    """CSV with one folder per value of `by`; any size. Other folders than those with new
+    rows go or, if asked for, stay. `file_rows` limits the rows of a file."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
+        .option("maxRecordsPerFile", file_rows)
+        .option("header", True)
+        .partitionBy(by)
+        .csv(path)
+    )
 
 
 def read_partitioned_csv(
@@ -148,14 +162,49 @@ def read_partitioned_csv(
     return rows.select(*contract)
 
 
-def month_files(df: DataFrame, by: str, order_by: list[str]) -> DataFrame:
-    """Lay rows out so that `write_partitioned_csv` makes sorted files per month.
+def month_files(
+    df: DataFrame, by: str, order_by: list[str], file_rows: int = FILE_ROWS
+) -> DataFrame:
+    """Lay rows out so that `write_partitioned_csv`, with the same limit, makes exactly
+    ceil(rows / file_rows) files of each month, which follow each other in order.
+
+    Rows are numbered in order, so each knows its file: its place in the month over the
+    limit. Rows of a file are never parted; a task that has several files of a month has
+    them whole and in order, and the writer begins a new one after as many rows.
+    """
+    placed = materialize(dense_keys(df, [by, *order_by], "_place"), "placed")
+    # One row per month.
+    months = placed.groupBy(F.col(by).alias("_month")).agg(F.min("_place").alias("_first"))
+    number = F.floor((F.col("_place") - F.col("_first")) / file_rows)
+    return (
+        placed.join(F.broadcast(months), placed[by].eqNullSafe(F.col("_month")))
+        .withColumn("_file", number)
+        .repartitionByRange(by, "_file")
+        .sortWithinPartitions(by, "_place")
+        .select(*df.columns)
+    )
 
-    Rows are dealt by ranges of month and order, so a file holds one stretch of a month
-    and no two files of a month overlap: read by name, they are the month in order. A
-    month that fits one task is one file unless a range ends inside it.
+
+def write_report(
+    df: DataFrame,
+    path: str,
+    by: str,
+    order_by: list[str],
+    months: Sequence[str] | None = None,
+    file_rows: int = FILE_ROWS,
+) -> int:
+    """Write a report by month, all of it or only some months; returns the row count.
+
+    Of the months given, those without rows become empty; other months stay as they are.
     """
-    return df.repartitionByRange(by, *order_by).sortWithinPartitions(by, *order_by)
+    rows = materialize(df, "report")
+    laid_out = month_files(rows, by, order_by, file_rows)
+    write_partitioned_csv(laid_out, path, by, months is not None, file_rows)
+    # One row per month.
+    counts = {row[by]: row["count"] for row in rows.groupBy(by).count().collect()}
+    for month in set(months or ()) - set(counts):
+        write_csv(rows.drop(by).limit(0), f"{path}/{by}={month}")
+    return sum(counts.values())
 
 
 def write_one_csv(df: DataFrame, path: str) -> None:

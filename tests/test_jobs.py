@@ -68,33 +68,35 @@ def test_the_reports_are_there(spark, lake, run):
     ctr = files.read_csv(spark, lake.report("ctr"), {"txn_id": "string"})
     assert ctr.count() == hits
     assert len(list(Path(lake.report("ctr")).glob("report_month=2026-0*/*.csv"))) == 3
-    assert len(list(Path(lake.report("monthly_summary")).glob("*.csv"))) == 1
-    summary = files.read_csv(
-        spark,
-        lake.report("monthly_summary"),
-        {
-            "report_month": "string",
-            "branch_name": "string",
-            "province": "string",
-            "product_type": "string",
-            "txn_type": "string",
-            "txn_count": "bigint",
-            "total_amount": "decimal(25,2)",
-        },
-    )
+    assert len(list(Path(lake.report("monthly_summary")).glob("report_month=2026-0*/*.csv"))) == 3
+    assert len(list(Path(lake.report("monthly_summary_file")).glob("*.csv"))) == 1
+    summary = files.read_csv(spark, lake.report("monthly_summary_file"), schemas.MONTHLY_SUMMARY)
     groups = run["report"]["monthly_summary"]  # months x branches x products x types
     assert summary.count() == groups and 340 < groups <= 3 * 8 * 3 * 5
     assert summary.agg(F.sum("txn_count")).first()[0] == TRANSACTIONS
 
 
 def test_reports_of_a_part_of_the_days(spark, lake, run):
+    """A report of May, under another threshold, leaves April and June as they were."""
+
+    def by_month(name):
+        tree = files.read_csv(spark, lake.report(name), {"txn_type": "string", "report_month": "string"})
+        return dict(tree.groupBy("report_month").count().collect())
+
+    before = {name: by_month(name) for name in ("ctr", "monthly_summary")}
     part = jobs.regulatory_reports(
-        spark, lake, threshold=0, first=date(2026, 5, 1), last=date(2026, 5, 31)
+        spark, lake, threshold=0, first=date(2026, 5, 9), last=date(2026, 5, 20)
     )
-    assert 110 < part["monthly_summary"] <= 8 * 3 * 5
-    assert [p.name for p in Path(lake.report("ctr")).glob("report_month=*")] == [
-        "report_month=2026-05"
-    ]
+    after = {name: by_month(name) for name in ("ctr", "monthly_summary")}
+    assert 110 < part["monthly_summary"] <= 8 * 3 * 5 and after["monthly_summary"] == before["monthly_summary"]
+    # The whole month, although only some of its days were given.
+    assert part["ctr"] == after["ctr"]["2026-05"] > 20 * before["ctr"]["2026-05"]
+    assert {**after["ctr"], "2026-05": None} == {**before["ctr"], "2026-05": None}
+    assert len(before["ctr"]) == 3
+    jobs.regulatory_reports(spark, lake, first=date(2026, 5, 1), last=date(2026, 5, 31))
+    assert by_month("ctr") == before["ctr"]
+    whole = files.read_csv(spark, lake.report("monthly_summary_file"), schemas.MONTHLY_SUMMARY)
+    assert whole.count() == sum(before["monthly_summary"].values())
 
 
 SQL = {

@@ -88,17 +88,41 @@ def test_a_gate_without_rejects_reads_empty(spark, tmp_path):
     assert files.read_rejects(spark, str(tmp_path / "rejects")).count() == 0
 
 
-def test_files_of_a_month_do_not_overlap(spark, tmp_path):
-    rows = spark.range(5000).selectExpr(
-        "concat('2026-0', 1 + id % 2) as month", "cast(id * 7919 % 5000 as int) as place"
-    )
-    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
-        files.write_partitioned_csv(files.month_files(rows, "month", ["place"]), str(tmp_path / "r"), "month")
-    for month in (tmp_path / "r").glob("month=*"):
-        parts = [part.read_text().split()[1:] for part in sorted(month.glob("part-*"))]
-        assert len(parts) > 1
-        together = [int(place) for part in parts for place in part]
-        assert together == sorted(together) and len(together) == 2500
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_each_month_has_the_files_it_needs(spark, tmp_path, coalesce):
+    """Month 1 has 2,500 rows, month 2 has 250, month 3 exactly 600, others none."""
+    place = "cast(id * 7919 % 3350 as int)"
+    month = "case when id < 2500 then '2026-01' when id < 2750 then '2026-02' else '2026-03' end"
+    rows = spark.range(3350).selectExpr(f"{month} as month", f"{place} as place", "id")
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled=coalesce):
+        n = files.write_report(rows, str(tmp_path / "r"), "month", ["place"], file_rows=300)
+    assert n == 3350
+    found = {}
+    for folder in (tmp_path / "r").glob("month=*"):
+        parts = [part.read_text().splitlines()[1:] for part in sorted(folder.glob("part-*"))]
+        found[folder.name[-2:]] = [len(part) for part in parts]
+        places = [int(line.split(",")[0]) for part in parts for line in part]
+        assert places == sorted(places)
+    assert found == {"01": [300] * 8 + [100], "02": [250], "03": [300, 300]}
+
+
+def test_a_report_of_some_months_keeps_the_others(spark, tmp_path):
+    path = tmp_path / "r"
+
+    def written():
+        return {f.name: sorted(p.read_text() for p in f.glob("part-*")) for f in path.glob("report_month=*")}
+
+    files.write_report(hits(spark), str(path), "report_month", ["date"])
+    before = written()
+    part = hits(spark).where("report_month = '2026-05' and txn_id <> 'T31'")
+    n = files.write_report(part, str(path), "report_month", ["date"], ["2026-05"])
+    after = written()
+    assert n == part.count() and after.keys() == before.keys()
+    assert {name for name in after if after[name] != before[name]} == {"report_month=2026-05"}
+    # A month that has no row any more is empty, and not what it was.
+    assert files.write_report(part.limit(0), str(path), "report_month", ["date"], ["2026-05"]) == 0
+    again = files.read_partitioned_csv(spark, str(path), CTR, "report_month")
+    assert spark_bag(again) == spark_bag(hits(spark).where("report_month is distinct from '2026-05'"))
 
 
 @pytest.fixture
@@ -166,8 +190,7 @@ def test_partitioned_csv_comes_back_with_its_null_month(spark, tmp_path):
 
 def test_one_sorted_file_per_month(spark, tmp_path):
     path = tmp_path / "ctr"
-    laid_out = files.month_files(hits(spark, 300), "report_month", ["date", "txn_id"])
-    files.write_partitioned_csv(laid_out, str(path), "report_month")
+    files.write_report(hits(spark, 300), str(path), "report_month", ["date", "txn_id"])
     months = sorted(path.glob("report_month=2*"))
     assert [month.name[-7:] for month in months] == ["2026-04", "2026-05", "2026-06"]
     for month in months:

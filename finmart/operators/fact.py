@@ -4,12 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from finmart.functions.dates import date_key
 from finmart.operators.dims import look_up
 from finmart.schemas import FACT_TRANSACTIONS
+from finmart.sources.scratch import materialize
+
+
+# Versions in a block of a customer's history. A lookup goes through the first days of
+# the blocks and then through one block.
+_BLOCK = 64
+
+
+def histories(dim_customer: DataFrame) -> DataFrame:
+    """(customer_id, blocks): one row per customer, written, with its versions by day.
+
+    The join on the customer then gives one row per transaction however many versions
+    there are. Fails if versions overlap, as they would book a transaction twice.
+    """
+    versions = F.array_sort(
+        F.collect_list(F.struct("effective_from", "customer_key", "effective_to"))
+    )
+    grouped = dim_customer.where("customer_id is not null").groupBy("customer_id").agg(versions.alias("versions"))
+
+    def ends_late(k: Column) -> Column:
+        end = F.get("versions", k - 1)["effective_to"]
+        return end.isNull() | (end > F.get("versions", k)["effective_from"])
+
+    n = F.size("versions")
+    overlap = F.when(n > 1, F.exists(F.sequence(F.lit(1), n - 1), ends_late)).otherwise(F.lit(False))
+    late = F.raise_error(
+        F.concat(F.lit("versions overlap in the history of customer "), F.col("customer_id"))
+    )
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((n - 1) / _BLOCK).cast("int")),
+        lambda k: F.struct(
+            F.get("versions", k * _BLOCK)["effective_from"].alias("start"),
+            F.slice("versions", k * _BLOCK + 1, F.lit(_BLOCK)).alias("versions"),
+        ),
+    )
+    return materialize(
+        grouped.select("customer_id", F.when(overlap, late).otherwise(blocks).alias("blocks")),
+        "histories",
+    )
+
+
+def _in_effect(day: Column) -> Column:
+    """The key of the version in effect on a day, from the blocks of a history."""
+    block = F.try_element_at(F.filter("blocks", lambda b: b["start"] <= day), F.lit(-1))
+    version = F.try_element_at(
+        F.filter(block["versions"], lambda v: v["effective_from"] <= day), F.lit(-1)
+    )
+    ended = day >= version["effective_to"]
+    return F.when(ended, F.lit(None)).otherwise(version["customer_key"])
 
 
 def build_fact_transactions(
@@ -24,17 +73,11 @@ def build_fact_transactions(
     Whether a dimension is broadcast is left to its measured size; beyond the
     threshold the join sorts, and adaptive execution splits a hot customer.
     """
-    versions = dim_customer.select(
-        F.col("customer_id").alias("_of"), "customer_key", "effective_from", "effective_to"
-    )
     day = F.col("_day")
-    started = F.col("effective_from") <= day
-    not_ended = F.col("effective_to").isNull() | (day < F.col("effective_to"))
-    in_effect = (F.col("customer_id") == F.col("_of")) & started & not_ended
-
     # Text that is no date, which a lenient gate lets pass, has no day and no key.
     dated = valid.withColumn("_day", F.col("txn_date").try_cast("date"))
-    keyed = dated.join(versions, in_effect, "left")
+    keyed = look_up(dated, histories(dim_customer), "customer_id", "blocks")
+    keyed = keyed.withColumn("customer_key", _in_effect(day)).drop("blocks")
     keyed = look_up(keyed, dim_account, "account_id", "account_key")
     keyed = look_up(keyed, dim_branch, "branch_code", "branch_key")
     return keyed.withColumn("date_key", date_key(day)).select(*FACT_TRANSACTIONS)

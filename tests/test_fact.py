@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from finmart import schemas
@@ -74,6 +75,60 @@ def test_unknown_keys_keep_the_row(spark, dims):
     }
 
 
+def long_history(spark, n: int):
+    """Versions of three days each, with a gap of a day after every hundredth; the last is open."""
+    i = F.col("id").cast("int")
+    start = F.date_add(F.lit(date(1950, 1, 1)), i * 3)
+    end = F.date_sub(F.date_add(start, 3), F.when(i % 100 == 99, 1).otherwise(0))
+    filled = {"customer_key": (i + 1), "effective_from": start, "is_current": i == n - 1}
+    filled["effective_to"] = F.when(i < n - 1, end)
+    return spark.range(n).select(
+        *[filled.get(name, F.lit("C1")).cast(kind).alias(name) for name, kind in schemas.DIM_CUSTOMER.items()]
+    )
+
+
+def test_a_long_history_gives_one_row_per_transaction(spark, dims):
+    n = 10_000
+    dim = long_history(spark, n)
+    day = F.date_add(F.lit(date(1949, 12, 20)), (F.col("id") * 11).cast("int"))
+    rows = spark.range(2900).select(
+        *[
+            {"txn_id": F.col("id"), "txn_date": day, "customer_id": F.lit("C1")}.get(name, F.lit(None)).cast(kind).alias(name)
+            for name, kind in VALID.items()
+        ]
+    )
+    df = fact.build_fact_transactions(rows, dim, *dims[1:])
+    found = {int(row.txn_id): row.customer_key for row in df.collect()}
+    assert len(found) == 2900
+    for k, key in found.items():
+        since = 11 * k - 12
+        version = min(since // 3, n - 1)
+        gap = version % 100 == 99 and since % 3 == 2 and version < n - 1
+        assert key == (None if since < 0 or gap else version + 1)
+    # No join gives more rows than it gets.
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        plan = fact.build_fact_transactions(rows, dim, *dims[1:])._jdf.queryExecution().executedPlan()
+    assert plan.execute().count() == 2900
+    assert set(join_rows(plan)) == {2900}
+
+
+def join_rows(node):
+    if "Join" in node.nodeName():
+        yield node.metrics().get("numOutputRows").get().value()
+    children = node.children()
+    for k in range(children.size()):
+        yield from join_rows(children.apply(k))
+
+
+def test_overlapping_versions_fail(spark, dims):
+    late = version(effective_from=date(2026, 4, 1), effective_to=date(2026, 5, 18), is_current=False)
+    open_twice = version(effective_from=date(2026, 4, 1))
+    for first in (late, open_twice):
+        dim = frame(spark, schemas.DIM_CUSTOMER, first, version(customer_key=2, effective_from=date(2026, 5, 17)))
+        with pytest.raises(PySparkException, match="overlap in the history of customer C1"):
+            build(spark, (dim, *dims[1:]), txn())
+
+
 def test_small_dimensions_are_broadcast(spark, sf_dir):
     from finmart.plans import registry
 

@@ -12,6 +12,7 @@ from finmart.sources.lake import Lake, write_csv
 from finmart.sources.seed import SEED
 from finmart.sources.session import (
     UNDECLARED,
+    commit_options,
     get_spark_session,
     object_store_options,
     options_for,
@@ -83,9 +84,9 @@ def _pairs(settings: Sequence[str]) -> dict[str, str]:
 def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     on_cluster = not (args.master or "").startswith("local")
-    options = {}
+    options = commit_options(args.lake)
     if args.input_gb or on_cluster:
-        options = options_for(args.input_gb * 2**30 if args.input_gb else UNDECLARED)
+        options |= options_for(args.input_gb * 2**30 if args.input_gb else UNDECLARED)
     if args.s3_endpoint:
         options |= object_store_options(args.s3_endpoint)
     spark = get_spark_session(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from finmart.functions.dates import date_key
 from finmart.operators.keys import dense_keys
-from finmart.schemas import DIM_ACCOUNT, DIM_BRANCH, RAW_ACCOUNTS, RAW_BRANCHES
+from finmart.schemas import DIM_ACCOUNT, DIM_BRANCH, FACT_MONTH, RAW_ACCOUNTS, RAW_BRANCHES
 
 
 def look_up(
@@ -19,6 +19,26 @@ def look_up(
     return df.join(dimension.select(key, *columns), key, how)
 
 
+def with_month(dim_date: DataFrame) -> DataFrame:
+    """The calendar with the month by which the stored fact is laid out."""
+    return dim_date.withColumn(FACT_MONTH, F.expr("cast(date_key div 100 as int)"))
+
+
+def look_up_day(
+    df: DataFrame, dim_date: DataFrame, *columns: str, how: str = "left"
+) -> DataFrame:
+    """Bring columns of the calendar to the rows that carry its key.
+
+    Rows that still have the month of their folder are joined by it as well. So a filter
+    on the calendar reaches the folders of the fact while the query runs (dynamic
+    partition pruning): other months are not read.
+    """
+    if FACT_MONTH not in df.columns:
+        return look_up(df, dim_date, "date_key", *columns, how=how)
+    days = with_month(dim_date).select("date_key", FACT_MONTH, *columns)
+    return df.join(days, ["date_key", FACT_MONTH], how)
+
+
 def check_unique(feed: DataFrame, key: str) -> None:
     """Raise ValueError if a key occurs twice. Only keys and counts are shuffled."""
     repeated = feed.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").count()

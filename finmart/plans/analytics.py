@@ -10,13 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finmart.operators.dims import look_up
+from finmart.operators.dims import look_up, look_up_day
+from finmart.schemas import FACT_MONTH
 
 
 def _sums(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("_n"), F.sum("amount").alias("_total"))
 
 
+def _daily(fact: DataFrame, *keys: str) -> DataFrame:
+    """Sums by day; the month goes with the day and makes no more groups."""
+    month = [FACT_MONTH] if FACT_MONTH in fact.columns else []
+    return _sums(fact, "date_key", *month, *keys)
+
+
 def _count() -> Column:
     return F.sum("_n")
 
@@ -27,8 +34,8 @@ def _amount() -> Column:
 
 def cash_by_branch_month(fact: DataFrame, dim_date: DataFrame, dim_branch: DataFrame) -> DataFrame:
     """Monthly cash and non-cash volume per branch."""
-    sums = _sums(fact, "date_key", "branch_key", "is_cash")
-    told = look_up(sums, dim_date, "date_key", "year", "month", how="inner")
+    sums = _daily(fact, "branch_key", "is_cash")
+    told = look_up_day(sums, dim_date, "year", "month", how="inner")
     told = look_up(told, dim_branch, "branch_key", "branch_name", how="inner")
     return (
         told.groupBy("year", "month", "branch_name", "is_cash")
@@ -76,9 +83,9 @@ def product_mix_by_region(
 
 def weekend_cash(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Cash count and amount on weekdays and weekends."""
-    sums = _sums(fact.where("is_cash"), "date_key")
+    sums = _daily(fact.where("is_cash"))
     return (
-        look_up(sums, dim_date, "date_key", "is_weekend", how="inner")
+        look_up_day(sums, dim_date, "is_weekend", how="inner")
         .groupBy("is_weekend")
         .agg(_count().alias("cash_txn_count"), _amount().alias("cash_total_amount"))
         .orderBy("is_weekend")

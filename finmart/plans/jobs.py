@@ -21,6 +21,7 @@ from finmart.operators.dims import (
     build_dim_branch,
     build_dim_date,
     check_unique,
+    with_month as calendar_with_month,
 )
 from finmart.operators.fact import build_fact_transactions, check_fact, fact_counts
 from finmart.operators.scd2 import check_snapshot, scd2_merge, scd2_replay
@@ -248,9 +249,14 @@ def _read_dimensions(spark: SparkSession, lake: Lake, version: Version) -> dict[
 
 
 def read_star(
-    spark: SparkSession, lake: Lake, first: date | None = None, last: date | None = None
+    spark: SparkSession,
+    lake: Lake,
+    first: date | None = None,
+    last: date | None = None,
+    with_month: bool = False,
 ) -> dict[str, DataFrame]:
-    """The published tables; the fact between two days, if given.
+    """The published tables; the fact between two days, if given, and with the month of
+    each row's folder, if asked for.
 
     What is read stays the version of this moment, whatever is published later.
     """
@@ -262,11 +268,18 @@ def read_star(
         folders.setdefault(folder, []).append(month)
     parts = [
         # A folder may have months that a later version has taken over.
-        files.read_fact(spark, lake.warehouse(folder), first, last, months if len(folders) > 1 else None)
+        files.read_fact(
+            spark,
+            lake.warehouse(folder),
+            first,
+            last,
+            months if len(folders) > 1 else None,
+            with_month,
+        )
         for folder, months in folders.items()
     ]
-    nothing = schemas.empty(spark, schemas.FACT_TRANSACTIONS)
-    fact = reduce(DataFrame.unionByName, parts) if parts else nothing
+    contract = schemas.FACT_TRANSACTIONS | ({schemas.FACT_MONTH: "int"} if with_month else {})
+    fact = reduce(DataFrame.unionByName, parts) if parts else schemas.empty(spark, contract)
     return {**_read_dimensions(spark, lake, version), "fact_transactions": fact}
 
 
@@ -276,8 +289,13 @@ def _row_counts(star: Mapping[str, DataFrame]) -> dict[str, int]:
 
 
 def register_star(spark: SparkSession, lake: Lake) -> list[str]:
-    """Make the written tables known to SQL under their names; returns the names."""
-    star = read_star(spark, lake)
+    """Make the written tables known to SQL under their names; returns the names.
+
+    The fact and the calendar also have `txn_month`: joined by it and the day, a filter
+    on the calendar says which folders of the fact are read.
+    """
+    star = read_star(spark, lake, with_month=True)
+    star["dim_date"] = calendar_with_month(star["dim_date"])
     for name, df in star.items():
         df.createOrReplaceTempView(name)
     return list(star)

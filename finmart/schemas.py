@@ -82,6 +82,10 @@ FACT_TRANSACTIONS = {
     "fee": MONEY,
 }
 
+# The month of the folder a fact row lies in, as 202604: part of the stored fact, not of
+# its contract. Joins with the calendar that carry it read only the months they need.
+FACT_MONTH = "txn_month"
+
 # One row of the threshold report.
 CTR_REPORT = {
     "txn_id": "string",

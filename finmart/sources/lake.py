@@ -6,11 +6,11 @@ from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from finmart.operators.keys import dense_keys
-from finmart.schemas import FACT_TRANSACTIONS, MONEY, RAW_TRANSACTIONS, ddl
+from finmart.schemas import FACT_MONTH, FACT_TRANSACTIONS, MONEY, RAW_TRANSACTIONS, ddl
 from finmart.sources.scratch import materialize
 
 
@@ -92,7 +92,7 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
 # The fact lies in a folder per month, sorted by day in each file: a date range
 # skips folders by name and row groups by their statistics.
 
-_FACT_FILES = {**FACT_TRANSACTIONS, "txn_month": "int"}
+_FACT_FILES = {**FACT_TRANSACTIONS, FACT_MONTH: "int"}
 
 
 def write_fact(fact: DataFrame, path: str) -> None:
@@ -119,8 +119,10 @@ def read_fact(
     first: date | None = None,
     last: date | None = None,
     months: Collection[int | None] | None = None,
+    with_month: bool = False,
 ) -> DataFrame:
-    """The fact, or the part of it between two days, both included, or of some months."""
+    """The fact, or the part of it between two days, both included, or of some months;
+    with the month of each row's folder if asked for."""
     rows = read_fact_files(spark, path)
     if months is not None:
         dated = F.col("txn_month").isin([month for month in months if month is not None])
@@ -130,7 +132,7 @@ def read_fact(
             key = day.year * 10000 + day.month * 100 + day.day
             month_inside = getattr(F.col("txn_month"), beyond)(key // 100)
             rows = rows.where(month_inside & getattr(F.col("date_key"), beyond)(key))
-    return rows.select(*FACT_TRANSACTIONS)
+    return rows.select(*(_FACT_FILES if with_month else FACT_TRANSACTIONS))
 
 
 # Reports.
@@ -138,19 +140,14 @@ def read_fact(
 FILE_ROWS = 1_000_000  # rows of a report file
 
 
-def write_partitioned_csv(
-    df: DataFrame, path: str, by: str, keep_others: bool = False, file_rows: int = 0
-) -> None:
-    """CSV with one folder per value of `by`; any size. Other folders than those with new
-    rows go or, if asked for, stay. `file_rows` limits the rows of a file."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
-        .option("maxRecordsPerFile", file_rows)
-        .option("header", True)
-        .partitionBy(by)
-        .csv(path)
-    )
+def write_partitioned_csv(df: DataFrame, path: str, by: str, file_rows: int = 0) -> None:
+    """CSV with one folder per value of `by`; any size. `file_rows` limits the rows of a file."""
+    _csv_files(df, file_rows).partitionBy(by).csv(path)
+
+
+def _csv_files(df: DataFrame, file_rows: int) -> DataFrameWriter:
+    writer = df.write.mode("overwrite").option("header", True)
+    return writer.option("maxRecordsPerFile", file_rows)
 
 
 def read_partitioned_csv(
@@ -195,16 +192,17 @@ def write_report(
 ) -> int:
     """Write a report by month, all of it or only some months; returns the row count.
 
-    Of the months given, those without rows become empty; other months stay as they are.
+    The folders of the months given are replaced one by one, also by nothing, which any
+    committer can do; other months stay as they are.
     """
     rows = materialize(df, "report")
-    laid_out = month_files(rows, by, order_by, file_rows)
-    write_partitioned_csv(laid_out, path, by, months is not None, file_rows)
-    # One row per month.
-    counts = {row[by]: row["count"] for row in rows.groupBy(by).count().collect()}
-    for month in set(months or ()) - set(counts):
-        write_csv(rows.drop(by).limit(0), f"{path}/{by}={month}")
-    return sum(counts.values())
+    if months is None:
+        write_partitioned_csv(month_files(rows, by, order_by, file_rows), path, by, file_rows)
+        return rows.count()
+    for month in months:
+        part = month_files(rows.where(F.col(by) == month), by, order_by, file_rows)
+        _csv_files(part.drop(by), file_rows).csv(f"{path}/{by}={month}")
+    return rows.where(F.col(by).isin(list(months))).count()
 
 
 def write_one_csv(df: DataFrame, path: str) -> None:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +34,40 @@ def object_store_options(
     return options
 
 
+_COMMIT = "org.apache.spark.internal.io.cloud"
+_MANIFEST = "org.apache.hadoop.mapreduce.lib.output.committer.manifest.ManifestCommitterFactory"
+_BOUND = {
+    "spark.sql.sources.commitProtocolClass": f"{_COMMIT}.PathOutputCommitProtocol",
+    "spark.sql.parquet.output.committer.class": f"{_COMMIT}.BindingParquetOutputCommitter",
+}
+
+
+def commit_options(path: str) -> dict[str, str]:
+    """How the store of a path commits what tasks have written.
+
+    Renaming, Spark's way on file systems, copies each file on S3 and is not atomic for
+    folders there. S3A uploads in parts that become visible when the job commits; Azure
+    and Google stores rename single files from a manifest. Both need Spark's module for
+    cloud stores. Other schemes keep Spark's committer, as does a path without one.
+    """
+    scheme = urlsplit(path).scheme
+    if scheme == "s3a":
+        return {
+            **_BOUND,
+            "spark.hadoop.fs.s3a.committer.name": "magic",
+            "spark.hadoop.fs.s3a.committer.magic.enabled": "true",
+            "spark.hadoop.mapreduce.outputcommitter.factory.scheme.s3a": (
+                "org.apache.hadoop.fs.s3a.commit.S3ACommitterFactory"
+            ),
+        }
+    if scheme in ("abfs", "abfss"):
+        factory = "org.apache.hadoop.fs.azurebfs.commit.AzureManifestCommitterFactory"
+        return {**_BOUND, f"spark.hadoop.mapreduce.outputcommitter.factory.scheme.{scheme}": factory}
+    if scheme == "gs":
+        return {**_BOUND, "spark.hadoop.mapreduce.outputcommitter.factory.scheme.gs": _MANIFEST}
+    return {}
+
+
 _MB = 2**20
 _TASK = 256 * _MB
 # What a cluster is set up for if nobody says how large the feeds are.

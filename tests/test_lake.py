@@ -300,6 +300,29 @@ def test_object_store_options():
     assert keyed["spark.hadoop.fs.s3a.access.key"] == "id"
 
 
+@pytest.mark.parametrize(
+    ("path", "factory"),
+    [
+        ("s3a://bucket/lake", "S3ACommitterFactory"),
+        ("abfs://box@account/lake", "AzureManifestCommitterFactory"),
+        ("abfss://box@account/lake", "AzureManifestCommitterFactory"),
+        ("gs://bucket/lake", "ManifestCommitterFactory"),
+        ("hdfs://host/lake", None),
+        ("file:///lake", None),
+        ("/lake", None),
+    ],
+)
+def test_committers_by_scheme(path, factory):
+    found = session.commit_options(path)
+    if factory is None:
+        assert found == {}
+        return
+    scheme = path.split(":")[0]
+    assert found[f"spark.hadoop.mapreduce.outputcommitter.factory.scheme.{scheme}"].endswith(f".{factory}")
+    assert found["spark.sql.sources.commitProtocolClass"].endswith("PathOutputCommitProtocol")
+    assert ("spark.hadoop.fs.s3a.committer.name" in found) == (scheme == "s3a")
+
+
 def test_task_sizes_follow_the_input():
     def sizes(n_bytes):
         options = session.options_for(n_bytes)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from compare import spark_bag
 from finmart import schemas
 from finmart.operators.dims import build_dim_date
-from finmart.plans import analytics, reports
+from finmart.plans import analytics, jobs, reports, roles
 from plans import final_plan_of, plan_of, settings
 from rows import account, booked, branch, frame, version
 
@@ -158,6 +158,43 @@ def test_analytics_sum_before_they_join(spark, sf_dir):
         assert "partial_sum(amount" in below_joins[-1], name
 
 
+def scanned(plan, column: str):
+    """Numbers of the folders that scans with a column have read."""
+    if "FileSourceScan" in plan.getClass().getSimpleName() and column in plan.simpleString(200):
+        yield plan.metrics().get("numPartitions").get().value()
+    children = plan.children()
+    for k in range(children.size()):
+        yield from scanned(children.apply(k), column)
+
+
+@pytest.mark.parametrize("name", ["cash_by_branch_month", "weekend_cash", "sql"])
+def test_a_filter_on_the_calendar_reads_its_months_only(spark, sf_dir, name):
+    lake = roles.warehouse_lake(spark, sf_dir)
+    star = jobs.read_star(spark, lake, with_month=True)
+    day = star["dim_date"].where("year = 2026 and month = 5")
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        if name == "cash_by_branch_month":
+            ours = analytics.cash_by_branch_month(star["fact_transactions"], day, star["dim_branch"])
+            plain = analytics.cash_by_branch_month(
+                roles.warehouse(spark, sf_dir)["fact_transactions"], day, star["dim_branch"]
+            )
+        else:
+            plain = analytics.weekend_cash(roles.warehouse(spark, sf_dir)["fact_transactions"], day)
+            ours = analytics.weekend_cash(star["fact_transactions"], day)
+        if name == "sql":
+            jobs.register_star(spark, lake)
+            ours = spark.sql(
+                """select is_weekend, count(*) as cash_txn_count, sum(amount) as cash_total_amount
+                from fact_transactions join dim_date using (txn_month, date_key)
+                where is_cash and year = 2026 and month = 5 group by is_weekend"""
+            )
+        plan = ours._jdf.queryExecution().executedPlan()
+        assert "dynamicpruning" in plan.toString()
+        n = plan.execute().count()
+    assert list(scanned(plan, "txn_month")) == [1]
+    assert n == ours.count() and spark_bag(ours) == spark_bag(plain) and n > 0
+
+
 def test_summary_splits_a_hot_account(spark, star):
     i = F.col("id")
     fact = spark.range(0, 60_000, 1, 8).select(

@@ -6,6 +6,12 @@ each round a segmented minimum finds the best rank of every word, all words merg
 at once, and the arrays are compacted; words without a pair leave. A worker encodes equal
 words once.
 
+A round passes over the whole of a word, so a word of many letters, such as a data URI, is
+worked on by itself: its rounds take all places of the best rank from a list kept by rank,
+merge those that cannot affect each other, and look up ranks next to a merge only. Places
+affect each other if the letters between them can be reached by what either grows into
+before others of their rank merge; `reach` is that number of letters for each rank.
+
 The vocabulary file is read with the sentencepiece library; its encoder and decoder
 are not used.
 
@@ -15,6 +21,7 @@ is left out of the result, so clashing names do no harm; repeated rows stay repe
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,6 +37,7 @@ from finmart.llm.tiles import TileMemory
 
 SPACE = "▁"
 _NO_RANK = np.int64(1 << 40)
+_LONG = 512  # letters from which on a word is worked on by itself
 
 
 class PieceModel:
@@ -99,9 +107,24 @@ class PieceModel:
         # its places in a word may merge at once, and else only the leftmost.
         per_rank = np.bincount(list(ranks.values()))
         self.simple = per_rank == 1
+        grown: dict[str, list[str]] = {}  # the pieces made of this one and another
+        for piece in ids:
+            for cut in range(1, len(piece)):
+                if piece[:cut] in self.symbols and piece[cut:] in self.symbols:
+                    grown.setdefault(piece[:cut], []).append(piece)
+                    grown.setdefault(piece[cut:], []).append(piece)
+        self.reach = np.zeros(len(per_rank), np.int64)
         for piece, i in ids.items():
             if holders.get(piece, _NO_RANK) <= ranks[i]:
                 self.simple[ranks[i]] = False
+                longest, open_pieces, seen = len(piece), [piece], {piece}
+                while open_pieces:
+                    for longer in grown.get(open_pieces.pop(), ()):
+                        if longer not in seen and ranks[ids[longer]] <= ranks[i]:
+                            seen.add(longer)
+                            open_pieces.append(longer)
+                            longest = max(longest, len(longer))
+                self.reach[ranks[i]] = max(self.reach[ranks[i]], longest - len(piece))
 
     def _surface(self, i: int) -> bytes:
         if self.is_byte[i]:
@@ -124,8 +147,79 @@ class PieceModel:
         )
         return known[inverse], points, np.repeat(np.arange(len(words)), lengths)
 
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of pairs of symbols, and their places in the merge table."""
+        keys = left * self.n_symbols + right
+        found = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[found] == keys, self.pair_ranks[found], _NO_RANK), found
+
+    def _encode_long(self, word: str) -> np.ndarray:
+        """Ids of one word, by rounds that look at the places of one rank."""
+        symbols, points, _ = self._symbols_of([word])
+        n = len(symbols)
+        symbols = np.append(symbols, 0)
+        # A symbol stands where its first letter is; the last place is beyond the word.
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        alive = np.ones(n + 1, bool)
+        rank = np.full(n + 1, _NO_RANK)
+        rank[: n - 1], _ = self._ranks_of(symbols[: n - 1], symbols[1:n])
+        places: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def remember(at: np.ndarray) -> None:
+            at = at[rank[at] < _NO_RANK]
+            by_rank = at[np.argsort(rank[at], kind="stable")]
+            values, firsts = np.unique(rank[by_rank], return_index=True)
+            for value, some in zip(values.tolist(), np.split(by_rank, firsts[1:])):
+                if value not in places:
+                    places[value] = []
+                    heapq.heappush(queue, value)
+                places[value].append(some)
+
+        remember(np.arange(n - 1))
+        while queue:
+            best = heapq.heappop(queue)
+            at = np.unique(np.concatenate(places.pop(best)))
+            at = at[alive[at] & (rank[at] == best)]
+            if not len(at):
+                continue
+            right = after[at]
+            if self.simple[best]:
+                # Pairs that overlap stand in a run; every other one of it merges.
+                fresh = np.append(True, at[1:] != right[:-1])
+                run_start = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
+                chosen = (np.arange(len(at)) - run_start) % 2 == 0
+            else:
+                # The first of each group of places that may affect each other.
+                chosen = np.append(True, at[1:] - after[right[:-1]] > 2 * self.reach[best])
+                remember(at[~chosen])
+            merging, gone = at[chosen], right[chosen]
+            _, found = self._ranks_of(symbols[merging], symbols[gone])
+            symbols[merging] = self.pair_merged[found]
+            alive[gone] = False
+            after[merging] = after[gone]
+            before[after[merging]] = merging
+            changed = np.unique(np.concatenate([merging, before[merging]]))
+            changed = changed[(changed >= 0) & alive[changed]]
+            rank[changed] = _NO_RANK
+            changed = changed[after[changed] < n]
+            rank[changed], _ = self._ranks_of(symbols[changed], symbols[after[changed]])
+            remember(changed)
+        left = np.flatnonzero(alive[:n])
+        return self._ids(symbols[left], points[left], np.zeros(len(left), np.int64), 1)[0]
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and how many each has."""
+        long = [k for k, word in enumerate(words) if len(word) >= _LONG]
+        if not long:
+            return self._encode_short(words)
+        ids, lengths = self._encode_short(["" if len(word) >= _LONG else word for word in words])
+        parts = np.split(ids, np.cumsum(lengths)[:-1])
+        for k in long:
+            parts[k] = self._encode_long(words[k])
+        return np.concatenate(parts), np.array([len(part) for part in parts], np.int64)
+
+    def _encode_short(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         symbols, points, owner = self._symbols_of(words)
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         while len(symbols) > 1:

@@ -74,13 +74,27 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + shift
 
 
-@lru_cache(maxsize=8)
-def _file_system(root: str) -> tuple[fs.FileSystem, str]:
-    if urlsplit(root).scheme:
-        return fs.FileSystem.from_uri(root)
-    return fs.LocalFileSystem(), root
+# Names of stores that Hadoop and Arrow call differently.
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def arrow_uri(uri: str) -> str:
+    """The URI by which Arrow knows a folder of Hadoop's."""
+    parts = urlsplit(uri)
+    if parts.scheme == "file":
+        return f"file://{parts.path}"
+    return parts._replace(scheme=_ARROW_SCHEMES.get(parts.scheme, parts.scheme)).geturl()
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder with its scheme: without one it is on the default file system of the
+    cluster, where Spark's own readers and writers look for it too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toString()
+
+
+@lru_cache(maxsize=8)
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder that all executors share."""
-    return _file_system(uri)
+    """File system and path of a folder that all executors share, given with its scheme."""
+    return fs.FileSystem.from_uri(arrow_uri(uri))

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finmart.llm.batches import bounded, lists, open_folder, text_or_empty
+from finmart.llm.batches import bounded, lists, open_folder, qualified, text_or_empty
 from finmart.llm.tokens import encode_texts, vocabulary_size
 
 # Fixed values of the usual masked checksum.
@@ -89,11 +89,12 @@ def write_token_records(
 ) -> None:
     """Encode every whole text, append `end_id`, and write shards, indexes and manifest
     below `folder`, which all executors share. Records follow each other by id."""
+    place = qualified(docs.sparkSession, folder)
     width = 2 if vocabulary_size(tokenizer) <= 1 << 16 else 4
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        system, root = open_folder(folder)
+        system, root = open_folder(place)
         name = f"part-{shard:06d}-{uuid.uuid4().hex}"
         out, position, start, entries = None, 0, 0, []
         for batch in bounded(batches, "text"):
@@ -146,9 +147,10 @@ def _shards(spark: SparkSession, folder: str) -> DataFrame:
 def read_token_records(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
     """(id, start, ids) of every record: `start` counts the ids of all records before it.
     Checksums are verified; a broken record is an error."""
+    place = qualified(spark, folder)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = open_folder(folder)
+        system, root = open_folder(place)
         for batch in batches:
             for name, first in zip(*(column.to_pylist() for column in batch.columns)):
                 with system.open_input_stream(f"{root}/shards/{name}.rec", buffer_size=1 << 20) as file:
@@ -192,9 +194,10 @@ def _batches(records, start: int, id_col: str, most: int = 1 << 20) -> Iterator[
 
 def read_index(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
     """One row per record: (id, name of the shard, position, size, start, n_tokens)."""
+    place = qualified(spark, folder)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = open_folder(folder)
+        system, root = open_folder(place)
         for batch in batches:
             for name, first in zip(*(column.to_pylist() for column in batch.columns)):
                 with system.open_input_stream(f"{root}/shards/{name}.idx") as file:
@@ -223,9 +226,10 @@ def read_index(spark: SparkSession, folder: str, id_col: str = "doc_id") -> Data
 def read_at(index: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
     """(id, start, ids) of the records in `index`, some rows of `read_index` in any order,
     by one ranged read each."""
+    place = qualified(index.sparkSession, folder)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = open_folder(folder)
+        system, root = open_folder(place)
         files: dict = {}
         for batch in batches:
             for row in batch.to_pylist():

@@ -131,12 +131,15 @@ def _marked(recipes: DataFrame) -> DataFrame:
     groups = recipes.groupBy("recipe").agg(
         last.alias("last"), F.count("*").alias("group_size")
     )
-    # Groups are unique in their recipe; adaptive execution splits a hot one's rows.
-    return recipes.join(groups, "recipe").select(
+    # Written, so that the rows of a hot recipe meet it in several tasks: adaptive execution
+    # splits only joins whose sides come straight from a shuffle.
+    groups = materialize(groups.where("group_size > 1"), "copy-groups")
+    alone = F.col("group_size").isNull()
+    return recipes.join(groups, "recipe", "left").select(
         "id",
-        F.col("last.id").alias("keep_id"),
-        "group_size",
-        (F.col("row") == F.col("last.row")).alias("kept"),
+        F.when(alone, F.col("id")).otherwise(F.col("last.id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | (F.col("row") == F.col("last.row"))).alias("kept"),
         "text_sha256",
     )
 

@@ -11,7 +11,8 @@ blocks of which all pairs exceed the radius are left.
 Links are not listed: a bucket sends on one edge for each fingerprint that is not
 the first of its component in the bucket. Components over all buckets come from repeated
 minima, cut by written tables. A bucket with more fingerprints than `_BUCKET` is dealt again by the
-remaining bits, so no task gets an unbounded group.
+remaining bits; a bucket of that second deal is one group, however many of the fingerprints that its
+remaining 21 bits or so tell apart it has.
 
 Defined results: null and empty texts, and texts without a word, have fingerprint zero
 and link like others; a text of fewer words than a shingle is one shingle. Null ids take
@@ -28,7 +29,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finmart.llm.batches import bounded, fresh, key_of, text_or_empty
@@ -95,8 +96,10 @@ def _dealt(candidates: DataFrame, masks: list[list[int]], *outer: str) -> DataFr
     rows = candidates.select(*outer, "fp", F.explode(chosen).alias("at")).select(
         *outer, F.col("at.mask").alias("mask"), F.col("at.key").alias("key"), "fp"
     )
-    bucket = Window.partitionBy(*outer, "mask", "key")
-    return rows.withColumn("n", F.count("*").over(bucket)).where("n > 1")
+    # Counted on the map side and written, so that no task gets a hot bucket to count it.
+    bucket = [*outer, "mask", "key"]
+    counts = rows.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1")
+    return rows.join(materialize(counts, "buckets"), bucket)
 
 
 def _add(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -250,13 +253,14 @@ def _components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("least"))
-        least = least.select("a", F.least("a", "least").alias("least"))
+        # Written, as are the roots: the edges of a hot vertex meet it in several tasks.
+        least = materialize(least.select("a", F.least("a", "least").alias("least")), "least")
         # Each vertex links its larger neighbours to its smallest one, then to itself.
         large = (
             both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         ).distinct()
         large = materialize(large, "large")
-        root = large.groupBy("a").agg(F.min("b").alias("root"))
+        root = materialize(large.groupBy("a").agg(F.min("b").alias("root")), "roots")
         small = large.join(root, "a")
         linked_to = small.select(F.col("b").alias("a"), F.col("root").alias("b")).union(
             root.select("a", F.col("root").alias("b"))
@@ -302,8 +306,12 @@ def near_duplicates(
     members = candidates.join(roots.withColumnRenamed("a", "fp"), "fp", "left").select(
         "fp", "first", root.alias("root")
     )
-    least = members.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = members.join(least, "root").select("fp", "component_id")
+    least = members.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n"))
+    least = materialize(least.where("n > 1").select("root", "component_id"), "components")
+    alone = F.col("matched").isNull()
+    named = members.join(least.withColumn("matched", F.lit(True)), "root", "left").select(
+        "fp", F.when(alone, F.col("first")).otherwise(F.col("component_id")).alias("component_id")
+    )
     return marked.join(named, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -317,7 +325,9 @@ def _dealt_again(
     """Edges of the buckets that are too large for a task, by the bits that they do not
     share: what they agree in then leaves room for few fingerprints."""
     found = None
-    for k, bits in enumerate(masks):
+    # At most as many rows as there are masks.
+    for k in sorted(row.mask for row in large.select("mask").distinct().collect()):
+        bits = masks[k]
         rest = [bit for bit in range(64) if bit not in bits]
         again = _dealt(
             large.where(F.col("mask") == k).select(F.col("key").alias("outer"), "fp"),

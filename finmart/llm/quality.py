@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from finmart.llm.batches import bounded, ranges, text_or_empty
 from finmart.llm.tiles import tile
@@ -296,10 +297,11 @@ def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, **op
             )
 
     fields = docs.schema.fields
-    schema = [f"c{k} {field.dataType.simpleString()}" for k, field in enumerate(fields)]
-    schema += [f"{name} bigint" for name in COUNTS]
-    schema += ["base_failed boolean", "kept boolean", "score double"]
-    return docs.toDF(*(f"c{k}" for k in range(len(fields)))).mapInArrow(judge, ", ".join(schema))
+    schema = T.StructType([T.StructField(f"c{k}", field.dataType) for k, field in enumerate(fields)])
+    for name in COUNTS:
+        schema = schema.add(name, "long")
+    schema = schema.add("base_failed", "boolean").add("kept", "boolean").add("score", "double")
+    return docs.toDF(*(f"c{k}" for k in range(len(fields)))).mapInArrow(judge, schema)
 
 
 def quality_rules(

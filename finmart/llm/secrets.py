@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from finmart.llm.batches import bounded, fresh, text_or_empty
 
@@ -311,8 +312,9 @@ def mask(text: str, spans: list[tuple[str, int, int]], sign: str = "[SECRET]") -
 def _mapped(
     docs: DataFrame, text_col: str, name: str, kind: str, work: Callable[[str], object]
 ) -> DataFrame:
-    """All columns of `docs` and `name`, made from the text; in its place if it exists."""
-    places = [field for field in docs.schema.fields if field.name != name]
+    """All columns of `docs` and `name`, made from the text; in its place if it exists,
+    whatever the case of its letters."""
+    places = [field for field in docs.schema.fields if field.name.lower() != name.lower()]
     scanned = fresh(docs, "scanned")
     source = docs.select(
         *(F.col(f"`{field.name}`") for field in places), text_or_empty(text_col).alias(scanned)
@@ -327,10 +329,10 @@ def _mapped(
                 [*(field.name for field in places), name],
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in places)
-    return source.mapInArrow(scan, f"{schema}, `{name}` {kind}").select(
-        *(f"`{column}`" for column in dict.fromkeys([*docs.columns, name]))
-    )
+    # Types of nested fields keep their names, whatever signs these have.
+    schema = T.StructType([*places, T.StructField(name, T.DataType.fromDDL(kind))])
+    order = {column.lower(): column for column in [*docs.columns, name]}
+    return source.mapInArrow(scan, schema).select(*(f"`{column}`" for column in order.values()))
 
 
 def _arrow_type(kind: str) -> pa.DataType:

@@ -12,6 +12,7 @@ from finmart.llm import lines, recipes, repeats, simhash
 from finmart.llm.oracle import ORACLE_SQL
 from finmart.llm.queries import QUERIES
 from finmart.llm.suffixes import sort_strings
+from plans import final_plan_of, settings
 from pyspark.sql import functions as F
 from samples import ROWS
 
@@ -299,3 +300,41 @@ def test_large_buckets_are_dealt_again(spark, monkeypatch):
     docs = spark.createDataFrame([(0, "")], "doc_id bigint, text string")
     got = sorted((r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect())
     assert got == list(enumerate(plain.components(values, 4)))
+
+
+HOT = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "20KB",
+    "spark__sql__adaptive__coalescePartitions__enabled": "false",
+    "spark__sql__adaptive__maxShuffledHashJoinLocalMapThreshold": "0",
+}
+
+
+def hot_table(spark, n: int = 40_000):
+    """A third of the rows share a text, the others are twofold."""
+    i = F.col("id")
+    text = F.when(i % 3 == 0, "the same few words for all of them").otherwise(
+        F.concat(F.lit("words of the pair "), F.md5(F.floor(i / 6).cast("string")))
+    )
+    return spark.range(0, n, 1, 16).select(i.alias("doc_id"), text.alias("text"))
+
+
+def test_a_hot_recipe_is_split(spark):
+    with settings(spark, **HOT):
+        found = recipes.find_copies(hot_table(spark))
+        plan = final_plan_of(found)
+        assert found.where("kept").count() == hot_table(spark).select("text").distinct().count()
+    assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_a_hot_fingerprint_is_split(spark):
+    with settings(spark, **HOT):
+        found = simhash.near_duplicates(hot_table(spark, 20_000))
+        plan = final_plan_of(found)
+    assert "SortMergeJoin(skew=true)" in plan
+    with settings(spark, **HOT):
+        one = found.groupBy("component_id").count().agg(F.max("count")).first()[0]
+    assert one >= 20_000 // 3

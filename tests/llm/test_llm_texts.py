@@ -8,16 +8,19 @@ import json
 import random
 import re
 import struct
+from collections import defaultdict
 
 import corpus_pipeline
 import numpy as np
 import plain
+import public_tokenizers
 import pyarrow as pa
 import pytest
-from finmart.llm import chats, quality, secrets
+from finmart.llm import chats, packing, quality, secrets
 from finmart.llm.queries import QUERIES
 from pyspark.sql import functions as F
 from samples import CLASHES, ROWS
+from tokenizers import Tokenizer
 
 
 def der(tag: int, *parts: bytes) -> bytes:
@@ -339,8 +342,58 @@ def test_pipeline_equals_plain_steps(spark, sf_dir):
         assert left.dtypes == docs.dtypes
     assert {r.doc_id: r.text for r in left.collect()} == texts
     assert all(r.n_chars == len(r.text) for r in left.collect())
-    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    result = corpus_pipeline.run(spark, sf_dir).cache()
+    rows = sorted(result.collect(), key=lambda r: (r.doc_id, r.start))
     assert {r.doc_id for r in rows} == set(texts)
+    # Read back, the ids of the pieces are those of the masked texts, and those of the
+    # sequences are those of the pieces.
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    of_doc, of_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        of_doc[r.doc_id] += r.ids
+        of_sequence[r.sequence_id].append((r.offset, r.ids))
+    for key, text in texts.items():
+        assert of_doc[key] == library.encode(text, add_special_tokens=False).ids + [2]
+    for r in packing.sequences(result).collect():
+        assert r.ids == [i for _, ids in sorted(of_sequence.pop(r.sequence_id)) for i in ids]
+        assert len(r.ids) <= 1024
+    assert not of_sequence
+
+
+def test_pipeline_of_odd_rows(spark, docs, sf_dir, tmp_path):
+    """Nulls in any column and repeated ids; every stage keeps the columns."""
+    good = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(30)
+    more = spark.createDataFrame(
+        [(None, None, None, None, None), (None, "", "xx", "s", 0), (7, None, None, None, 5), (7, "short", "a", None, 5)],
+        good.schema,
+    )
+    table = good.union(more).union(good.limit(3)).union(good.limit(3).withColumn("doc_id", F.lit(None).cast("long")))
+    left = table
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, left, sf_dir).cache()
+        assert left.dtypes == table.dtypes
+    packed = corpus_pipeline.STAGES[-1][1](spark, left, sf_dir)
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in left.collect()}
+    # Of a row, its copy and its copy without an id one is left.
+    texts = [r.text for r in left.collect()]
+    assert len(texts) == len(set(texts)) > 5
+
+
+def test_fields_with_odd_names_and_clashing_columns(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    odd = "struct<`a-b`: int, `c d`: array<struct<`e.f`: string>>>"
+    text = 'password = "correcthorsebattery" ' + "some words " * 40
+    docs = spark.createDataFrame(
+        [(1, text, (1, [("x",)]), "y"), (2, None, None, None)], f"doc_id bigint, text string, odd {odd}, Spans string"
+    )
+    masked = secrets.mask_secrets(docs)
+    assert masked.dtypes == docs.dtypes and masked.where("doc_id = 1").first().odd == (1, [("x",)])
+    found = secrets.scan_secrets(docs)
+    assert found.columns == ["doc_id", "text", "odd", "spans"]
+    assert {r.doc_id: len(r.spans) for r in found.collect()} == {1: 1, 2: 0}
+    kept = quality.keep_good(docs, labels)
+    assert kept.dtypes == docs.dtypes and kept.count() <= 1
 
 
 def test_pipeline_of_nothing(spark, sf_dir):

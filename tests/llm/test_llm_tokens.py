@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -12,6 +14,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 from finmart.llm import packing, pieces, records, tokens
+from finmart.llm.batches import arrow_uri, qualified
 from finmart.llm.queries import QUERIES
 from finmart.sources.scratch import scratch_path
 from samples import ROWS
@@ -66,8 +69,37 @@ def test_tiles_give_the_ids_of_the_library(path):
 
 
 def test_piece_query(spark, sf_dir):
-    result = QUERIES["op2_piece_codec"](spark, sf_dir)
-    assert result.where("n_tokens > 0").count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+
+    def digest(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    expected = set()
+    for row in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        ids = library.encode(row.text or "")
+        expected.add((row.doc_id, len(ids), digest(",".join(map(str, ids))), digest(library.decode(ids))))
+    assert {tuple(row) for row in QUERIES["op2_piece_codec"](spark, sf_dir).collect()} == expected
+
+
+def test_long_words_equal_the_library():
+    """Words without a blank, of few letters and of many, whose merges lie close together."""
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    draw = random.Random(8)
+    alphabets = ["a", "ab", "acgt", "ings", "theo", "0123456789", "=-_.", "éè的一", "\U0001f600x", "etaoinshr"]
+    alphabets.append("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+    for n in (511, 512, 700, 20_000):
+        texts = ["".join(draw.choices(letters, k=n)) for letters in alphabets for _ in range(3)]
+        texts.append("short " + texts[0] + " and " + texts[1])
+        assert split(*pieces.encode_texts(pa.array(texts), PIECES)) == [library.encode(t) for t in texts]
+
+
+def test_a_megabyte_without_a_blank_takes_seconds():
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    text = "".join(random.Random(9).choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    start = time.perf_counter()
+    ids, _ = pieces.encode_texts(pa.array([text]), PIECES)
+    assert time.perf_counter() - start < 60
+    assert ids.tolist() == library.encode(text)
 
 
 def test_pieces_of_odd_rows(spark, docs, none):
@@ -105,6 +137,26 @@ def test_records_read_back_in_order_and_by_index(spark, docs, none):
     assert records.read_index(spark, nothing).count() == 0
 
 
+def test_folders_of_other_file_systems(spark, tmp_path):
+    assert arrow_uri("s3a://bucket/a/b") == "s3://bucket/a/b"
+    assert arrow_uri("hdfs://host:8020/a") == "hdfs://host:8020/a"
+    assert arrow_uri("file:/a/b") == arrow_uri("file:///a/b") == "file:///a/b"
+    assert qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    # Both names of a folder are one folder, to Spark as to the workers.
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id bigint, text string")
+    records.write_token_records(docs, str(tmp_path / "r"), WORDS, end_id=1)
+    assert records.read_token_records(spark, f"file:{tmp_path}/r").count() == 2
+    # Without a scheme a folder is where the default file system says.
+    settings = spark._jsc.hadoopConfiguration()
+    before = settings.get("fs.defaultFS")
+    settings.set("fs.defaultFS", "viewfs://store")
+    settings.set("fs.viewfs.mounttable.store.link./in", f"file://{tmp_path}")
+    try:
+        assert qualified(spark, "/in/r") == "viewfs://store/in/r"
+    finally:
+        settings.set("fs.defaultFS", before)
+
+
 def test_a_broken_record_is_noticed():
     whole = records.frame(b"payload")
     assert records.unframe(whole) == b"payload"

@@ -4,7 +4,8 @@
 2. exact: of equal texts the row with the largest id stays.
 3. near: of each group of near-duplicates one document stays.
 4. secrets: secrets inside the texts are replaced by a sign; no document goes.
-5. packing: every document is placed, in pieces, in sequences of 1024 tokens.
+5. packing: every document is placed, in pieces with their token ids, in sequences of 1024
+   tokens; `packing.sequences` puts the ids of a sequence together.
 
 Each stage gets what its predecessor kept, written and read again, so a lost executor
 costs a stage at most.
@@ -46,7 +47,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     share_code(spark)
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(docs, tokenizer, end_id=2, capacity=1024)
+    return packing.pack(docs, tokenizer, end_id=2, capacity=1024, with_ids=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -3,15 +3,20 @@
 Patterns find assignments of passwords and tokens, access key ids and long hex strings.
 Beyond those, base64 and hex candidates are decoded, and reported only if what they hold
 is built like a secret: a DER private key whose nested lengths add up to its last byte, an
-OpenSSH key whose strings do, or a signed token whose header names its algorithm. Both may
-run over lines. An encrypted PEM key shows nothing of its structure: its headers confirm it.
+OpenSSH key whose strings do, armour around either, or a signed token whose header names its
+algorithm, which may follow a name and a dot. Letters may run over lines, indented or quoted
+ones too, and hex pairs may be parted by colons. An encrypted PEM key shows nothing of its
+structure: its headers confirm it. PGP keys are confirmed by their first packet, PuTTY keys by
+their counted lines.
 
 Spans count code points, their end is exclusive. Kinds, in this order where spans start at
-the same place: assign, access, hex (patterns), pem, der, ssh, jwt (confirmed).
+the same place: assign, access, hex (patterns), pem, der, ssh, jwt, pgp, ppk (confirmed). What
+is armoured inside base64 or hex is pem or pgp.
 
 Defined results: null and empty texts have no spans (and stay null or empty when masked);
 repeated rows are scanned each; rows and other columns are kept as they are, and a column
-of the same name as the result is replaced.
+of the same name as the result is replaced. Work grows with the length of a text, however
+long it is, and a text has to fit in a task.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from pyspark.sql import types as T
 
 from finmart.llm.batches import bounded, fresh, text_or_empty
 
-KINDS = ("assign", "access", "hex", "pem", "der", "ssh", "jwt")
+KINDS = ("assign", "access", "hex", "pem", "der", "ssh", "jwt", "pgp", "ppk")
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 # The patterns of the three base kinds.
@@ -44,18 +49,29 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 
 # Line ends may be escaped, as in JSON.
 _LINE_END = re.compile(r"(?:\\+r)?\\+n|\r?\n")
-# Headers as in RFC 1421, which an encrypted key starts with, then the key.
-_HEADER = rf"[A-Za-z][A-Za-z0-9-]*:[^\r\n\\]*(?:{_LINE_END.pattern})(?:[ \t]+[^\s\\][^\r\n\\]*(?:{_LINE_END.pattern}))*"
-_PEM = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(?:\s|\\+[nr])*+"
-    rf"((?:[ \t]*{_HEADER})*+)((?:[A-Za-z0-9+/=\s]|\\+[nr])++)-----END \1-----"
-)
-_JWT = re.compile(
-    r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]*)\.([A-Za-z0-9_-]*)(?:\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)?"
+# What stands between two lines of letters: blanks and marks of a quotation may start a line.
+_BREAK = rf"[ \t]*+(?:{_LINE_END.pattern})[ \t>]*+"
+_ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?)-----")
+# The end of one string constant and the start of the next, and marks of quoted lines.
+_JOINT = re.compile(r"""["'`]\s*+[+.,;&\\]?\s*+[bru]?["'`]""", re.IGNORECASE)
+_QUOTED = re.compile(r"(?m)^[ \t]*+[>#*|][ \t>#*|]*+")
+# Headers as in RFC 1421, which an encrypted key starts with.
+_HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:")
+_CHECKSUM = re.compile(r"=[A-Za-z0-9+/]{4}$")
+_TOKEN_START = re.compile(r"(?<![A-Za-z0-9])e[wy]")  # base64 of { and a quote or white space
+_TOKEN_PART = re.compile(r"[A-Za-z0-9_-]*+")
+_TOKEN_REST = re.compile(
+    r"\.([A-Za-z0-9_-]*+)\.[A-Za-z0-9_-]*+(?:\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++)?"
 )
+_PUTTY = re.compile(r"PuTTY-User-Key-File-[123]: (\S+)\r?\nEncryption: \S+\r?\nComment: [^\r\n]*\r?\n")
+_PUTTY_LINES = re.compile(r"(Public|Private)-Lines: (\d{1,6})\r?\n")
+_PUTTY_OTHER = re.compile(r"(?:(?:Key-Derivation|Argon2-[A-Za-z]+): [^\r\n]*\r?\n)*+")
+_PUTTY_LINE = re.compile(r"([A-Za-z0-9+/=]+)(?:\r?\n|$)")
+_PUTTY_MAC = re.compile(r"Private-(?:MAC|Hash): [0-9a-f]+")
 
 _INTEGER, _OCTETS, _OID, _SEQUENCE = 0x02, 0x04, 0x06, 0x30
 _SSH_MAGIC = b"openssh-key-v1\0"
+_JSON = json.JSONDecoder(strict=False)
 
 
 def _values(data: bytes) -> list[tuple[int, bytes]] | None:
@@ -129,6 +145,28 @@ def is_ssh_key(data: bytes) -> bool:
     return all(string() for _ in range(n_keys + 1)) and at == len(data)
 
 
+def is_pgp_key(data: bytes) -> bool:
+    """Starts with a whole packet of a secret key of a known version."""
+    if len(data) < 8 or not data[0] & 0x80:
+        return False
+    if data[0] & 0x40:
+        tag, first = data[0] & 0x3F, data[1]
+        if first < 192:
+            at, size = 2, first
+        elif first < 224:
+            at, size = 3, ((first - 192) << 8) + data[2] + 192
+        elif first == 255:
+            at, size = 6, int.from_bytes(data[2:6], "big")
+        else:
+            return False
+    else:
+        tag, width = data[0] >> 2 & 0x0F, 1 << (data[0] & 3)
+        at, size = 1 + width, int.from_bytes(data[1 : 1 + width], "big")
+        if width == 8:  # until the end
+            at, size = 1, len(data) - 1
+    return tag == 5 and 6 < size <= len(data) - at and 2 <= data[at] <= 6
+
+
 def _from_base64(text: str) -> bytes:
     text = "".join(text.split()).rstrip("=").replace("-", "+").replace("_", "/")
     try:
@@ -149,6 +187,28 @@ def _json_object(text: str) -> dict:
     return value if isinstance(value, dict) else {}
 
 
+def _is_object(text: str, start: int, stop: int) -> bool:
+    """Whether the base64 from start to stop is that of a JSON object and no more. It reads
+    no further than until the first fault, so that many starts of one part stay cheap."""
+    size = 64
+    while True:
+        data = _from_base64(text[start : min(start + size, stop)]).decode("latin-1")
+        whole = start + size >= stop
+        try:
+            value, end = _JSON.raw_decode(data)
+        except json.JSONDecodeError as error:
+            # An unfinished string is reported where it starts, other faults where they are.
+            unfinished = error.msg.startswith("Unterminated") or error.pos >= len(data) - 8
+            if whole or not data or not unfinished:
+                return False
+        except RecursionError:
+            return False
+        else:
+            if whole or data[end:].strip():
+                return isinstance(value, dict) and not data[end:].strip()
+        size *= 4
+
+
 def is_signed_token(header: str, payload: str) -> bool:
     names = _json_object(header)
     if not (isinstance(names.get("alg"), str) and names["alg"]):
@@ -162,47 +222,95 @@ def _key_kind(data: bytes) -> str | None:
 
 @dataclass(frozen=True)
 class _Code:
-    """A way to write bytes as letters, over one line or more."""
+    """A way to write bytes as letters, in pieces: lines, or pairs parted by colons."""
 
-    letters: frozenset[str]
+    inside: frozenset[str]  # signs that a key does not start behind
     start: re.Pattern[str]  # the first letters of what a key may start with
-    run: re.Pattern[str]  # lines of letters only
+    gap: re.Pattern[str]
+    run: re.Pattern[str]  # pieces and the gaps between them
     bits: int  # bits of a letter
     decode: Callable[[str], bytes]
+    armour: list[tuple[re.Pattern[str], int]]  # letters of what armour holds, and those of a unit before
+    long: re.Pattern[str]  # first letters of a run that may hold armour
 
 
-def _code(letters: str, start: str, bits: int, decode: Callable[[str], bytes]) -> _Code:
+def _code(
+    letters: str, start: str, bits: int, decode: Callable[[str], bytes], colons: bool = False
+) -> _Code:
     known = frozenset(chr(k) for k in range(128) if re.match(letters, chr(k)))
-    run = re.compile(f"{letters}++(?:(?:{_LINE_END.pattern}){letters}++)*+")
-    return _Code(known, re.compile(f"(?:{start}){letters}{{12}}"), run, bits, decode)
+    piece, gap = (f"{letters}{{2}}", f":(?:{_BREAK})?+") if colons else (f"{letters}++", _BREAK)
+    more = f"(?::{letters}{{2}}){{6}}" if colons else f"{letters}{{12}}"
+    long = f"{piece}(?:{gap}{piece}){{63}}" if colons else f"{letters}{{40}}"
+    return _Code(
+        known | {":"} if colons else known,
+        re.compile(f"(?:{start}){more}"),
+        re.compile(gap),
+        re.compile(f"{piece}(?:{gap}{piece})*+"),
+        bits,
+        decode,
+        _ways(b"PRIVATE KEY", bits),
+        re.compile(long),
+    )
+
+
+def _ways(data: bytes, bits: int) -> list[tuple[re.Pattern[str], int]]:
+    """The letters sure to appear where `data` stand in encoded bytes, for each place that they
+    may start at in a unit of whole bytes, and how many letters of the unit come before them."""
+    if bits == 4:
+        return [(re.compile(data.hex(), re.IGNORECASE), 0)]
+    ways = []
+    for k in range(3):
+        letters = base64.b64encode(bytes(k) + data).decode()
+        first = -(-8 * k // 6)
+        ways.append((re.compile(re.escape(letters[first : (len(data) + k) * 8 // 6])), first))
+    return ways
 
 
 # A DER sequence or the magic of OpenSSH.
 _CODES = [
     _code("[A-Za-z0-9+/_-]", "M[A-P]|b3Bl", 6, _from_base64),
     _code("[0-9A-Fa-f]", "30|6[Ff]70", 4, _from_hex),
+    _code("[0-9A-Fa-f]", "30|6[Ff]:70", 4, _from_hex, colons=True),
 ]
 
 
 class _Run:
-    """Lines of letters from one place of a text on, as one string."""
+    """Pieces of letters from one place of a text on, as one string."""
 
     def __init__(self, text: str, start: int, code: _Code):
         self.code = code
         self.stop = code.run.match(text, start).end()
-        breaks = [m.span() for m in _LINE_END.finditer(text, start, self.stop)]
-        self.starts = [start, *(end for _, end in breaks)]  # of lines, in the text
-        stops = [*(begin for begin, _ in breaks), self.stop]
+        gaps = [m.span() for m in code.gap.finditer(text, start, self.stop)]
+        self.starts = [start, *(end for _, end in gaps)]  # of pieces, in the text
+        stops = [*(begin for begin, _ in gaps), self.stop]
         parts = [text[a:b] for a, b in zip(self.starts, stops)]
         self.joined = "".join(parts)
-        self.ends, at = [], 0  # of lines, in the string
+        self.ends, at = [], 0  # of pieces, in the string
         for part in parts:
             at += len(part)
             self.ends.append(at)
 
+    def place(self, at: int) -> int:
+        """The place in the text of a letter of the string."""
+        piece = bisect_right(self.ends, at)
+        return self.starts[piece] + at - (self.ends[piece - 1] if piece else 0)
+
+    def armoured(self) -> Iterator[tuple[str, int, int]]:
+        """(kind, start, end) of the armoured keys that the letters stand for."""
+        bits, unit = self.code.bits, 4 if self.code.bits == 6 else 2
+        ways = self.code.armour
+        phases = {(m.start() - k) % unit for way, k in ways for m in way.finditer(self.joined)}
+        for phase in sorted(phases):
+            letters = self.joined[phase:]
+            if len(letters) % unit == 1:
+                letters = letters[:-1]
+            for kind, start, end in _armoured(self.code.decode(letters).decode("latin-1")):
+                last = phase - (-end * 8 // bits)
+                yield kind, self.place(phase + start * 8 // bits), self.place(last - 1) + 1
+
     def key_at(self, start: int) -> tuple[str, int] | None:
-        """Kind and end of the key that starts with the line at `start`. Its length tells where
-        it ends; only if a line ends there, the whole of it is decoded."""
+        """Kind and end of the key that starts with the piece at `start`. Its length tells where
+        it ends; only if a piece ends there, the whole of it is decoded."""
         line = bisect_right(self.starts, start) - 1
         first = self.ends[line - 1] if line else 0
         bits = self.code.bits
@@ -261,7 +369,7 @@ def _encoded_keys(
     run, done = None, 0
     for m in code.start.finditer(text):
         start = m.start()
-        inner = start and text[start - 1] in code.letters
+        inner = start and text[start - 1] in code.inside
         escaped = start > 1 and text.startswith("\\n", start - 2)
         if start < done or (inner and not escaped) or covered(start):
             continue
@@ -274,17 +382,76 @@ def _encoded_keys(
             yield kind, start, done
 
 
+def _armoured(text: str) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of keys between a line that begins them and the next, which ends them."""
+    begin = None
+    for m in _ARMOUR.finditer(text):
+        if m[1] == "END" and begin and begin[2] == m[2]:
+            if kind := _body_kind(text[begin.end() : m.start()], m[2]):
+                yield kind, begin.start(), m.end()
+        begin = m if m[1] == "BEGIN" else None
+
+
+def _body_kind(body: str, label: str) -> str | None:
+    body = _QUOTED.sub("", _LINE_END.sub("\n", _JOINT.sub("", body)))
+    lines = [line.strip() for line in body.strip("\n").split("\n")]
+    while lines and not lines[0]:
+        del lines[0]
+    n = 0
+    if lines and _HEADER.match(lines[0]):
+        if "" in lines:
+            n = lines.index("")
+        else:
+            n = next((k for k, line in enumerate(lines) if not _HEADER.match(line)), len(lines))
+    headers, letters = " ".join(lines[:n]), "".join(lines[n:])
+    if label.startswith("PGP"):
+        return "pgp" if is_pgp_key(_from_base64(_CHECKSUM.sub("", letters))) else None
+    key = _from_base64(letters)
+    encrypted = key and "Proc-Type" in headers and "ENCRYPTED" in headers
+    return "pem" if _key_kind(key) or encrypted else None
+
+
+def _putty_keys(text: str) -> Iterator[tuple[str, int, int]]:
+    for m in _PUTTY.finditer(text):
+        at, blobs = m.end(), {}
+        for name in ("Public", "Private"):
+            at = _PUTTY_OTHER.match(text, at).end()
+            count = _PUTTY_LINES.match(text, at)
+            if not count or count[1] != name:
+                break
+            at, letters = count.end(), []
+            while len(letters) < int(count[2]) and (line := _PUTTY_LINE.match(text, at)):
+                letters.append(line[1])
+                at = line.end()
+            if len(letters) == int(count[2]):
+                blobs[name] = _from_base64("".join(letters))
+        if blobs.get("Private") and blobs.get("Public", b"")[4:].startswith(m[1].encode()):
+            mac = _PUTTY_MAC.match(text, at)
+            yield "ppk", m.start(), mac.end() if mac else at
+
+
+def _tokens(text: str) -> Iterator[tuple[str, int, int]]:
+    """Signed tokens: any part between dots may be the header, also behind a name."""
+    stop, done, rest = 0, 0, None
+    for m in _TOKEN_START.finditer(text):
+        start = m.start()
+        if start < done:
+            continue
+        if start >= stop:
+            stop = _TOKEN_PART.match(text, start).end()
+            rest = _TOKEN_REST.match(text, stop)
+        if rest and stop - start >= 8 and _is_object(text, start, stop):
+            if is_signed_token(text[start:stop], rest[1]):
+                done = rest.end()
+                yield "jwt", start, done
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every secret of one text, by start, then kind."""
     found = [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 12]
     found += [("access", *m.span()) for m in _ACCESS.finditer(text) if len(m[0]) >= 18]
     found += [("hex", *m.span()) for m in _HEX.finditer(text)]
-    armoured = []
-    if "PRIVATE KEY-----" in text:
-        for m in _PEM.finditer(text):
-            key = _from_base64(_LINE_END.sub("", m[3]))
-            if _key_kind(key) or (key and "Proc-Type" in m[2] and "ENCRYPTED" in m[2]):
-                armoured.append(("pem", *m.span()))
+    armoured = list(_armoured(text)) if "PRIVATE KEY" in text else []
     begins = [start for _, start, _ in armoured]
 
     def covered(place: int) -> bool:
@@ -294,9 +461,21 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     found += armoured
     for code in _CODES:
         found += _encoded_keys(text, code, covered)
+        found += _encoded_armour(text, code)
+    if "PuTTY-User-Key-File" in text:
+        found += _putty_keys(text)
     if "." in text:
-        found += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m[1], m[2])]
-    return sorted(found, key=lambda span: (span[1], KINDS.index(span[0]), span[2]))
+        found += _tokens(text)
+    return sorted(set(found), key=lambda span: (span[1], KINDS.index(span[0]), span[2]))
+
+
+def _encoded_armour(text: str, code: _Code) -> Iterator[tuple[str, int, int]]:
+    stop = 0
+    for m in code.long.finditer(text):
+        if m.start() >= stop:
+            run = _Run(text, m.start(), code)
+            stop = run.stop
+            yield from run.armoured()
 
 
 def mask(text: str, spans: list[tuple[str, int, int]], sign: str = "[SECRET]") -> str:

@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_roots: dict[str, str] = {}
 
 
@@ -32,8 +34,37 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` once and return the written table."""
+    """Write `df` once and return the written table.
+
+    The files of the shuffles that led to it go when it is there: nobody reads them again, and
+    until the driver collects its garbage they would fill the disks of the executors.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def erase(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more; everything made from them has to be
+    written itself. Other files than those of `materialize` are refused."""
+    for table in tables:
+        spark = table.sparkSession
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        root = hadoop(f"{scratch_root(spark)}/finmart")
+        system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        root = system.makeQualified(root)
+        folders = {file.rpartition("/")[0] for file in table.inputFiles()}
+        paths = [system.makeQualified(hadoop(folder)) for folder in folders]
+        if not all(root.equals(path.getParent()) for path in paths):
+            raise ValueError(f"no scratch table: {sorted(folders)}")
+        for path in paths:
+            system.delete(path, True)

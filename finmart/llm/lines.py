@@ -4,7 +4,9 @@ A line is the set of its words. Words are ordered by rarity, and the first ones
 its prefix, are all that a similar line could miss without falling below the threshold; so
 similar lines share a word of both prefixes. Lines of a shared word are compared only if
 their sizes, the places of the word in both, and a bitmap of the parities of hashed words
-leave room for the overlap that is needed. What remains is verified word by word.
+leave room for the overlap that is needed, and if the words that both prefixes share do:
+of the shorter-reaching prefix's line, only words behind the prefix can be common besides.
+What remains is verified word by word.
 
 A line that has an earlier similar line is removed; earlier is smaller in (id, line
 number), and it does not matter whether the earlier line is itself removed. So groups of
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finmart.llm.batches import fresh, key_of, text_or_empty
-from finmart.sources.scratch import materialize
+from finmart.sources.scratch import erase, materialize
 
 BUCKETS = 1 << 18
 _FIRST_WORDS = 3  # words of a prefix that seek the earliest line
@@ -156,21 +158,24 @@ def _words_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
 def _verified(
     pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str
 ) -> DataFrame:
-    """Numbers of the sets that are similar to the earlier one they are paired with."""
-    pairs = materialize(pairs.select("later", "earlier").distinct(), "line-pairs")
+    """Numbers of the sets that are similar to the earlier one they are paired with, written."""
+    pairs = materialize(pairs, "line-pairs")
     paired = pairs.select(F.col("later").alias("n")).union(pairs.select("earlier")).distinct()
     wanted = sets.select("n", "key", "id", "place").join(paired, "n", "left_semi")
     words = materialize(_words_of(docs, wanted, id_col, text_col), "line-words")
     later = words.select(F.col("n").alias("later"), F.col("words").alias("later_words"))
     earlier = words.select(F.col("n").alias("earlier"), F.col("words").alias("earlier_words"))
     both = F.size(F.array_intersect("later_words", "earlier_words"))
-    return (
+    similar = (
         pairs.join(later, "later")
         .join(earlier, "earlier")
         .where(both * 9 >= (F.size("later_words") + F.size("earlier_words")) * 4)
         .select(F.col("later").alias("n"))
         .distinct()
     )
+    followers = materialize(similar, "followers")
+    erase(pairs, words)
+    return followers
 
 
 def _followers(sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -186,8 +191,9 @@ def _followers(sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
         rows.select(here.alias("x"), F.first(here).over(so_far).alias("y"))
         .where((F.col("x.n") != F.col("y.n")) & _similar("x", "y"))
         .select(F.col("x.n").alias("later"), F.col("y.n").alias("earlier"))
+        .distinct()
     )
-    easy = materialize(_verified(pairs, sets, docs, id_col, text_col), "followers")
+    easy = _verified(pairs, sets, docs, id_col, text_col)
 
     open_sets = sets.join(easy.withColumn("found", F.lit(True)), "n", "left")
     every = open_sets.select(
@@ -200,10 +206,20 @@ def _followers(sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
     # The product keeps the test of x in the join, so both sides are one shuffled table.
     is_open = F.col("x.open") * F.col("y.size") > 0
     same_word = (F.col("x.word") == F.col("y.word")) & (F.col("y.n") < F.col("x.n"))
+    # A pair comes once for each word that both prefixes share (more often if hashes collide).
+    # No word of similar lines fails the filters, so few of them mean too small an overlap.
     pairs = (
         every.alias("x")
         .join(every.alias("y"), same_word & is_open & _similar("x", "y"))
-        .select(F.col("x.n").alias("later"), F.col("y.n").alias("earlier"))
+        .groupBy(F.col("x.n").alias("later"), F.col("y.n").alias("earlier"))
+        .agg(F.count("*").alias("shared"), F.first("x.size").alias("a"), F.first("y.size").alias("b"))
+        .where(
+            F.expr(
+                "shared + greatest((4 * a + 4) div 5, (4 * b + 4) div 5) - 1 "
+                ">= (4 * (a + b) + 8) div 9"
+            )
+        )
+        .select("later", "earlier")
     )
     return easy.union(_verified(pairs, sets, docs, id_col, text_col))
 

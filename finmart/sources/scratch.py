@@ -33,22 +33,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/finmart/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, free: bool = False) -> DataFrame:
     """Write `df` once and return the written table.
 
-    The files of the shuffles that led to it go when it is there: nobody reads them again, and
-    until the driver collects its garbage they would fill the disks of the executors.
+    With `free` the files of the shuffles that led to it go when it is there: nobody reads them
+    again, and until the driver collects its garbage they would fill the disks of the executors.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    if free:
+        spark.conf.set(_CLEANUP, "true")
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
+        if free and before is None:
             spark.conf.unset(_CLEANUP)
-        else:
+        elif free:
             spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -19,13 +19,13 @@ def test_written_tables_do_not_change(spark):
 def test_the_setting_for_shuffle_files_is_put_back(spark):
     before = spark.conf.get(scratch._CLEANUP)
     sums = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
-    assert scratch.materialize(sums, "sums").count() == 7
+    assert scratch.materialize(sums, "sums", free=True).count() == 7
     assert spark.conf.get(scratch._CLEANUP) == before
     assert sums.count() == 7  # the same plan can be run again
 
     failing = spark.range(3).select(F.raise_error(F.lit("no")).cast("int").alias("x"))
     with pytest.raises(Exception, match="no"):
-        scratch.materialize(failing, "failing")
+        scratch.materialize(failing, "failing", free=True)
     assert spark.conf.get(scratch._CLEANUP) == before
 
 

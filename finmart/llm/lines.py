@@ -73,7 +73,7 @@ def _rarity(lines: DataFrame) -> Column:
     table = every.select("bucket", grade.alias("grade")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("bucket", "grade"))), lambda x: x["grade"]).alias("grades")
     )
-    return materialize(table, "rarity").scalar()
+    return materialize(table, "rarity", free=True).scalar()
 
 
 def _profiles(lines: DataFrame, grades: Column) -> DataFrame:
@@ -159,10 +159,10 @@ def _verified(
     pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str
 ) -> DataFrame:
     """Numbers of the sets that are similar to the earlier one they are paired with, written."""
-    pairs = materialize(pairs, "line-pairs")
+    pairs = materialize(pairs, "line-pairs", free=True)
     paired = pairs.select(F.col("later").alias("n")).union(pairs.select("earlier")).distinct()
     wanted = sets.select("n", "key", "id", "place").join(paired, "n", "left_semi")
-    words = materialize(_words_of(docs, wanted, id_col, text_col), "line-words")
+    words = materialize(_words_of(docs, wanted, id_col, text_col), "line-words", free=True)
     later = words.select(F.col("n").alias("later"), F.col("words").alias("later_words"))
     earlier = words.select(F.col("n").alias("earlier"), F.col("words").alias("earlier_words"))
     both = F.size(F.array_intersect("later_words", "earlier_words"))
@@ -173,7 +173,7 @@ def _verified(
         .select(F.col("later").alias("n"))
         .distinct()
     )
-    followers = materialize(similar, "followers")
+    followers = materialize(similar, "followers", free=True)
     erase(pairs, words)
     return followers
 
@@ -236,7 +236,7 @@ def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def _marked(docs: DataFrame, id_col: str, text_col: str, row: Column) -> DataFrame:
     """(row, id, n_lines, removed), where `row` is a number of each row."""
     lines = _lines(docs, id_col, text_col, row)
-    profiles = materialize(_profiles(lines, _rarity(lines)), "lines")
+    profiles = materialize(_profiles(lines, _rarity(lines)), "lines", free=True)
     # The first line of each set of words; copies are combined before they are moved.
     firsts = profiles.where("key is not null").groupBy("key").agg(
         F.min(F.struct("id", "place", "row", "size", "bits", "prefix")).alias("first")
@@ -249,6 +249,7 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, row: Column) -> DataFra
         .sortWithinPartitions(*order)
         .withColumn("n", F.monotonically_increasing_id()),
         "line-sets",
+        free=True,
     )
     followers = _followers(sets, docs, id_col, text_col).withColumn("follows", F.lit(True))
     fates = sets.join(followers, "n", "left").select(
@@ -275,7 +276,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """`docs` without the removed lines, each row once; null and repeated ids are told apart by
     the numbers of the written rows. Null texts stay null."""
     row, gone = fresh(docs, "line_row"), fresh(docs, "line_gone")
-    placed = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "line-rows")
+    placed = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "line-rows", free=True)
     marked = _marked(placed, id_col, text_col, F.col(row)).select(
         F.col("row").alias(row), F.col("removed").alias(gone)
     )

@@ -352,23 +352,32 @@ def find_repeats(
         text_or_empty(text_col).alias("text"),
     )
     digests = materialize(source.select(*_DOC, F.sha2("text", 256).alias("sha")), "digests")
-    first = digests.groupBy("sha").agg(
-        F.min(F.struct(*_DOC)).alias("first"), F.count("*").alias("copies")
+    # Groups of equal texts are written before they are joined: a join in the stage of its
+    # own aggregate is not split, and one group may have a third of the rows.
+    groups = materialize(
+        digests.groupBy("sha")
+        .agg(F.min(F.struct(*_DOC)).alias("first"), F.count("*").alias("copies"))
+        .where("copies > 1"),
+        "equal-texts",
+        free=True,
     )
     # The first of equal texts goes on with their number; the others are known.
     standing = (
-        digests.join(first, "sha")
+        digests.join(groups, "sha", "left")
         .select(
             *_DOC,
-            (F.struct(*_DOC) == F.col("first")).alias("stands"),
-            F.least("copies", F.lit(2)).cast("int").alias("copies"),
+            F.coalesce(F.struct(*_DOC) == F.col("first"), F.lit(True)).alias("stands"),
+            F.when(F.col("copies").isNull(), 1).otherwise(2).alias("copies"),
         )
         .dropDuplicates(_DOC)
     )
     texts = source.join(standing, _DOC)
 
     anchors = materialize(_find_anchors(source, length), "anchors")
-    shared = anchors.groupBy("hash").agg(F.count("*").alias("uses")).where("uses > 1")
+    # Written for the same reason: the most common anchor may have a third of the rows.
+    shared = materialize(
+        anchors.groupBy("hash").agg(F.count("*").alias("uses")).where("uses > 1"), "shared-anchors", free=True
+    )
     # Runs of hot anchors are marked by their sign.
     marked = F.when(F.col("uses") > _HOT, -1 - F.col("run")).otherwise(F.col("run"))
     runs = (

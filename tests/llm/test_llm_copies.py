@@ -338,3 +338,18 @@ def test_a_hot_fingerprint_is_split(spark):
     with settings(spark, **HOT):
         one = found.groupBy("component_id").count().agg(F.max("count")).first()[0]
     assert one >= 20_000 // 3
+
+
+def test_a_hot_anchor_is_split(spark):
+    i = F.col("id")
+    passage = "".join(random.Random(4).choices("ghijklmn", k=120))
+    pair = F.concat(F.md5(F.floor(i / 6).cast("string")), F.md5(F.floor(i / 6 + 9).cast("string")))
+    text = F.concat(F.md5(i.cast("string")), F.when(i % 3 == 0, passage).otherwise(F.concat(pair, pair)))
+    docs = spark.range(0, 20_000, 1, 16).select(i.alias("doc_id"), text.alias("text"))
+    with settings(spark, spark__sql__shuffle__partitions="16", **HOT):
+        found = repeats.find_repeats(docs, 100)
+        plan = final_plan_of(found)
+        whole = F.exists("spans", lambda s: (s["start"] <= 32) & (s["stop"] == 32 + 120))
+        hot = found.where((i % 3 == 0) & whole).count()
+    assert "SortMergeJoin(skew=true)" in plan
+    assert hot == 6_667

@@ -7,6 +7,8 @@ one row per key instead of the whole fact.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,11 +64,15 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, n: int = 10) -> Data
 
 
 def product_mix_by_region(
-    fact: DataFrame, dim_branch: DataFrame, dim_account: DataFrame
+    fact: DataFrame,
+    dim_branch: DataFrame,
+    dim_account: DataFrame,
+    account: Sequence[str] = ("account_key",),
 ) -> DataFrame:
-    """Count and mean amount per region and product type."""
-    sums = _sums(fact, "branch_key", "account_key")
-    sums = look_up(sums, dim_account, "account_key", "product_type", how="inner")
+    """Count and mean amount per region and product type; `account` are the columns by
+    which fact and accounts meet."""
+    sums = _sums(fact, "branch_key", *account)
+    sums = sums.join(dim_account.select(*account, "product_type"), list(account), "inner")
     return (
         look_up(sums, dim_branch, "branch_key", "region", how="inner")
         .groupBy("region", "product_type")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from finmart import schemas
 from finmart.operators import dims, fact, keys, quality, scd2
-from finmart.plans import analytics, jobs, reports, roles
+from finmart.plans import analytics, colocated, jobs, reports, roles
 from finmart.sources import lake as files
 from finmart.sources import seed
 from finmart.sources.scratch import scratch_path
@@ -156,6 +156,32 @@ def weekend_cash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.weekend_cash(star["fact_transactions"], star["dim_date"])
 
 
+# The same over the fact that lies by account.
+
+
+def _by_account(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    star = roles.warehouse(spark, sf_dir)
+    path = scratch_path(spark, "by-account")
+    table = path.rpartition("/")[2].replace("-", "_")
+    return colocated.write_by_account(star["fact_transactions"], star["dim_account"], path, table)
+
+
+def colocated_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = roles.warehouse(spark, sf_dir)
+    stored, accounts = _by_account(spark, sf_dir)
+    return reports.monthly_summary_report(
+        stored, star["dim_branch"], accounts, star["dim_date"], colocated.ACCOUNT_PART
+    )
+
+
+def colocated_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = roles.warehouse(spark, sf_dir)
+    stored, accounts = _by_account(spark, sf_dir)
+    return analytics.product_mix_by_region(
+        stored, star["dim_branch"], accounts, colocated.ACCOUNT_PART
+    )
+
+
 # Sources and sinks: what was written is what is read.
 
 
@@ -280,6 +306,8 @@ QUERIES: dict[str, Query] = {
         top_customers,
         product_mix_by_region,
         weekend_cash,
+        colocated_summary,
+        colocated_mix,
         csv_roundtrip,
         gate_roundtrip,
         parquet_roundtrip,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,22 +51,27 @@ def report_months(report: DataFrame) -> DataFrame:
 
 
 def monthly_summary_report(
-    fact: DataFrame, dim_branch: DataFrame, dim_account: DataFrame, dim_date: DataFrame
+    fact: DataFrame,
+    dim_branch: DataFrame,
+    dim_account: DataFrame,
+    dim_date: DataFrame,
+    account: Sequence[str] = ("account_key",),
 ) -> DataFrame:
     """Count and amount per month, branch, product type and transaction type.
 
     Fact rows are first summed per day, branch, account and type, with integer keys and on
     the map side, which folds hot accounts before anything is shuffled. The texts join
     the sums, which are then summed again. Counts and decimal sums do not mind the
-    regrouping.
+    regrouping. `account` are the columns by which fact and accounts meet: a fact that
+    lies by them is not moved.
     """
     # One product type per key even if an account table has a key twice.
-    products = dim_account.groupBy("account_key").agg(F.min("product_type").alias("product_type"))
-    booked = fact.groupBy("date_key", "branch_key", "account_key", "txn_type").agg(
+    products = dim_account.groupBy(*account).agg(F.min("product_type").alias("product_type"))
+    booked = fact.groupBy("date_key", "branch_key", *account, "txn_type").agg(
         F.count("*").alias("n"), F.sum("amount").alias("total")
     )
     daily = (
-        look_up(booked, products, "account_key", "product_type")
+        booked.join(products, list(account), "left")
         .groupBy("date_key", "branch_key", "product_type", "txn_type")
         .agg(F.sum("n").alias("n"), F.sum("total").cast("decimal(25,2)").alias("total"))
     )

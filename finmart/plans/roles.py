@@ -107,12 +107,12 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw transaction feed, written on first use and then read.
 
-    A feed lies in files before the gate sees it; the view is how it gets there.
+    A feed lies in files before the gate sees it; the view is how it gets there. Rows are
+    written where the join leaves them.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _feeds:
-        feed = view(spark, sf_dir, "raw_txns").hint("rebalance")
-        _feeds[key] = materialize(feed, "raw-transactions")
+        _feeds[key] = materialize(view(spark, sf_dir, "raw_txns"), "raw-transactions")
     return _feeds[key]
 
 

@@ -48,3 +48,18 @@ def test_large_keys_stay_apart(spark, tmp_path):
     ids = roles.view(spark, base, "raw_txns").select("customer_id").distinct()
     known = roles.view(spark, base, "snap1").select("customer_id")
     assert ids.join(known, "customer_id", "left_semi").count() > 50
+
+
+def test_the_feed_is_written_where_the_join_leaves_it(spark, sf_dir, monkeypatch):
+    """No row is sorted and moved once more only to even out the files."""
+    plans = []
+
+    def written(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df
+
+    monkeypatch.setattr(roles, "materialize", written)
+    monkeypatch.setattr(roles, "_feeds", {})
+    feed = roles.transactions(spark, sf_dir)
+    assert "Rebalance" not in plans[0] and "Repartition" not in plans[0]
+    assert feed.count() == roles.view(spark, sf_dir, "raw_txns").count() > 0

@@ -20,13 +20,14 @@ sequences. Columns other than the id and the text are not read.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finmart.llm.batches import bounded, lists, ranges, text_or_empty
@@ -34,6 +35,9 @@ from finmart.llm.tokens import encode_texts
 from finmart.sources.scratch import materialize
 
 
+_BATCH = 2 << 20  # bytes of text that a worker tokenizes at a time
+
+
 @dataclass(frozen=True)
 class Slot:
     """Documents of one length with ranks from `first` on: `each` to a sequence."""
@@ -130,7 +134,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in bounded(batches, "text"):
+        for batch in bounded(batches, "text", _BATCH):
             ids, n_tokens = encode_texts(batch.column(1), tokenizer, end_id)
             pieces = -(-n_tokens // capacity)
             owner = np.repeat(np.arange(len(n_tokens)), pieces)
@@ -172,6 +176,20 @@ def token_pieces(
     )
 
 
+# Counts of a length in a task, at 12 bytes each, that are sent to every executor.
+_BROADCAST = 4 << 20
+
+
+def _slot_table(spark: SparkSession, slots: list[Slot]) -> DataFrame:
+    """(length, slots): the slots of each length by their first rank."""
+    by_length: dict[int, list[tuple[int, int, int, int]]] = {}
+    for slot in sorted(slots, key=lambda slot: (slot.length, slot.first)):
+        entry = (slot.first, slot.each, slot.sequence, slot.offset)
+        by_length.setdefault(slot.length, []).append(entry)
+    entry = "struct<first: bigint, each: bigint, sequence: bigint, offset: bigint>"
+    return spark.createDataFrame(list(by_length.items()), f"length bigint, slots array<{entry}>")
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
@@ -187,50 +205,44 @@ def pack(
     )
     by_task = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))
     # At most one row per length reaches the driver.
-    counts = by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()
+    counts = by_task.groupBy("length").agg(F.sum("n").alias("n"), F.count("*").alias("tasks")).collect()
     slots = slots_of(plan_bins({row.length: row.n for row in counts}, capacity))
-    table = np.array(
-        [(s.length, s.first, s.each, s.sequence, s.offset) for s in slots], np.int64
-    ).reshape(-1, 5)
-    table = table[np.lexsort((table[:, 1], table[:, 0]))]
-    # Lengths and ranks as one ascending number.
-    keys = table[:, 0] * (1 << 50) + table[:, 1]
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            length, rank = (
-                batch.column(name).to_numpy(zero_copy_only=False) for name in ("length", "rank")
-            )
-            slot = table[np.searchsorted(keys, length * (1 << 50) + rank, "right") - 1]
-            place_in_slot = rank - slot[:, 1]
-            sequence = slot[:, 3] + place_in_slot // slot[:, 2]
-            offset = slot[:, 4] + place_in_slot % slot[:, 2] * length
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(name) for name in kept),
-                    pa.array(sequence),
-                    pa.array(offset),
-                    *(batch.column(name) for name in extra),
-                ],
-                [*kept, "sequence_id", "offset", *extra],
-            )
-
-    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = by_task.select(
-        "length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
+
+    # Places of a task's documents among all of a length: a row per task, joined without
+    # moving the pieces, which have their ids, as long as it is small.
+    earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    offsets = (
+        by_task.select("task", F.col("length").cast("int").alias("length"), before)
+        .groupBy("task")
+        .agg(F.map_from_entries(F.collect_list(F.struct("length", "before"))).alias("befores"))
     )
-    kept = [id_col, "piece", "start", "length", "ids_crc32"]
-    extra = ["ids"] * with_ids
-    ranked = pieces.join(offsets, ["length", "task"]).select(
-        *kept, (F.col("rank") + F.col("before")).alias("rank"), *extra
+    if sum(row.tasks for row in counts) <= _BROADCAST:
+        offsets = F.broadcast(offsets)
+    place = F.col("rank") + F.element_at("befores", F.col("length").cast("int"))
+    plan = _slot_table(docs.sparkSession, slots)
+    most = max(Counter(slot.length for slot in slots).values(), default=1)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))])
+
+    def later(at: Column, step: Column) -> Column:
+        first = F.get("slots", at + step)["first"]
+        return F.when(first <= F.col("place"), at + step).otherwise(at)
+
+    placed = (
+        pieces.join(offsets, "task")
+        .withColumn("place", place)
+        .join(F.broadcast(plan), "length")
+        # The last slot that does not begin behind the place, by bisection.
+        .withColumn("slot", F.get("slots", F.aggregate(steps, F.lit(0), later)))
     )
-    kind = docs.schema[id_col].dataType.simpleString()
-    return ranked.mapInArrow(
-        place,
-        f"`{id_col}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
-        "sequence_id bigint, offset bigint" + ", ids array<int>" * with_ids,
+    place_in_slot = F.col("place") - F.col("slot.first")
+    each = F.col("slot.each")
+    return placed.select(
+        F.col(f"`{id_col}`"),
+        *("piece", "start", "length", "ids_crc32"),
+        (F.col("slot.sequence") + F.call_function("div", place_in_slot, each)).alias("sequence_id"),
+        (F.col("slot.offset") + place_in_slot % each * F.col("length")).alias("offset"),
+        *["ids"] * with_ids,
     )
 
 

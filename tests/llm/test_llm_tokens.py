@@ -17,6 +17,7 @@ from finmart.llm import packing, pieces, records, tokens
 from finmart.llm.batches import arrow_uri, qualified
 from finmart.llm.queries import QUERIES
 from finmart.sources.scratch import scratch_path
+from plans import plan_of, settings
 from samples import ROWS
 from tokenizers import Tokenizer
 
@@ -247,3 +248,28 @@ def test_packing_of_odd_rows(spark, docs, none):
     assert sum(len(r.ids) for r in full) == sum(r.length for r in rows)
     assert max(len(r.ids) for r in full) <= 50
     assert packing.pack(none, BYTES, end_id=2).count() == 0
+
+
+def test_ids_stay_where_they_are_written(spark, docs):
+    """Placing pieces neither shuffles and sorts their ids nor hands them to Python again."""
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = plan_of(packing.pack(docs, BYTES, end_id=2, capacity=50, with_ids=True))
+    assert "MapInArrow" not in plan and "SortMergeJoin" not in plan
+    assert not any("ids#" in line for line in plan.splitlines() if "Exchange" in line or "Sort [" in line)
+
+
+def test_places_with_offsets_too_large_to_send(spark, docs, monkeypatch):
+    monkeypatch.setattr(packing, "_BROADCAST", 0)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        moved = packing.pack(docs, BYTES, end_id=2, capacity=50)
+        assert "SortMergeJoin" in plan_of(moved)
+        rows = moved.collect()
+    by_sequence: dict[int, list] = {}
+    for row in rows:
+        by_sequence.setdefault(row.sequence_id, []).append((row.offset, row.length))
+    for pieces_of in by_sequence.values():
+        end = 0
+        for offset, length in sorted(pieces_of):
+            assert offset == end
+            end += length
+        assert end <= 50

@@ -1,23 +1,26 @@
 """Line de-duplication by an exact set-similarity join, in DataFrame operations only.
 
-A line is the set of its words. Words are ordered by rarity, and the first ones of a line,
-its prefix, are all that a similar line could miss without falling below the threshold; so
-similar lines share a word of both prefixes. Lines of a shared word are compared only if
-their sizes, the places of the word in both, and a bitmap of the parities of hashed words
-leave room for the overlap that is needed, and if the words that both prefixes share do:
-of the shorter-reaching prefix's line, only words behind the prefix can be common besides.
-What remains is verified word by word.
+A line is the set of its words. Lines of a and b words are similar if at most (a + b) / 9
+words are in one of them only. Words are dealt by their hashes to a number of parts that
+depends on the size of the line, so that each such word spoils one part at most, and all
+others are equal in both lines. The parts of a line are ordered by how much they tell
+(longest word, number of words), which is the same order in any line; of as many parts as
+a similar line could spoil, and one more, from the top, one must then be among those of the
+similar line. These are the marks of a line: lines that share no mark are never compared.
+A mark stands for several words, all of a part and none besides, so few other lines share it.
+
+Marks of one set of words only go first, by a count. Lines of a shared mark are compared only
+if their sizes and a bitmap of the parities of hashed words leave room for the overlap that
+is needed. What remains is verified word by word.
 
 A line that has an earlier similar line is removed; earlier is smaller in (id, line
 number), and it does not matter whether the earlier line is itself removed. So groups of
-similar lines are not expanded into pairs: lines are compared with the earliest line of
-each of their rarest words first, and only lines for which that finds nothing with all the
-others.
+similar lines are not expanded into pairs: each line is compared first with one, that of
+the earliest lines of its marks with most marks in common, and only lines for which that
+finds nothing with all the others.
 
-Rarity is a logarithmic class of the number of lines in a hash bucket of words, over all
-lines; there are a fixed number of buckets. The order needs to be the same everywhere, it
-does not need to be exact: results do not depend on it. Words are told apart by 31-bit
-hashes while candidates are sought, by their letters when they are verified.
+Words are told apart by 59 bits of their hashes and their lengths while candidates are sought and lines of equal words are
+put together, by their letters when similar lines are verified.
 
 Defined results: lines are parted by line feeds; words by white space. A line without a
 word is never removed. Lines of equal words are similar whatever the order and number of
@@ -35,124 +38,144 @@ from pyspark.sql import functions as F
 from finmart.llm.batches import fresh, key_of, text_or_empty
 from finmart.sources.scratch import erase, materialize
 
-BUCKETS = 1 << 18
-_FIRST_WORDS = 3  # words of a prefix that seek the earliest line
 _BITMAP = 1 << 22  # bits of the filter that says which documents are read again
 
-_SPLIT = "array_remove(split(line, '[\\\\x20\\\\x09-\\\\x0D]+'), '')"
+_SPACE = "[\\\\x20\\\\x09-\\\\x0D]+"
+# Most lines have no white space but blanks, and by one letter they are split without a pattern.
+_PLAIN = " and ".join(f"not contains(line, char({code}))" for code in (9, 11, 12, 13))
+_WORDS = f"if({_PLAIN}, split(line, ' '), split(line, '{_SPACE}'))"
+
+
+def _number(word: str) -> str:
+    """A word as one number: its hash, with its length, up to 31 bytes, in place of five bits."""
+    return f"xxhash64({word}) & {~(31 << 31)}L | shiftleft(cast(least(octet_length({word}), 31) as bigint), 31)"
+
+
+_NUMBERS = f"""sort_array(array_remove(array_distinct(transform({_WORDS}, w -> {_number("w")})), {_number("''")}))"""
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, row: Column) -> DataFrame:
-    """(id, row, line number, words): every line with its distinct words."""
+    """(id, row, line number, line): every line."""
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"),
         row.alias("row"),
         text_or_empty(text_col).alias("text"),
     )
-    return rows.select(
-        "id", "row", F.posexplode(F.split("text", "\n")).alias("place", "line")
-    ).select("id", "row", "place", F.expr(f"array_distinct({_SPLIT})").alias("words"))
+    return rows.select("id", "row", F.posexplode(F.split("text", "\n")).alias("place", "line"))
 
 
 def _grade(n: Column) -> Column:
-    """The class of a count: seven bits hold it for any bigint, as 2 * log2 of it is 126 at most."""
+    """The class of a count: seven bits hold it for any bigint, as 2 * log2 of it is 126 at most.
+    Words had such classes; marks do without, and only the test of it is left."""
     return F.ceil(2 * F.log2(n)).cast("tinyint")
 
 
-def _rarity(lines: DataFrame) -> Column:
-    """One array with the class of every bucket; rarer words have lower classes."""
-    spark = lines.sparkSession
-    counts = (
-        lines.select(F.explode("words").alias("word"))
-        .groupBy(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket"))
-        .agg(F.count("*").alias("n"))
-    )
-    every = spark.range(BUCKETS).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
-    grade = F.coalesce(_grade(F.col("n")), F.lit(0).cast("tinyint"))
-    # As many rows as there are buckets, so the size of this array is known.
-    table = every.select("bucket", grade.alias("grade")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("bucket", "grade"))), lambda x: x["grade"]).alias("grades")
-    )
-    return materialize(table, "rarity", free=True).scalar()
+# Two digests of the words of a line, the first one null for a line without any.
+_KEYS = {
+    "key": "if(size(numbers) = 0, null, xxhash64(numbers))",
+    "more": "xxhash64(1, numbers)",
+}
 
+# Sizes from 2^(b-1) to 2^b - 1 are cut into 2^(b-2) + 1 parts: more than words can differ from
+# lines up to that size. A line that may be similar to some of the next range is cut like those, too.
+_CUTS = """filter(array(
+    if(size >= 4, shiftleft(1, length(bin(size)) - 2) + 1, null),
+    if(size >= 4 and 5L * size >= shiftleft(4L, length(bin(size))), shiftleft(1, length(bin(size)) - 1) + 1, null)
+), cut -> cut is not null)"""
 
-def _profiles(lines: DataFrame, grades: Column) -> DataFrame:
-    """(id, row, place, key, size, bits, prefix) of every line. `key` is a digest of its
-    words in order, null for a line without any."""
-    # A word as one number: its class, then 56 bits of its hash.
-    rank = (
-        f"(cast(grades[cast(h & {BUCKETS - 1}L as int)] as bigint) * 72057594037927936L) "
-        "| (h & 72057594037927935L)"
-    )
-    ranked = f"sort_array(transform(transform(words, w -> xxhash64(w)), h -> {rank}))"
-    return (
-        lines.withColumn("grades", grades)
-        .select(
-            "id",
-            "row",
-            "place",
-            F.expr("if(size(words) = 0, null, unhex(md5(array_join(sort_array(words), ' '))))").alias("key"),
-            F.size("words").alias("size"),
-            F.expr(ranked).alias("ranked"),
-        )
-        .select(
-            "id",
-            "row",
-            "place",
-            "key",
-            "size",
-            F.expr(
-                "aggregate(ranked, 0L, (bits, w) -> bits ^ shiftleft(1L, cast((w >> 24) & 63L as int)))"
-            ).alias("bits"),
-            F.expr(
-                "transform(slice(ranked, 1, size - (4 * size + 4) div 5 + 1), "
-                "w -> cast(w & 2147483647L as int))"
-            ).alias("prefix"),
-        )
-    )
+# The numbers of the words by (part, length, hash), behind a separator for each part.
+_DEALT = """sort_array(concat(
+    transform(numbers, w -> shiftleft(shiftrightunsigned(w, 36) % cut, 36) | (w & 68719476735L)),
+    transform(sequence(0, cut), part -> shiftleft(cast(part as bigint), 36))
+))"""
+
+_STARTS = "array_compact(transform(dealt, (w, i) -> if((w & 68719476735L) = 0, i, null)))"
+
+# A part as a number: what tells more is smaller; then 52 bits of a digest of its last three
+# words, the longest ones, or the separator, which says what part it is.
+_MARK = """shiftleft(2047L - (shiftright(dealt[stop - 1], 31) & 31L) * 64 - least(stop - starts[part] - 1, 63), 52)
+    | (xxhash64(dealt[stop - 1], dealt[greatest(stop - 2, starts[part])], dealt[greatest(stop - 3, starts[part])], cut)
+        & 4503599627370495L)"""
+
+# One part more than the words that may differ from a similar line, a quarter of its own at most.
+_MARKS = f"""flatten(transform({_CUTS}, cut ->
+    transform(array({_DEALT}), dealt ->
+        transform(array({_STARTS}), starts ->
+            slice(sort_array(transform(slice(starts, 2, cut), (stop, part) -> {_MARK})), 1, size div 4 + 1)
+        )[0]
+    )[0]
+))"""
+
+_BITS = "aggregate(numbers, 0L, (bits, w) -> bits ^ shiftleft(1L, cast(shiftrightunsigned(w, 58) as int)))"
+
+
+def _profiles(lines: DataFrame) -> DataFrame:
+    """(id, row, place, key, more, size, bits, marks) of every line."""
+    place = ["id", "row", "place"]
+    keys = [F.expr(value).alias(name) for name, value in _KEYS.items()]
+    numbered = lines.select(*place, F.expr(_NUMBERS).alias("numbers"))
+    sized = numbered.select(*place, "numbers", *keys, F.size("numbers").alias("size"))
+    return sized.select(*place, *_KEYS, "size", F.expr(_BITS).alias("bits"), F.expr(_MARKS).alias("marks"))
+
+
+def _members(profiles: DataFrame, sets: DataFrame) -> DataFrame:
+    """(mark, n, size, bits): the sets of each mark that several have."""
+    dealt = profiles.select(F.explode("marks").alias("mark"), "key").repartition("mark")
+    shared = dealt.groupBy("mark").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b")
+    members = dealt.join(shared.select("mark").hint("shuffle_hash"), "mark", "left_semi").distinct()
+    return members.join(sets.select("key", "n", "size", "bits"), "key").select("mark", "n", "size", "bits")
 
 
 def _similar(x: str, y: str) -> Column:
-    """Whether the filters leave room for a similarity of 0.8 with the word at hand."""
+    """Whether the filters leave room for a similarity of 0.8."""
     return F.expr(
         f"least({x}.size, {y}.size) * 5 >= greatest({x}.size, {y}.size) * 4 and "
-        f"(1 + least({x}.at, {y}.at) + least({x}.size - {x}.at, {y}.size - {y}.at) - 1) * 9 "
-        f">= 4 * ({x}.size + {y}.size) and "
         f"bit_count({x}.bits ^ {y}.bits) <= {x}.size + {y}.size - 2 * ((4 * ({x}.size + {y}.size) + 8) div 9)"
     )
 
 
+def _shared() -> list[Column]:
+    """How many marks a pair x, y shares, and its sizes."""
+    return [F.count("*").alias("shared"), F.first("x.size").alias("a"), F.first("y.size").alias("b")]
+
+
+# Of the marks of the smaller line no more are missing in the other than words may differ.
+_ENOUGH = "shared >= least(a, b) div 4 + 1 - (a + b) div 9"
+
+
 def _words_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(n, words) of the wanted lines (n, key, id, place), read again from their documents."""
+    """(n, words) of the wanted lines (n, key, more, id, place), read again from their documents."""
     per_doc = wanted.groupBy(key_of("id").alias("doc")).agg(
-        F.collect_list(F.struct("place", "key", "n")).alias("wanted")
+        F.collect_list(F.struct("place", "key", "more", "n")).alias("wanted")
     )
-    bucket = F.pmod(F.xxhash64("doc"), F.lit(_BITMAP))
     # A bitmap of fixed size keeps out documents with nothing wanted before they are moved.
-    words = per_doc.groupBy(F.floor(bucket / 64).alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc), {_BITMAP}) % 64 as int))")).alias("bits")
+    bit = f"pmod(xxhash64(doc), {_BITMAP}L)"
+    found = per_doc.groupBy(F.expr(f"{bit} div 64").alias("at")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast({bit} % 64 as int))")).alias("bits")
     )
+    every = docs.sparkSession.range(_BITMAP // 64).withColumnRenamed("id", "at").join(found, "at", "left")
+    pair = F.struct("at", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
     bitmap = materialize(
-        words.agg(F.map_from_entries(F.collect_list(F.struct("at", "bits"))).alias("bits")), "bitmap"
+        every.agg(F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["bits"]).alias("bitmap")),
+        "bitmap",
+        free=True,
     ).scalar()
     source = docs.select(key_of(id_col).alias("doc"), text_or_empty(text_col).alias("text"))
     source = source.withColumn("bitmap", bitmap).where(
-        F.expr(
-            f"(coalesce(try_element_at(bitmap, cast(pmod(xxhash64(doc), {_BITMAP}) / 64 as bigint)), 0L) "
-            f"& shiftleft(1L, cast(pmod(xxhash64(doc), {_BITMAP}) % 64 as int))) <> 0"
-        )
+        F.expr(f"bitmap[cast({bit} div 64 as int)] & shiftleft(1L, cast({bit} % 64 as int)) <> 0")
     )
-    found = (
+    read = (
         source.drop("bitmap")
         .join(per_doc, "doc")
         .withColumn("lines", F.split("text", "\n"))
         .select("lines", F.explode("wanted").alias("at"))
-        .select("at.n", "at.key", F.get("lines", F.col("at.place")).alias("line"))
-        .select("n", "key", F.expr(f"sort_array(array_distinct({_SPLIT}))").alias("words"))
+        .select("at.*", F.get("lines", F.col("at.place")).alias("line"))
+        .select("n", "key", "more", "line", F.expr(_NUMBERS).alias("numbers"))
     )
     # A repeated id may stand for another text.
-    right = F.unhex(F.md5(F.array_join("words", " "))) == F.col("key")
-    return found.where(right).select("n", "words").dropDuplicates(["n"])
+    right = F.expr(" and ".join(f"{name} <=> ({value})" for name, value in _KEYS.items()))
+    words = F.expr(f"array_remove(array_distinct({_WORDS}), '')")
+    return read.where(right).select("n", words.alias("words")).dropDuplicates(["n"])
 
 
 def _verified(
@@ -161,7 +184,7 @@ def _verified(
     """Numbers of the sets that are similar to the earlier one they are paired with, written."""
     pairs = materialize(pairs, "line-pairs", free=True)
     paired = pairs.select(F.col("later").alias("n")).union(pairs.select("earlier")).distinct()
-    wanted = sets.select("n", "key", "id", "place").join(paired, "n", "left_semi")
+    wanted = sets.select("n", *_KEYS, "id", "place").join(paired, "n", "left_semi")
     words = materialize(_words_of(docs, wanted, id_col, text_col), "line-words", free=True)
     later = words.select(F.col("n").alias("later"), F.col("words").alias("later_words"))
     earlier = words.select(F.col("n").alias("earlier"), F.col("words").alias("earlier_words"))
@@ -178,47 +201,37 @@ def _verified(
     return followers
 
 
-def _followers(sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _followers(members: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Numbers of the sets with an earlier similar set."""
-    rows = sets.select("n", "size", "bits", F.posexplode(F.slice("prefix", 1, _FIRST_WORDS)).alias("at", "word"))
     so_far = (
-        Window.partitionBy("word")
+        Window.partitionBy("mark")
         .orderBy("n")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    here = F.struct("n", "size", "bits", "at")
+    here = F.struct("n", "size", "bits")
     pairs = (
-        rows.select(here.alias("x"), F.first(here).over(so_far).alias("y"))
+        members.select(here.alias("x"), F.first(here).over(so_far).alias("y"))
         .where((F.col("x.n") != F.col("y.n")) & _similar("x", "y"))
-        .select(F.col("x.n").alias("later"), F.col("y.n").alias("earlier"))
-        .distinct()
+        .groupBy(F.col("x.n").alias("later"), F.col("y.n").alias("earlier"))
+        .agg(*_shared())
+        .where(_ENOUGH)
+        .groupBy("later")
+        .agg(F.max_by("earlier", "shared").alias("earlier"))
     )
     easy = _verified(pairs, sets, docs, id_col, text_col)
 
-    open_sets = sets.join(easy.withColumn("found", F.lit(True)), "n", "left")
-    every = open_sets.select(
-        "n",
-        "size",
-        "bits",
-        F.when(F.col("found").isNull(), 1).otherwise(0).alias("open"),
-        F.posexplode("prefix").alias("at", "word"),
+    every = members.join(easy.withColumn("found", F.lit(True)), "n", "left").select(
+        "mark", "n", "size", "bits", F.when(F.col("found").isNull(), 1).otherwise(0).alias("open")
     )
     # The product keeps the test of x in the join, so both sides are one shuffled table.
     is_open = F.col("x.open") * F.col("y.size") > 0
-    same_word = (F.col("x.word") == F.col("y.word")) & (F.col("y.n") < F.col("x.n"))
-    # A pair comes once for each word that both prefixes share (more often if hashes collide).
-    # No word of similar lines fails the filters, so few of them mean too small an overlap.
+    same_mark = (F.col("x.mark") == F.col("y.mark")) & (F.col("y.n") < F.col("x.n"))
     pairs = (
         every.alias("x")
-        .join(every.alias("y"), same_word & is_open & _similar("x", "y"))
+        .join(every.alias("y"), same_mark & is_open & _similar("x", "y"))
         .groupBy(F.col("x.n").alias("later"), F.col("y.n").alias("earlier"))
-        .agg(F.count("*").alias("shared"), F.first("x.size").alias("a"), F.first("y.size").alias("b"))
-        .where(
-            F.expr(
-                "shared + greatest((4 * a + 4) div 5, (4 * b + 4) div 5) - 1 "
-                ">= (4 * (a + b) + 8) div 9"
-            )
-        )
+        .agg(*_shared())
+        .where(_ENOUGH)
         .select("later", "earlier")
     )
     return easy.union(_verified(pairs, sets, docs, id_col, text_col))
@@ -235,25 +248,25 @@ def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def _marked(docs: DataFrame, id_col: str, text_col: str, row: Column) -> DataFrame:
     """(row, id, n_lines, removed), where `row` is a number of each row."""
-    lines = _lines(docs, id_col, text_col, row)
-    profiles = materialize(_profiles(lines, _rarity(lines)), "lines", free=True)
+    profiles = materialize(_profiles(_lines(docs, id_col, text_col, row)), "lines", free=True)
     # The first line of each set of words; copies are combined before they are moved.
-    firsts = profiles.where("key is not null").groupBy("key").agg(
-        F.min(F.struct("id", "place", "row", "size", "bits", "prefix")).alias("first")
+    firsts = profiles.where("key is not null").groupBy(*_KEYS).agg(
+        F.min(F.struct("id", "place", "row", "size", "bits")).alias("first")
     )
     # Numbered in their order: a smaller number is an earlier line.
     order = ["id", "place", "row"]
     sets = materialize(
-        firsts.select("key", "first.*")
+        firsts.select(*_KEYS, "first.*")
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("n", F.monotonically_increasing_id()),
         "line-sets",
         free=True,
     )
-    followers = _followers(sets, docs, id_col, text_col).withColumn("follows", F.lit(True))
+    members = materialize(_members(profiles, sets), "line-members", free=True)
+    followers = _followers(members, sets, docs, id_col, text_col).withColumn("follows", F.lit(True))
     fates = sets.join(followers, "n", "left").select(
-        "key", F.col("row").alias("first_row"), F.col("place").alias("first_place"), "follows"
+        *_KEYS, F.col("row").alias("first_row"), F.col("place").alias("first_place"), "follows"
     )
     removed = F.col("key").isNotNull() & (
         F.col("follows").isNotNull()
@@ -261,8 +274,8 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, row: Column) -> DataFra
         | (F.col("place") != F.col("first_place"))
     )
     return (
-        profiles.select("id", "row", "place", "key")
-        .join(fates, "key", "left")
+        profiles.select("id", "row", "place", *_KEYS)
+        .join(fates, [*_KEYS], "left")
         .groupBy("row")
         .agg(
             F.first("id").alias("id"),

@@ -164,6 +164,58 @@ def test_dropping_lines_of_null_and_repeated_ids(spark):
     assert sorted(map(str, left)) == sorted(map(str, kept))
 
 
+def test_similar_lines_share_marks_and_others_hardly_any(spark):
+    draw = random.Random(6)
+    rows, kin = [], []
+    for size in (4, 5, 6, 7, 8, 12, 13, 15, 16, 26, 31, 32, 51, 52, 63, 64, 103, 128, 205, 300):
+        for _ in range(12):
+            one = [f"w{draw.randrange(10**6)}" for _ in range(size)]
+            other = one[:]
+            for _ in range(draw.randint(0, size // 4)):
+                if draw.random() < 0.5:
+                    other[draw.randrange(len(other))] = f"v{draw.randrange(10**6)}"
+                else:
+                    other.pop(draw.randrange(len(other)))
+            a, b = set(one), set(other)
+            if 5 * len(a & b) >= 4 * len(a | b):
+                kin.append((len(rows), len(rows) + 1))
+                rows += [(len(rows), " ".join(one)), (len(rows) + 1, "\t".join(other))]
+    # The same rare words in all of these lines, which are not similar.
+    rare = len(rows)
+    rows += [(rare + k, "zebra quokka " + " ".join(f"u{draw.randrange(10**6)}" for _ in range(30))) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = lines._profiles(lines._lines(docs, "doc_id", "text", F.lit(0))).collect()
+    marks = {row.id: (row.size, set(row.marks)) for row in found}
+    assert len(kin) > 150
+    for x, y in kin:
+        (a, one), (b, other) = marks[x], marks[y]
+        assert len(one & other) >= max(1, min(a, b) // 4 + 1 - (a + b) // 9)
+    unlike = [marks[k][1] for k in range(rare, len(rows))]
+    assert not any(a & b for i, a in enumerate(unlike) for b in unlike[:i])
+
+
+def test_a_line_is_compared_with_one_other_first(spark, monkeypatch):
+    draw = random.Random(9)
+    texts = []
+    for _ in range(150):
+        line = [f"w{k}" for k in range(40)]
+        for _ in range(draw.randint(0, 4)):
+            line[draw.randrange(40)] = f"x{draw.randrange(9)}"
+        texts.append(" ".join(line))
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    most, verified = [], lines._verified
+
+    def watched(pairs, *rest):
+        most.append(pairs.groupBy("later").count().agg(F.max("count")).head()[0])
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(lines, "_verified", watched)
+    got = {r.doc_id: r.removed for r in lines.mark_lines(docs).collect()}
+    assert got == dict(zip(range(150), plain.removed_lines(rows)))
+    assert most[0] == 1
+
+
 def test_rarity_classes_of_any_count_fit_seven_bits(spark):
     counts = spark.createDataFrame([(n,) for n in (1, 2, 3, 1000, 2**31, 2**32, 10**12, 2**63 - 1)], "n bigint")
     grades = [r[0] for r in counts.orderBy("n").select(lines._grade(F.col("n"))).collect()]

@@ -120,9 +120,12 @@ def _profiles(lines: DataFrame) -> DataFrame:
 
 def _members(profiles: DataFrame, sets: DataFrame) -> DataFrame:
     """(mark, n, size, bits): the sets of each mark that several have."""
-    dealt = profiles.select(F.explode("marks").alias("mark"), "key").repartition("mark")
-    shared = dealt.groupBy("mark").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b")
-    members = dealt.join(shared.select("mark").hint("shuffle_hash"), "mark", "left_semi").distinct()
+    # A window and no join: the marks of all lines are the most that is moved, and go once.
+    same = Window.partitionBy("mark")
+    marks = profiles.select(F.explode("marks").alias("mark"), "key")
+    least, most = F.min("key").over(same), F.max("key").over(same)
+    members = marks.select("mark", "key", (least < most).alias("shared")).where("shared").select("mark", "key").distinct()
+    members = materialize(members, "line-marks", free=True)
     return members.join(sets.select("key", "n", "size", "bits"), "key").select("mark", "n", "size", "bits")
 
 

@@ -4,20 +4,20 @@ A line is the set of its words. Lines of a and b words are similar if at most (a
 words are in one of them only. Words are dealt by their hashes to a number of parts that
 depends on the size of the line, so that each such word spoils one part at most, and all
 others are equal in both lines. The parts of a line are ordered by how much they tell
-(longest word, number of words), which is the same order in any line; of as many parts as
+(letters of the three longest words), which is the same order in any line; of as many parts as
 a similar line could spoil, and one more, from the top, one must then be among those of the
 similar line. These are the marks of a line: lines that share no mark are never compared.
 A mark stands for several words, all of a part and none besides, so few other lines share it.
 
-Marks of one set of words only go first, by a count. Lines of a shared mark are compared only
-if their sizes and a bitmap of the parities of hashed words leave room for the overlap that
-is needed. What remains is verified word by word.
+Marks of one set of words only go first, by a count. Two lines of a shared mark are near if
+their sizes and bitmaps of the parities of hashed words leave room for the overlap that is needed;
+marks of lines without a near one go next. What remains is verified word by word.
 
 A line that has an earlier similar line is removed; earlier is smaller in (id, line
-number), and it does not matter whether the earlier line is itself removed. So groups of
-similar lines are not expanded into pairs: each line is compared first with one, that of
-the earliest lines of its marks with most marks in common, and only lines for which that
-finds nothing with all the others.
+number), and it does not matter whether the earlier line is itself removed. So similar lines
+are never expanded into pairs: each line is compared with one other first, the nearest of the
+earliest and the previous lines of its marks. Lines for which that finds nothing, and lines
+that are near to these, then meet with their words, and each asks only whether there is one.
 
 Words are told apart by 59 bits of their hashes and their lengths while candidates are sought and lines of equal words are
 put together, by their letters when similar lines are verified.
@@ -32,6 +32,8 @@ all columns.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,8 +49,9 @@ _WORDS = f"if({_PLAIN}, split(line, ' '), split(line, '{_SPACE}'))"
 
 
 def _number(word: str) -> str:
-    """A word as one number: its hash, with its length, up to 31 bytes, in place of five bits."""
-    return f"xxhash64({word}) & {~(31 << 31)}L | shiftleft(cast(least(octet_length({word}), 31) as bigint), 31)"
+    """A word as one number: its hash, with its bytes beyond the first, up to 31, in place of five bits."""
+    length = f"shiftleft(cast(least(octet_length({word}) - 1, 31) & 31 as bigint), 31)"
+    return f"xxhash64({word}) & {~(31 << 31)}L | {length}"
 
 
 _NUMBERS = f"""sort_array(array_remove(array_distinct(transform({_WORDS}, w -> {_number("w")})), {_number("''")}))"""
@@ -78,72 +81,120 @@ _KEYS = {
 
 # Sizes from 2^(b-1) to 2^b - 1 are cut into 2^(b-2) + 1 parts: more than words can differ from
 # lines up to that size. A line that may be similar to some of the next range is cut like those, too.
-_CUTS = """filter(array(
-    if(size >= 4, shiftleft(1, length(bin(size)) - 2) + 1, null),
-    if(size >= 4 and 5L * size >= shiftleft(4L, length(bin(size))), shiftleft(1, length(bin(size)) - 1) + 1, null)
-), cut -> cut is not null)"""
+_CUTS = {
+    "cut": "if(size >= 4, shiftleft(1, length(bin(size)) - 2) + 1, null)",
+    "wide": """if(
+        size >= 4 and 5L * size >= shiftleft(4L, length(bin(size))), shiftleft(1, length(bin(size)) - 1) + 1, null
+    )""",
+}
 
-# The numbers of the words by (part, length, hash), behind a separator for each part.
-_DEALT = """sort_array(concat(
-    transform(numbers, w -> shiftleft(shiftrightunsigned(w, 36) % cut, 36) | (w & 68719476735L)),
-    transform(sequence(0, cut), part -> shiftleft(cast(part as bigint), 36))
-))"""
 
-_STARTS = "array_compact(transform(dealt, (w, i) -> if((w & 68719476735L) = 0, i, null)))"
+def _dealt(cut: str) -> str:
+    """The numbers of the words by (part, length, hash)."""
+    part = f"shiftleft(shiftrightunsigned(w, 36) % {cut}, 36)"
+    return f"if({cut} is null, null, sort_array(transform(numbers, w -> {part} | (w & 68719476735L))))"
 
-# A part as a number: what tells more is smaller; then 52 bits of a digest of its last three
-# words, the longest ones, or the separator, which says what part it is.
-_MARK = """shiftleft(2047L - (shiftright(dealt[stop - 1], 31) & 31L) * 64 - least(stop - starts[part] - 1, 63), 52)
-    | (xxhash64(dealt[stop - 1], dealt[greatest(stop - 2, starts[part])], dealt[greatest(stop - 3, starts[part])], cut)
-        & 4503599627370495L)"""
 
-# One part more than the words that may differ from a similar line, a quarter of its own at most.
-_MARKS = f"""flatten(transform({_CUTS}, cut ->
-    transform(array({_DEALT}), dealt ->
-        transform(array({_STARTS}), starts ->
-            slice(sort_array(transform(slice(starts, 2, cut), (stop, part) -> {_MARK})), 1, size div 4 + 1)
-        )[0]
-    )[0]
-))"""
+def _marks(dealt: str, cut: str) -> str:
+    """A mark, in no order, for each part that has words: what tells more is smaller; then 56 bits
+    of a digest of its last three words, the longest ones, or of its start in place of them."""
+    words = ["w", *(f"greatest(get({dealt}, i - {back}), w & -68719476736L)" for back in (1, 2))]
+    tells = " + ".join(f"({word} & {31 << 31}L)" for word in words)
+    digest = f"xxhash64({', '.join(words)}, {cut}) & 72057594037927935L"
+    mark = f"({126 << 56}L - shiftleft({tells}, 25)) | ({digest})"
+    last = f"coalesce(shiftrightunsigned(w ^ get({dealt}, i + 1), 36) <> 0, true)"
+    return f"array_compact(transform({dealt}, (w, i) -> if({last}, {mark}, null)))"
 
-_BITS = "aggregate(numbers, 0L, (bits, w) -> bits ^ shiftleft(1L, cast(shiftrightunsigned(w, 58) as int)))"
 
+def _first_marks(marks: str, dealt: str, cut: str) -> str:
+    """One mark more than the words that may differ from a similar line, a quarter of its own at most.
+    Parts without a word tell least, and are seldom among them."""
+    bare = f"filter(sequence(0, {cut} - 1), part -> not exists({dealt}, w -> shiftrightunsigned(w, 36) = part))"
+    bare = f"transform({bare}, part -> shiftleft(127L, 56) | (xxhash64(part, {cut}) & 72057594037927935L))"
+    every = f"if(size({marks}) > size div 4, {marks}, concat({marks}, {bare}))"
+    return f"coalesce(slice(sort_array({every}), 1, size div 4 + 1), array())"
+
+
+# 256 parities of the words; numbers of the same first two bits are in the same one of four columns.
+_BITS = {
+    f"bits{k}": f"""aggregate(numbers, 0L, (bits, w) -> if(
+        shiftrightunsigned(w, 62) = {k}, bits ^ shiftleft(1L, cast(shiftrightunsigned(w, 56) as int)), bits
+    ))"""
+    for k in range(4)
+}
 
-def _profiles(lines: DataFrame) -> DataFrame:
-    """(id, row, place, key, more, size, bits, marks) of every line."""
-    place = ["id", "row", "place"]
-    keys = [F.expr(value).alias(name) for name, value in _KEYS.items()]
-    numbered = lines.select(*place, F.expr(_NUMBERS).alias("numbers"))
-    sized = numbered.select(*place, "numbers", *keys, F.size("numbers").alias("size"))
-    return sized.select(*place, *_KEYS, "size", F.expr(_BITS).alias("bits"), F.expr(_MARKS).alias("marks"))
 
+def _exprs(named: dict[str, str]) -> list[Column]:
+    return [F.expr(value).alias(name) for name, value in named.items()]
 
-def _members(profiles: DataFrame, sets: DataFrame) -> DataFrame:
-    """(mark, n, size, bits): the sets of each mark that several have."""
-    # A window and no join: the marks of all lines are the most that is moved, and go once.
+
+def _profiles(lines: DataFrame) -> DataFrame:
+    """(id, row, place, key, more, size, the bits, marks) of every line."""
+    # Step by step: what a step names is made once, and outside of lambdas where it can be.
+    out = ["id", "row", "place", *_KEYS, "size", *_BITS]
+    numbered = lines.select("id", "row", "place", F.expr(_NUMBERS).alias("numbers"))
+    sized = numbered.select("*", *_exprs(_KEYS), F.size("numbers").alias("size"))
+    cut = sized.select("*", *_exprs(_BITS), *_exprs(_CUTS))
+    dealt = cut.select(*out, *_CUTS, *_exprs({f"{c}_dealt": _dealt(c) for c in _CUTS}))
+    marked = dealt.select("*", *_exprs({f"{c}_marks": _marks(f"{c}_dealt", c) for c in _CUTS}))
+    first = ", ".join(_first_marks(f"{c}_marks", f"{c}_dealt", c) for c in _CUTS)
+    return marked.select(*out, F.expr(f"concat({first})").alias("marks"))
+
+
+def _shared(profiles: DataFrame) -> DataFrame:
+    """(key, mark), written: the marks that several sets of words have."""
+    # A window and no join: the marks of all lines are the most that is moved, and go once. 48 bits do for
+    # a mark there, and stand last: the ones before them and the next row's head are one run that packs well.
     same = Window.partitionBy("mark")
-    marks = profiles.select(F.explode("marks").alias("mark"), "key")
-    least, most = F.min("key").over(same), F.max("key").over(same)
-    members = marks.select("mark", "key", (least < most).alias("shared")).where("shared").select("mark", "key").distinct()
-    members = materialize(members, "line-marks", free=True)
-    return members.join(sets.select("key", "n", "size", "bits"), "key").select("mark", "n", "size", "bits")
+    marks = profiles.select("key", F.explode("marks").alias("mark"))
+    marks = marks.select("key", F.expr(f"mark | {-1 << 48}L").alias("mark"))
+    several = (F.min("key").over(same) < F.max("key").over(same)).alias("several")
+    members = marks.select("key", "mark", several).where("several").drop("several").distinct()
+    return materialize(members, "line-marks", free=True)
 
 
-def _similar(x: str, y: str) -> Column:
+# How many words at most are in one of two similar lines only.
+_APART = "({x}.size + {y}.size - 2 * ((4 * ({x}.size + {y}.size) + 8) div 9))"
+
+
+def _parities(names: Iterable[str]) -> str:
+    """How many of these bits differ: as many words, or more, are in one line only."""
+    return " + ".join(f"bit_count({{x}}.{name} ^ {{y}}.{name})" for name in names)
+
+
+_PARITIES = _parities(_BITS)
+
+
+def _near(x: str, y: str, parities: str = _PARITIES) -> Column:
     """Whether the filters leave room for a similarity of 0.8."""
     return F.expr(
-        f"least({x}.size, {y}.size) * 5 >= greatest({x}.size, {y}.size) * 4 and "
-        f"bit_count({x}.bits ^ {y}.bits) <= {x}.size + {y}.size - 2 * ((4 * ({x}.size + {y}.size) + 8) div 9)"
+        f"least({{x}}.size, {{y}}.size) * 5 >= greatest({{x}}.size, {{y}}.size) * 4 and {parities} <= {_APART}".format(
+            x=x, y=y
+        )
     )
 
 
-def _shared() -> list[Column]:
-    """How many marks a pair x, y shares, and its sizes."""
-    return [F.count("*").alias("shared"), F.first("x.size").alias("a"), F.first("y.size").alias("b")]
+_MEMBER = ["n", "size", *_BITS]
 
 
-# Of the marks of the smaller line no more are missing in the other than words may differ.
-_ENOUGH = "shared >= least(a, b) div 4 + 1 - (a + b) div 9"
+def _with_near(every: DataFrame, near: Column, label: str) -> DataFrame:
+    """The rows x of a table with a row y of the same mark that is `near`; that table is erased."""
+    # It has to be a written one: both sides of the join are one shuffled table then.
+    same_mark = F.col("x.mark") == F.col("y.mark")
+    left = every.alias("x").join(every.alias("y"), same_mark & near, "left_semi")
+    left = materialize(left.select("mark", "n", "size", *(c for c in every.columns if c == "open")), label, free=True)
+    erase(every)
+    return left
+
+
+def _members(shared: DataFrame, sets: DataFrame) -> DataFrame:
+    """(mark, n, size), written: the sets of each mark that have a near one there; `shared` is erased."""
+    # By 128 parities that the 256 give: half of what would be moved, and they tell enough of most lines.
+    half = {"even": "bits0 ^ bits2", "odd": "bits1 ^ bits3"}
+    every = shared.join(sets.select("key", "n", "size", *_exprs(half)), "key").select("mark", "n", "size", *half)
+    every = materialize(every, "line-entries", free=True)
+    erase(shared)
+    return _with_near(every, (F.col("x.n") != F.col("y.n")) & _near("x", "y", _parities(half)), "line-members")
 
 
 def _words_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -181,21 +232,32 @@ def _words_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
     return read.where(right).select("n", words.alias("words")).dropDuplicates(["n"])
 
 
+def _words_of_sets(
+    numbers: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str
+) -> DataFrame:
+    """(n, words) of the sets of these numbers (n), written."""
+    wanted = sets.select("n", *_KEYS, "id", "place").join(numbers, "n", "left_semi")
+    return materialize(_words_of(docs, wanted, id_col, text_col), "line-words", free=True)
+
+
+def _similar(x: str, y: str) -> Column:
+    """Whether two lists of different words are similar."""
+    return F.expr(f"size(array_intersect({x}, {y})) * 9 >= (size({x}) + size({y})) * 4")
+
+
 def _verified(
     pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str
 ) -> DataFrame:
     """Numbers of the sets that are similar to the earlier one they are paired with, written."""
     pairs = materialize(pairs, "line-pairs", free=True)
     paired = pairs.select(F.col("later").alias("n")).union(pairs.select("earlier")).distinct()
-    wanted = sets.select("n", *_KEYS, "id", "place").join(paired, "n", "left_semi")
-    words = materialize(_words_of(docs, wanted, id_col, text_col), "line-words", free=True)
+    words = _words_of_sets(paired, sets, docs, id_col, text_col)
     later = words.select(F.col("n").alias("later"), F.col("words").alias("later_words"))
     earlier = words.select(F.col("n").alias("earlier"), F.col("words").alias("earlier_words"))
-    both = F.size(F.array_intersect("later_words", "earlier_words"))
     similar = (
         pairs.join(later, "later")
         .join(earlier, "earlier")
-        .where(both * 9 >= (F.size("later_words") + F.size("earlier_words")) * 4)
+        .where(_similar("later_words", "earlier_words"))
         .select(F.col("later").alias("n"))
         .distinct()
     )
@@ -204,40 +266,46 @@ def _verified(
     return followers
 
 
-def _followers(members: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Numbers of the sets with an earlier similar set."""
-    so_far = (
-        Window.partitionBy("mark")
-        .orderBy("n")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    here = F.struct("n", "size", "bits")
-    pairs = (
-        members.select(here.alias("x"), F.first(here).over(so_far).alias("y"))
-        .where((F.col("x.n") != F.col("y.n")) & _similar("x", "y"))
-        .groupBy(F.col("x.n").alias("later"), F.col("y.n").alias("earlier"))
-        .agg(*_shared())
-        .where(_ENOUGH)
-        .groupBy("later")
-        .agg(F.max_by("earlier", "shared").alias("earlier"))
-    )
-    easy = _verified(pairs, sets, docs, id_col, text_col)
+def _first_pairs(members: DataFrame) -> DataFrame:
+    """(later, earlier): each set with the nearest of the first and the previous sets of its marks."""
+    here = F.struct(*_MEMBER)
+    by_mark = Window.partitionBy("mark").orderBy("n")
+    so_far = by_mark.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = members.select(here.alias("x"), F.first(here).over(so_far).alias("y"), F.lag(here).over(by_mark).alias("z"))
+    apart = {
+        name: F.when((F.col("x.n") != F.col(f"{name}.n")) & _near("x", name), F.expr(_PARITIES.format(x="x", y=name)))
+        for name in "yz"
+    }
+    nearest = F.least(*apart.values())
+    found = F.when(nearest == apart["y"], F.col("y.n")).otherwise(F.col("z.n"))
+    met = met.select(F.col("x.n").alias("later"), nearest.alias("apart"), found.alias("earlier"))
+    return met.where("apart is not null").groupBy("later").agg(F.min_by("earlier", "apart").alias("earlier"))
 
-    every = members.join(easy.withColumn("found", F.lit(True)), "n", "left").select(
-        "mark", "n", "size", "bits", F.when(F.col("found").isNull(), 1).otherwise(0).alias("open")
-    )
-    # The product keeps the test of x in the join, so both sides are one shuffled table.
-    is_open = F.col("x.open") * F.col("y.size") > 0
-    same_mark = (F.col("x.mark") == F.col("y.mark")) & (F.col("y.n") < F.col("x.n"))
-    pairs = (
-        every.alias("x")
-        .join(every.alias("y"), same_mark & is_open & _similar("x", "y"))
-        .groupBy(F.col("x.n").alias("later"), F.col("y.n").alias("earlier"))
-        .agg(*_shared())
-        .where(_ENOUGH)
-        .select("later", "earlier")
-    )
-    return easy.union(_verified(pairs, sets, docs, id_col, text_col))
+
+def _followers(members: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Numbers of the sets with an earlier similar set; `members` are erased."""
+    left = members.join(sets.select("n", *_BITS), "n").select("mark", *_MEMBER)
+    left = materialize(left, "line-bits", free=True)
+    erase(members)
+    easy = _verified(_first_pairs(left), sets, docs, id_col, text_col)
+
+    is_open = F.when(F.col("found").isNull(), 1).otherwise(0).alias("open")
+    every = left.join(easy.withColumn("found", F.lit(True)), "n", "left").select("mark", *_MEMBER, is_open)
+    every = materialize(every, "line-open", free=True)
+    erase(left)
+    # Open sets with an earlier near one, and sets with a later near one that is open.
+    asks = F.expr("(y.n < x.n and x.open = 1) or (x.n < y.n and y.open = 1)")
+    rest = _with_near(every, asks & _near("x", "y"), "line-rest")
+
+    words = _words_of_sets(rest.select("n").distinct(), sets, docs, id_col, text_col)
+    bits = sets.select("n", *_BITS).join(words, "n")
+    worded = materialize(rest.join(bits, "n"), "line-worded", free=True)
+    erase(rest, words)
+    asks = F.expr("y.n < x.n and x.open = 1") & _near("x", "y") & _similar("x.words", "y.words")
+    hard = _with_near(worded, asks, "line-hard")
+    found = materialize(hard.select("n").distinct(), "followers", free=True)
+    erase(hard)
+    return easy.union(found)
 
 
 def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,9 +320,10 @@ def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def _marked(docs: DataFrame, id_col: str, text_col: str, row: Column) -> DataFrame:
     """(row, id, n_lines, removed), where `row` is a number of each row."""
     profiles = materialize(_profiles(_lines(docs, id_col, text_col, row)), "lines", free=True)
+    shared = _shared(profiles)
     # The first line of each set of words; copies are combined before they are moved.
     firsts = profiles.where("key is not null").groupBy(*_KEYS).agg(
-        F.min(F.struct("id", "place", "row", "size", "bits")).alias("first")
+        F.min(F.struct("id", "place", "row", "size", *_BITS)).alias("first")
     )
     # Numbered in their order: a smaller number is an earlier line.
     order = ["id", "place", "row"]
@@ -266,7 +335,9 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, row: Column) -> DataFra
         "line-sets",
         free=True,
     )
-    members = materialize(_members(profiles, sets), "line-members", free=True)
+    every = materialize(profiles.select("id", "row", "place", *_KEYS), "line-keys", free=True)
+    erase(profiles)  # Their marks are most of what is written.
+    members = _members(shared, sets)
     followers = _followers(members, sets, docs, id_col, text_col).withColumn("follows", F.lit(True))
     fates = sets.join(followers, "n", "left").select(
         *_KEYS, F.col("row").alias("first_row"), F.col("place").alias("first_place"), "follows"
@@ -277,8 +348,7 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, row: Column) -> DataFra
         | (F.col("place") != F.col("first_place"))
     )
     return (
-        profiles.select("id", "row", "place", *_KEYS)
-        .join(fates, [*_KEYS], "left")
+        every.join(fates, [*_KEYS], "left")
         .groupBy("row")
         .agg(
             F.first("id").alias("id"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -12,6 +13,7 @@ from finmart.llm import lines, recipes, repeats, simhash
 from finmart.llm.oracle import ORACLE_SQL
 from finmart.llm.queries import QUERIES
 from finmart.llm.suffixes import sort_strings
+from finmart.sources.scratch import scratch_root
 from plans import final_plan_of, settings
 from pyspark.sql import functions as F
 from samples import ROWS
@@ -216,6 +218,71 @@ def test_a_line_is_compared_with_one_other_first(spark, monkeypatch):
     assert most[0] == 1
 
 
+def kin(draw, sizes, times):
+    """Pairs of similar lines: words that one has and the other lacks, as many as may be."""
+    for size in sizes:
+        for _ in range(times):
+            one = [f"w{draw.randrange(10**6)}" for _ in range(size)]
+            other = one[:]
+            for _ in range(draw.randint(0, size // 4)):
+                if draw.random() < 0.5:
+                    other[draw.randrange(len(other))] = f"v{draw.randrange(10**6)}"
+                else:
+                    other.pop(draw.randrange(len(other)))
+            a, b = set(one), set(other)
+            if 9 * len(a & b) >= 4 * (len(a) + len(b)):
+                yield " ".join(one), " ".join(other)
+
+
+def test_similar_lines_are_near_and_others_hardly_any(spark):
+    draw = random.Random(7)
+    pairs = list(kin(draw, (1, 4, 5, 9, 16, 31, 33, 64, 90, 150, 260, 600), 15))
+    unlike = [" ".join(f"u{draw.randrange(10**6)}" for _ in range(size)) for size in (32, 64, 128, 200) for _ in range(20)]
+    rows = [(2 * k + i, line) for k, pair in enumerate(pairs) for i, line in enumerate(pair)]
+    rows += [(-1 - k, line) for k, line in enumerate(unlike)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = lines._profiles(lines._lines(docs, "doc_id", "text", F.lit(0))).select("id", "size", *lines._BITS)
+    x, y = found.alias("x"), found.alias("y")
+    near = lines._near("x", "y")
+    assert x.join(y, (F.col("x.id") % 2 == 0) & (F.col("y.id") == F.col("x.id") + 1) & (F.col("x.id") >= 0) & near).count() == len(pairs)
+    assert x.join(y, (F.col("x.id") < F.col("y.id")) & (F.col("y.id") < 0) & near).count() == 0
+
+
+def test_lines_near_one_another_are_not_written_as_pairs(spark, monkeypatch):
+    draw = random.Random(3)
+    texts = []
+    for k in range(120):
+        line = [f"w{i}" for i in range(40)]
+        for i in draw.sample(range(40), 3):
+            line[i] = f"x{k}y{i}"
+        texts.append(" ".join(line))
+    texts += texts[50].rsplit(" ", 1)[:1] + [f"{texts[60]} more"]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    most, write = {}, lines.materialize
+
+    def watched(df, label, **rest):
+        table = write(df, label, **rest)
+        most[label] = max(most.get(label, 0), table.count())
+        return table
+
+    monkeypatch.setattr(lines, "materialize", watched)
+    got = {r.doc_id: r.removed for r in lines.mark_lines(docs).collect()}
+    assert got == dict(zip(range(len(rows)), plain.removed_lines(rows)))
+    marks = 11 * 2  # of a line with 40 words, should it be cut twice
+    assert most["line-pairs"] <= len(rows)
+    assert max(most.values()) <= marks * len(rows)
+
+
+def test_tables_of_marks_are_erased(spark):
+    rows = [(k, f"a b c d e f g h {k}\nalone {k}") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    before = set(os.listdir(f"{scratch_root(spark)}/finmart")) if os.path.isdir(f"{scratch_root(spark)}/finmart") else set()
+    assert lines.mark_lines(docs).count() == 20
+    left = {name.rpartition("-")[0] for name in set(os.listdir(f"{scratch_root(spark)}/finmart")) - before}
+    assert left <= {"line-keys", "line-sets", "followers", "bitmap"}
+
+
 def test_rarity_classes_of_any_count_fit_seven_bits(spark):
     counts = spark.createDataFrame([(n,) for n in (1, 2, 3, 1000, 2**31, 2**32, 10**12, 2**63 - 1)], "n bigint")
     grades = [r[0] for r in counts.orderBy("n").select(lines._grade(F.col("n"))).collect()]
